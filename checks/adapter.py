@@ -1,0 +1,334 @@
+"""Retail source tables laid over the given test tables, so that every job runs on whole tables.
+
+``checks/oracle.py`` states the same mapping as SQL. Column values are derived with plain expressions; the rules that
+make NULLs, inactive rows, negative lines and unknown codes give every branch of the jobs something to do.
+"""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfline.functions import as_date, day_to_key
+
+AS_OF = date(2001, 8, 1)
+
+
+class Sources:
+    """Lazy source tables of one test-data folder."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+    # -- master data ---------------------------------------------------------------------------------------------
+
+    def store(self) -> DataFrame:
+        n = F.col("n_nationkey")
+        two = F.lpad(n.cast("string"), 2, "0")
+        return self.table("nation").select(
+            n.cast("long").alias("id"),
+            F.when(n == 0, "001")
+            .when(n <= 8, F.concat(F.lit("DS"), two))
+            .when(n <= 16, F.concat(F.lit("RT"), two))
+            .when(n <= 18, F.concat(F.lit("CS"), two))
+            .otherwise(F.concat(F.lit("FN"), two))
+            .alias("code"),
+            F.col("n_name").alias("name"),
+            F.when(n != 7, F.col("n_regionkey").cast("long")).alias("area_id"),
+            F.when((n == 0) | (n >= 19), 1).when(n <= 8, 0).alias("is_warehouse"),
+            F.when((n >= 9) & (n <= 16), 1).alias("is_store"),
+            F.when(n % 5 == 1, F.lit(None)).when(n % 3 == 0, "Y").otherwise("N").alias("is_cloud"),
+            F.when(n == 0, "Y").when(n <= 8, "N").alias("is_center"),
+            F.when(n == 24, "N").otherwise("Y").alias("isactive"),
+        )
+
+    def area(self) -> DataFrame:
+        return self.table("region").select(F.col("r_regionkey").cast("long").alias("id"), F.col("r_name").alias("name"))
+
+    @staticmethod
+    def _part_ids() -> dict[str, Column]:
+        size = F.col("p_size")
+        category = {"STANDARD": 133, "MEDIUM": 134, "LARGE": 136, "SMALL": 137, "PROMO": 201, "ECONOMY": 202}
+        by_type = F.when(size == 50, F.lit(None))
+        for name, code in category.items():
+            by_type = by_type.when(F.col("p_type") == name, code)
+        return {
+            "m_dim1_id": (F.substring("p_brand", 7, 4).cast("long") + 1000),
+            "m_dim4_id": by_type.cast("long"),
+            "m_dim5_id": F.when(size <= 20, 224).when(size <= 35, 225).when(size <= 45, 127).cast("long"),
+            "m_dim6_id": F.when(size <= 25, size + 3000).cast("long"),
+        }
+
+    @staticmethod
+    def _created() -> Column:
+        return F.expr("timestamp_ntz'2000-01-01' + make_dt_interval(p_size)").alias("creationdate")
+
+    def product(self) -> DataFrame:
+        size = F.col("p_size")
+        return self.table("part").select(
+            F.col("p_partkey").alias("id"),
+            F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 10, "0")).alias("name"),
+            F.when(size != 13, F.col("p_name")).alias("value"),
+            *[c.alias(n) for n, c in self._part_ids().items()],
+            F.when(size != 49, F.col("p_retailprice").cast("decimal(12,2)")).alias("pricelist"),
+            F.when(size < 40, F.split("p_name", " ")[1]).alias("fabelement"),
+            (F.col("p_retailprice") - 500).cast("decimal(12,2)").alias("precost"),
+            F.when(size == 47, "N").otherwise("Y").alias("isactive"),
+            self._created(),
+        )
+
+    def dim(self) -> DataFrame:
+        ids = self._part_ids()
+
+        def entry(key: str, label: Column) -> Column:
+            return F.struct(ids[key].alias("id"), label.alias("attribname"))
+
+        labels = F.array(
+            entry("m_dim1_id", F.col("p_brand")),
+            entry("m_dim4_id", F.col("p_type")),
+            entry("m_dim5_id", F.when(F.col("p_size") <= 20, "on sale").when(F.col("p_size") <= 35, "new")),
+            entry("m_dim6_id", F.concat(F.lit("Series "), F.col("p_size").cast("string"))),
+        )
+        return self.table("part").select(F.inline(labels)).filter("id is not null").distinct()
+
+    def _skus(self) -> DataFrame:
+        return self.table("part").select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("v"))
+
+    def alias(self) -> DataFrame:
+        size, v, sku = F.col("p_size"), F.col("v"), F.col("p_partkey") * 2 + F.col("v")
+        return self._skus().select(
+            sku.alias("id"),
+            F.when(size != 46, F.concat(F.lit("69"), F.lpad(sku.cast("string"), 10, "0"))).alias("no"),
+            F.col("p_partkey").alias("product_id"),
+            F.when(~((size == 45) & (v == 1)), sku).alias("attr_id"),
+            F.when((size == 44) & (v == 0), "N").otherwise("Y").alias("isactive"),
+            self._created(),
+        )
+
+    def attr(self) -> DataFrame:
+        return self._skus().select(
+            (F.col("p_partkey") * 2 + F.col("v")).alias("id"),
+            F.split("p_name", " ")[0].alias("value1"),
+            F.when(F.col("v") == 1, F.concat(F.lit("S"), F.col("p_size").cast("string"))).alias("value2"),
+        )
+
+    def channel_map(self) -> DataFrame:
+        """One channel per e-commerce store code, one of them without a store."""
+        n = F.col("n_nationkey")
+        return self.table("nation").filter(n.between(1, 8)).select(
+            n.alias("channel_id"),
+            F.concat(F.lit("Channel "), n.cast("string")).alias("channel_name"),
+            F.concat(F.lit("CH"), n.cast("string")).alias("channel_code"),
+            F.when(n == 8, "DS99").otherwise(F.concat(F.lit("DS"), F.lpad(n.cast("string"), 2, "0"))).alias("store_code"),
+            F.when(n == 1, 1).when(n <= 5, 0).alias("is_main"),
+            F.when(n <= 4, "marketplace").otherwise("own").alias("platform_type"),
+        )
+
+    # -- sales and stock -----------------------------------------------------------------------------------------
+
+    def _orders(self, lo=None, hi=None) -> DataFrame:
+        """Orders; a date range also goes in as a predicate on the stored column, so the scan can skip row groups."""
+        orders = self.table("orders")
+        if lo is not None:
+            orders = orders.filter(
+                F.col("o_orderdate").between(
+                    F.lit(as_date(lo)).cast("timestamp_ntz"), F.lit(as_date(hi)).cast("timestamp_ntz")
+                )
+            )
+        return orders
+
+    @staticmethod
+    def _order_active() -> Column:
+        cancelled = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+        return F.when(cancelled, "N").otherwise("Y").alias("isactive")
+
+    def retail(self, lo=None, hi=None) -> DataFrame:
+        total = F.col("o_totalprice").cast("decimal(18,2)")
+        return self._orders(lo, hi).select(
+            F.col("o_orderkey").alias("id"),
+            day_to_key(F.col("o_orderdate")).alias("billdate"),
+            (F.col("o_custkey") % 25).alias("store_id"),
+            F.when(F.col("o_orderpriority") == "5-LOW", -total).otherwise(total).cast("decimal(18,2)").alias("tot_amt_actual"),
+            F.when(F.col("o_orderstatus") == "P", 1).otherwise(2).alias("status"),
+            self._order_active(),
+        )
+
+    @staticmethod
+    def _sku() -> Column:
+        return F.when(F.col("l_quantity") != 50, F.col("l_partkey") * 2 + F.col("l_linenumber") % 2).alias("sku_id")
+
+    def retail_item(self) -> DataFrame:
+        back = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7)
+        sign = F.when(back, -1).otherwise(1)
+        listed = F.col("l_extendedprice").cast("decimal(12,2)")
+        paid = (listed * (1 - F.col("l_discount")).cast("decimal(3,2)")).cast("decimal(14,2)")
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias("retail_id"),
+            F.col("l_partkey").alias("product_id"),
+            self._sku(),
+            (sign * F.col("l_quantity")).cast("long").alias("qty"),
+            (sign * paid).cast("decimal(14,2)").alias("tot_amt_actual"),
+            (sign * listed).cast("decimal(14,2)").alias("tot_amt_list"),
+        )
+
+    def storage(self) -> DataFrame:
+        """Open lines are stock."""
+        qty, kind = F.col("l_quantity").cast("long"), F.col("l_suppkey") % 4
+        return self.table("lineitem").filter(F.col("l_linestatus") == "O").select(
+            (F.col("l_suppkey") % 25).alias("store_id"),
+            F.col("l_partkey").alias("product_id"),
+            self._sku(),
+            F.when(qty == 49, F.lit(None)).when(kind == 0, qty).when(kind == 1, 0).when(kind == 2, qty % 5)
+            .otherwise(qty % 3).cast("long").alias("qty"),
+            F.when(F.col("l_returnflag") == "N", qty).alias("qtypurchaserem"),
+            F.when((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "A"), "N").otherwise("Y").alias("isactive"),
+        )
+
+    def stock_report(self) -> DataFrame:
+        """Accepted and new lines per product x store: shares some keys with the stock, not all of them."""
+        qty = F.col("l_quantity").cast("long")
+        on_order = F.when(F.col("l_linenumber") == 7, -qty).otherwise(qty)
+        return (
+            self.table("lineitem")
+            .filter(F.col("l_returnflag").isin("N", "A"))
+            .groupBy(F.col("l_partkey").alias("product_id"), (F.col("l_suppkey") % 25).alias("store_id"))
+            .agg(
+                F.sum(qty).alias("qty"),
+                F.sum(F.when(F.col("l_returnflag") == "N", on_order)).alias("qtypurchaserem"),
+            )
+            .withColumn("isactive", F.when(F.col("qty") == 13, "N").otherwise("Y"))
+        )
+
+    # -- purchases and transfers ---------------------------------------------------------------------------------
+
+    @staticmethod
+    def _pending(priority: str) -> Column:
+        return (F.col("o_orderstatus") == "P") & F.col("o_orderpriority").startswith(priority)
+
+    def purchase(self) -> DataFrame:
+        ordered = F.floor(F.col("o_totalprice") / 1000).cast("long")
+        status, priority = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
+        received = (
+            F.when(status == "F", ordered)
+            .when(status == "O", ordered + F.when(priority == "1", -1).when(priority == "2", 1).otherwise(0))
+            .when(priority == "1", 0)
+            .when(priority == "2", F.lit(None))
+            .otherwise(ordered)
+        )
+        total = F.col("o_totalprice").cast("decimal(18,2)")
+        return self.table("orders").select(
+            F.col("o_orderkey").alias("id"),
+            day_to_key(F.col("o_orderdate")).alias("billdate"),
+            F.when(self._pending("5"), F.lit(None)).when(self._pending("4"), 0)
+            .otherwise(day_to_key(F.date_add("o_orderdate", 3))).alias("datein"),
+            F.when(status == "P", 1).otherwise(2).alias("in_status"),
+            F.when(~self._pending("3"), F.col("o_custkey") % 25).alias("store_id"),
+            F.when(~self._pending("2"), F.col("o_custkey")).alias("supplier_id"),
+            ordered.alias("tot_qty"),
+            received.cast("long").alias("tot_qtyin"),
+            total.alias("tot_amt_actual"),
+            F.when(status != "P", total).when(priority <= "2", 0).cast("decimal(18,2)").alias("tot_amtin_actual"),
+            F.when(status != "P", F.col("o_custkey")).alias("inerid"),
+            F.when(~self._pending("5"), F.col("o_orderdate")).alias("intime"),
+            self._order_active(),
+            F.when(~self._pending("4"), F.col("o_orderdate")).alias("creationdate"),
+        )
+
+    @staticmethod
+    def _line_id() -> Column:
+        return (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id")
+
+    @staticmethod
+    def _line_active() -> Column:
+        return F.when(F.col("l_linenumber") == 7, "N").otherwise("Y").alias("isactive")
+
+    def purchase_item(self) -> DataFrame:
+        qty = F.when(F.col("l_quantity") == 50, 0).otherwise(F.col("l_quantity")).cast("long")
+        flag = F.col("l_returnflag")
+        received = (
+            F.when(flag == "R", qty).when(flag == "A", F.col("l_quantity") - 1)
+            .when(F.col("l_linestatus") == "O", F.lit(None)).otherwise(qty + 1)
+        )
+        return self.table("lineitem").select(
+            self._line_id(), F.col("l_orderkey").alias("purchase_id"), qty.alias("qty"),
+            received.cast("long").alias("qtyin"), self._line_active(), F.col("l_shipdate").alias("creationdate"),
+        )
+
+    def transfer(self) -> DataFrame:
+        planned = F.floor(F.col("o_totalprice") / 1000).cast("long")
+        status, priority = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
+        kind = F.col("o_custkey") % 9
+        code = F.when(kind == 8, F.lit(None))
+        for position, name in enumerate(("ORD", "NOR", "ADD", "DIF", "OUT", "IN", "EOR", "XXX")):
+            code = code.when(kind == position, name)
+        received = (
+            F.when(status == "F", planned)
+            .when(status == "P", 0)
+            .when(priority == "1", planned - 1)
+            .when(priority == "2", 0)
+            .otherwise(planned)
+        )
+        arrived = (status == "F") | ((status == "O") & (priority >= "4"))
+        return self.table("orders").select(
+            F.col("o_orderkey").alias("id"),
+            F.concat(F.lit("TF"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("docno"),
+            F.when(self._pending("5"), F.lit(None)).when(self._pending("4"), 0)
+            .otherwise(day_to_key(F.col("o_orderdate"))).alias("billdate"),
+            code.alias("transfertype"),
+            (F.col("o_custkey") % 27).alias("orig_id"),
+            F.when(~self._pending("3"), F.col("o_orderkey") % 25).alias("dest_id"),
+            planned.alias("tot_qty"),
+            F.when(status == "P", 0).otherwise(planned).cast("long").alias("tot_qtyout"),
+            received.cast("long").alias("tot_qtyin"),
+            F.col("o_totalprice").cast("decimal(18,2)").alias("tot_amtqty_list"),
+            F.when(priority == "1", 1).when(priority == "2", 3).when(priority != "3", 2).alias("status"),
+            F.when(status == "P", 1).otherwise(2).alias("confirm_status"),
+            F.when(status == "P", 1).otherwise(2).alias("out_status"),
+            F.when(arrived, 2).otherwise(1).alias("in_status"),
+            F.when(status != "P", day_to_key(F.date_add("o_orderdate", 1))).alias("dateout"),
+            F.when(arrived, day_to_key(F.date_add("o_orderdate", 2))).alias("datein"),
+            self._order_active(),
+            F.when(~self._pending("4"), F.col("o_orderdate")).alias("creationdate"),
+        )
+
+    def transfer_item(self) -> DataFrame:
+        return self.table("lineitem").select(
+            self._line_id(), F.col("l_orderkey").alias("transfer_id"), F.col("l_quantity").cast("long").alias("qty"),
+            self._line_active(), F.col("l_shipdate").alias("creationdate"),
+        )
+
+    def counted_header(self, total: str) -> DataFrame:
+        """Document headers whose total is counted from the active lines: exact, one too many, or missing by status."""
+        lines = (
+            self.table("lineitem")
+            .filter(F.col("l_linenumber") != 7)
+            .groupBy(F.col("l_orderkey").alias("id"))
+            .agg(F.sum(F.col("l_quantity").cast("long")).alias("n"))
+        )
+        headers = self.table("orders").select(
+            F.col("o_orderkey").alias("id"), "o_orderstatus", "o_orderpriority", self._order_active()
+        )
+        counted = F.coalesce("n", F.lit(0))
+        off = F.col("o_orderpriority") == "2-HIGH"
+        return headers.join(lines, "id", "left").select(
+            "id",
+            F.when(self._pending("3"), F.lit(None)).when(off, counted + 1).otherwise(counted).cast("long").alias(total),
+            "isactive",
+        )
+
+    def counted_item(self, key: str, qty: str) -> DataFrame:
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias(key), F.col("l_quantity").cast("long").alias(qty), self._line_active()
+        )
+
+    def all_sources(self) -> dict[str, DataFrame]:
+        return {
+            "store": self.store(), "area": self.area(), "product": self.product(), "dim": self.dim(),
+            "alias": self.alias(), "attr": self.attr(), "retail": self.retail(), "item": self.retail_item(),
+            "storage": self.storage(),
+        }

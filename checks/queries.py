@@ -1,0 +1,276 @@
+"""The registered queries: each job run on the retail view of a test-data folder.
+
+Decimals are handed out as doubles, because the two engines print decimals differently; they are exact until then.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import date, timedelta
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks.adapter import AS_OF, Sources
+from shelfline.functions import date_key
+from shelfline.operators import dims, facts, health, purchase, quality, reports, stock, transfer
+from shelfline.plans import refresh
+
+FIRST_DAY, LAST_DAY = date(1995, 1, 1), AS_OF
+WINDOW_START = AS_OF - timedelta(days=30)
+COVERAGE = (AS_OF - timedelta(days=30), AS_OF - timedelta(days=1))
+REFRESH = (date(2001, 6, 1), date(2001, 7, 15))
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+class Warehouse(Sources):
+    """Warehouse tables computed from the sources of one folder."""
+
+    def dim_product(self) -> DataFrame:
+        return dims.dim_product(self.product(), self.dim())
+
+    def dim_product_attr(self) -> DataFrame:
+        return dims.dim_product_attr(self.product(), self.alias(), self.attr())
+
+    def dim_sku(self) -> DataFrame:
+        return dims.dim_sku(self.alias(), self.attr())
+
+    def dim_store(self) -> DataFrame:
+        return dims.dim_store(self.store(), self.area())
+
+    def dim_channel(self) -> DataFrame:
+        return dims.dim_channel(self.channel_map(), self.store())
+
+    def sales(self, lo: date = FIRST_DAY, hi: date = LAST_DAY) -> DataFrame:
+        whole = (lo, hi) == (FIRST_DAY, LAST_DAY)
+        retail = self.retail() if whole else self.retail(lo, hi)
+        return facts.sales_daily(retail, self.retail_item(), self.store(), self.product(), lo, hi)
+
+    def recent_sales(self) -> DataFrame:
+        return self.sales(WINDOW_START, AS_OF)
+
+    def inventory(self) -> DataFrame:
+        return facts.inventory_daily(self.storage(), self.store(), self.product(), AS_OF)
+
+    def health(self) -> DataFrame:
+        return health.inventory_health(
+            self.inventory(), self.recent_sales(), self.dim_product(), self.dim_sku(), self.dim_store(), AS_OF
+        )
+
+    def graded(self) -> DataFrame:
+        return health.sales_trend(health.sabc_grade(self.health()))
+
+
+def _sku_window(w: Warehouse) -> DataFrame:
+    """Stock, 30-day and 7-day sales per product x SKU for the indicator queries."""
+    stock_side = health.stock_totals(w.inventory(), w.dim_store(), AS_OF)
+    sales_side = health.sales_totals(w.recent_sales(), w.dim_store(), AS_OF)
+    joined = stock_side.join(sales_side, ["product_id", "sku_id"], "left")
+    measures = ("total_qty", "purchase_rem_qty", "sales_qty_30d", "sales_qty_7d", "return_qty_30d")
+    return joined.select("product_id", "sku_id", *[F.coalesce(m, F.lit(0)).alias(m) for m in measures])
+
+
+def _category_trend(w: Warehouse) -> DataFrame:
+    """Velocity and trend per category, where all trend classes can occur."""
+    per_category = (
+        w.recent_sales()
+        .join(w.dim_product().select("product_id", "category_id"), "product_id")
+        .groupBy("category_id")
+        .agg(
+            F.sum("sales_qty").alias("sales_qty_30d"),
+            F.sum(F.when(F.col("date_id") >= date_key(AS_OF - timedelta(days=7)), F.col("sales_qty")).otherwise(0)).alias(
+                "sales_qty_7d"
+            ),
+            F.lit(0).alias("total_qty"),
+        )
+    )
+    metrics = health.turnover_metrics(per_category)
+    return health.sales_trend(metrics).select(
+        "category_id", "sales_qty_30d", "sales_qty_7d", "sales_velocity", "sales_trend"
+    )
+
+
+def _table_counts(w: Warehouse) -> DataFrame:
+    return quality.table_counts(
+        {
+            "dim_product": w.dim_product(), "dim_sku": w.dim_sku(), "dim_store": w.dim_store(),
+            "dws_sales_daily": w.sales(), "dws_inventory_daily": w.inventory(), "ads_inventory_health": w.health(),
+        }
+    )
+
+
+def _dq_rules(w: Warehouse) -> DataFrame:
+    keyed = {
+        "dim_product": (w.dim_product(), "product_id"), "dim_sku": (w.dim_sku(), "sku_id"),
+        "dim_store": (w.dim_store(), "store_id"), "dws_sales_daily": (w.recent_sales(), "m_productalias_id"),
+    }
+    return quality.dq_rules(keyed, w.retail(), w.retail_item(), w.recent_sales(), w.health(), AS_OF)
+
+
+def _run_checks(w: Warehouse) -> DataFrame:
+    return quality.run_checks(
+        {
+            "dim_product": w.dim_product(), "dim_store": w.dim_store(), "dws_inventory_daily": w.inventory(),
+            "dws_sales_daily": w.recent_sales(), "ads_inventory_health": w.health(),
+        },
+        AS_OF,
+    )
+
+
+def _replaced_range(w: Warehouse) -> DataFrame:
+    """Facts of the whole history; in one range, rows without an order (returns only) are replaced away."""
+    lo, hi = REFRESH
+    fresh = w.sales(lo, hi).filter(F.col("order_count") > 0)
+    return refresh.replace_range(w.sales(), fresh, date_key(lo), date_key(hi))
+
+
+def _replaced_snapshot(w: Warehouse) -> DataFrame:
+    """Two snapshot days; the second is replaced by one that counts on-order quantity as stock."""
+    today = w.inventory()
+    before = today.withColumn("date_id", F.lit(date_key(AS_OF - timedelta(days=1))))
+    revised = today.withColumn("qty", F.col("qty") + F.col("qtypurchaserem"))
+    return refresh.replace_snapshot(before.unionByName(today), revised, date_key(AS_OF))
+
+
+def _backfilled(w: Warehouse) -> DataFrame:
+    lo, hi = REFRESH
+    stored = w.sales().filter(~F.col("date_id").between(date_key(lo), date_key(hi)))
+    return refresh.backfill_sales(
+        stored, w.retail(lo, hi), w.retail_item(), w.store(), w.product(), lo, hi
+    )
+
+
+def _missing(w: Warehouse) -> DataFrame:
+    """Days without sales at the main e-commerce store over the whole history."""
+    one_store = w.sales().filter(F.col("store_code") == "DS01")
+    return facts.missing_dates(one_store, FIRST_DAY, LAST_DAY)
+
+
+def _calendar(w: Warehouse) -> DataFrame:
+    return dims.dim_date(dims.days_covering(w.table("orders"), "o_orderdate"))
+
+
+JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
+    # dimensions
+    "dim_product": lambda w: w.dim_product(),
+    "dim_product_attr": lambda w: w.dim_product_attr(),
+    "dim_sku": lambda w: w.dim_sku(),
+    "dim_store": lambda w: w.dim_store(),
+    "dim_date": _calendar,
+    "dim_category": lambda w: dims.dim_category(w.product(), w.dim()),
+    "dim_channel": lambda w: w.dim_channel(),
+    # facts
+    "sales_daily": lambda w: w.sales(),
+    "inventory_daily": lambda w: w.inventory(),
+    "sales_daily_net": lambda w: facts.with_net(w.sales()),
+    "replace_date_range": _replaced_range,
+    "replace_snapshot": _replaced_snapshot,
+    "sales_coverage": lambda w: facts.sales_coverage(w.sales(), *COVERAGE),
+    "sales_missing_dates": _missing,
+    "backfill_sales": _backfilled,
+    # inventory-health mart
+    "inventory_health": lambda w: w.health(),
+    "stock_totals": lambda w: health.stock_totals(w.inventory(), w.dim_store(), AS_OF),
+    "sales_totals": lambda w: health.sales_totals(w.recent_sales(), w.dim_store(), AS_OF),
+    "turnover": lambda w: health.turnover_metrics(_sku_window(w)),
+    "inventory_status": lambda w: health.stock_status(_sku_window(w)),
+    "suggest_qty": lambda w: health.suggest_qty(_sku_window(w)),
+    "sabc_grade": lambda w: w.graded(),
+    "sales_trend": _category_trend,
+    "status_summary": lambda w: health.status_summary(w.health()),
+    "grade_summary": lambda w: health.grade_summary(w.graded()),
+    "replenish_summary": lambda w: health.replenish_summary(w.health()),
+    "export_health": lambda w: health.export_health(w.graded(), AS_OF),
+    "replenish_product": lambda w: health.replenish_product(
+        w.retail(WINDOW_START, AS_OF), w.retail_item(), w.storage(), w.stock_report(), w.store(), w.product(), AS_OF
+    ),
+    "daily_report": lambda w: reports.daily_report(w.sales(), w.dim_channel()),
+    "sales_summary": lambda w: reports.sales_summary(w.sales(), w.dim_product(), w.dim_channel()),
+    # data quality
+    "dq_dim_product": lambda w: quality.dq_dim_product(w.dim_product()),
+    "dq_dim_store": lambda w: quality.dq_dim_store(w.dim_store()),
+    "dq_inventory": lambda w: quality.dq_inventory(w.inventory(), w.dim_product(), w.dim_store(), AS_OF),
+    "dq_sales": lambda w: quality.dq_sales(w.recent_sales(), AS_OF),
+    "dq_health": lambda w: quality.dq_health(w.graded()),
+    "health_coverage": lambda w: quality.health_coverage(w.health(), w.dim_product()),
+    "inventory_coverage": lambda w: quality.inventory_coverage(w.inventory(), w.dim_product(), w.dim_store(), AS_OF),
+    "table_counts": _table_counts,
+    "dq_rules": _dq_rules,
+    "run_checks": _run_checks,
+    # purchases
+    "purchase_profile": lambda w: purchase.purchase_profile(w.purchase(), w.purchase_item()),
+    "purchase_sample": lambda w: purchase.purchase_sample(w.purchase()),
+    "purchase_in_status": lambda w: purchase.purchase_in_status(w.purchase()),
+    "purchase_datein_fill": lambda w: purchase.purchase_datein_fill(w.purchase()),
+    "purchase_qtyin_stats": lambda w: purchase.purchase_qtyin_stats(w.purchase()),
+    "purchase_amtin_stats": lambda w: purchase.purchase_amtin_stats(w.purchase()),
+    "purchase_receiver_fill": lambda w: purchase.purchase_receiver_fill(w.purchase()),
+    "purchase_receipt_compare": lambda w: purchase.purchase_receipt_compare(w.purchase()),
+    "purchase_completion": lambda w: purchase.purchase_completion(w.purchase()),
+    "purchase_monthly": lambda w: purchase.purchase_monthly(w.purchase()),
+    "purchase_by_supplier": lambda w: purchase.purchase_by_supplier(w.purchase()),
+    "purchase_by_store": lambda w: purchase.purchase_by_store(w.purchase()),
+    "purchase_item_stats": lambda w: purchase.purchase_item_stats(w.purchase_item()),
+    "purchase_item_completion": lambda w: purchase.purchase_item_completion(w.purchase_item()),
+    "purchase_consistency": lambda w: purchase.purchase_consistency(
+        w.counted_header("tot_qtyin"), w.counted_item("purchase_id", "qtyin")
+    ),
+    "purchase_scorecard": lambda w: purchase.purchase_scorecard(w.purchase()),
+    # transfers
+    "transfer_profile": lambda w: transfer.transfer_profile(w.transfer(), w.transfer_item()),
+    "transfer_sample": lambda w: transfer.transfer_sample(w.transfer()),
+    "transfer_by_type": lambda w: transfer.transfer_by_type(w.transfer()),
+    "transfer_status": lambda w: transfer.transfer_status(w.transfer()),
+    "transfer_confirm": lambda w: transfer.transfer_confirm(w.transfer()),
+    "transfer_out": lambda w: transfer.transfer_out(w.transfer()),
+    "transfer_in": lambda w: transfer.transfer_in(w.transfer()),
+    "transfer_top_origin": lambda w: transfer.transfer_top_origin(w.transfer(), w.store()),
+    "transfer_top_dest": lambda w: transfer.transfer_top_dest(w.transfer(), w.store()),
+    "transfer_flow": lambda w: transfer.transfer_flow(w.transfer(), w.store()),
+    "transfer_date_fill": lambda w: transfer.transfer_date_fill(w.transfer()),
+    "transfer_qty_compare": lambda w: transfer.transfer_qty_compare(w.transfer()),
+    "transfer_consistency": lambda w: transfer.transfer_consistency(
+        w.counted_header("tot_qty"), w.counted_item("transfer_id", "qty")
+    ),
+    "transfer_monthly": lambda w: transfer.transfer_monthly(w.transfer()),
+    "transfer_cloud": lambda w: transfer.transfer_cloud(w.transfer()),
+    "transfer_cloud_direction": lambda w: transfer.transfer_cloud_direction(w.transfer(), w.store()),
+    "transfer_scorecard": lambda w: transfer.transfer_scorecard(w.transfer()),
+    "transfer_completed": lambda w: transfer.transfer_completed(w.transfer(), w.store()),
+    # stock report
+    "stock_overview": lambda w: stock.stock_overview(w.stock_report()),
+    "onorder_fill": lambda w: stock.onorder_fill(w.stock_report()),
+    "onorder_distribution": lambda w: stock.onorder_distribution(w.stock_report()),
+    "onorder_segments": lambda w: stock.onorder_segments(w.stock_report()),
+    "onorder_by_store": lambda w: stock.onorder_by_store(w.stock_report(), w.store()),
+    "onorder_top_products": lambda w: stock.onorder_top_products(w.stock_report(), w.product(), w.store()),
+    "stock_source_compare": lambda w: stock.stock_source_compare(
+        {"FA_STORAGE": w.storage(), "RP_SIMPLESTORAGE": w.stock_report()}
+    ),
+    "stock_grain_match": lambda w: stock.stock_grain_match(w.storage(), w.stock_report()),
+    "onorder_sample": lambda w: stock.onorder_sample(w.stock_report(), w.product(), w.store()),
+    "warehouse_onorder": lambda w: stock.warehouse_onorder(w.stock_report(), w.product(), w.store()),
+    "stock_with_onorder": lambda w: stock.stock_with_onorder(w.storage(), w.stock_report(), w.product(), w.store()),
+    "onorder_scalar_subquery": lambda w: stock.onorder_scalar_subquery(w.stock_report(), w.store()),
+    "stock_scorecard": lambda w: stock.stock_scorecard(w.stock_report()),
+    "source_candidates": lambda w: stock.source_candidates(
+        {"RP_SIMPLESTORAGE": w.stock_report(), "FA_STORAGE": w.storage(), "M_PURCHASE": w.purchase()}
+    ),
+}
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    return df.select(
+        *[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+          for f in df.schema.fields]
+    )
+
+
+def _query(job: Callable[[Warehouse], DataFrame]) -> Query:
+    return lambda spark, folder: comparable(job(Warehouse(spark, folder)))
+
+
+def queries() -> dict[str, Query]:
+    return {name: _query(job) for name, job in JOBS.items()}

@@ -1,0 +1 @@
+"""No streaming jobs: the warehouse is refreshed by replacing days (see ``shelfline.plans.refresh``), late rows included."""
