@@ -1,329 +1,312 @@
 """Retail source tables laid over the given test tables, so that every job runs on whole tables.
 
-``checks/oracle.py`` states the same mapping as SQL. Column values are derived with plain expressions; the rules that
-make NULLs, inactive rows, negative lines and unknown codes give every branch of the jobs something to do.
+``checks/oracle.py`` states the same mapping for the oracle engine. Column values are derived with plain expressions; the
+rules that make NULLs, inactive rows, negative lines and unknown codes give every branch of the jobs something to do.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
+from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.functions import as_date, day_to_key
+from shelfline.functions import as_date
 
 AS_OF = date(2001, 8, 1)
 
+# Expressions used by several views.
+STORE_NO = "lpad(cast(n_nationkey as string), 2, '0')"
+ORDER_KEY = "year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate)"
+ORDER_ACTIVE = "if(o_orderstatus = 'P' and o_orderpriority = '1-URGENT', 'N', 'Y') as isactive"
+LINE_ACTIVE = "if(l_linenumber = 7, 'N', 'Y') as isactive"
+LINE_ID = "l_orderkey * 8 + l_linenumber as id"
+SKU = "if(l_quantity = 50, null, l_partkey * 2 + l_linenumber % 2) as sku_id"
+PRIORITY = "substr(o_orderpriority, 1, 1)"
+TOTAL = "cast(o_totalprice as decimal(18,2))"
+UNITS = "cast(floor(o_totalprice / 1000) as bigint)"
+PART_IDS = {
+    "m_dim1_id": "cast(substr(p_brand, 7) as bigint) + 1000",
+    "m_dim4_id": """cast(case when p_size = 50 then null when p_type = 'STANDARD' then 133 when p_type = 'MEDIUM' then 134
+        when p_type = 'LARGE' then 136 when p_type = 'SMALL' then 137 when p_type = 'PROMO' then 201
+        when p_type = 'ECONOMY' then 202 end as bigint)""",
+    "m_dim5_id": "cast(case when p_size <= 20 then 224 when p_size <= 35 then 225 when p_size <= 45 then 127 end as bigint)",
+    "m_dim6_id": "cast(if(p_size <= 25, p_size + 3000, null) as bigint)",
+}
+CREATED = "timestamp_ntz'2000-01-01' + make_dt_interval(p_size) as creationdate"
+
+
+def pending(priority: str) -> str:
+    return f"(o_orderstatus = 'P' and o_orderpriority like '{priority}%')"
+
+
+def key_after(days: int) -> str:
+    return f"cast(date_format(date_add(cast(o_orderdate as date), {days}), 'yyyyMMdd') as int)"
+
+
+def view(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Build a table once per folder; asking again returns the same lazy DataFrame."""
+
+    @wraps(build)
+    def cached(self: Sources, *args) -> DataFrame:
+        slot = (build.__name__, *args)
+        if slot not in self.views:
+            self.views[slot] = build(self, *args)
+        return self.views[slot]
+
+    return cached
+
 
 class Sources:
     """Lazy source tables of one test-data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self.views: dict[tuple, DataFrame] = {}
 
+    @view
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     # -- master data ---------------------------------------------------------------------------------------------
 
+    @view
     def store(self) -> DataFrame:
-        n = F.col("n_nationkey")
-        two = F.lpad(n.cast("string"), 2, "0")
-        return self.table("nation").select(
-            n.cast("long").alias("id"),
-            F.when(n == 0, "001")
-            .when(n <= 8, F.concat(F.lit("DS"), two))
-            .when(n <= 16, F.concat(F.lit("RT"), two))
-            .when(n <= 18, F.concat(F.lit("CS"), two))
-            .otherwise(F.concat(F.lit("FN"), two))
-            .alias("code"),
-            F.col("n_name").alias("name"),
-            F.when(n != 7, F.col("n_regionkey").cast("long")).alias("area_id"),
-            F.when((n == 0) | (n >= 19), 1).when(n <= 8, 0).alias("is_warehouse"),
-            F.when((n >= 9) & (n <= 16), 1).alias("is_store"),
-            F.when(n % 5 == 1, F.lit(None)).when(n % 3 == 0, "Y").otherwise("N").alias("is_cloud"),
-            F.when(n == 0, "Y").when(n <= 8, "N").alias("is_center"),
-            F.when(n == 24, "N").otherwise("Y").alias("isactive"),
+        return self.table("nation").selectExpr(
+            "cast(n_nationkey as bigint) as id",
+            f"""case when n_nationkey = 0 then '001' when n_nationkey <= 8 then concat('DS', {STORE_NO})
+                when n_nationkey <= 16 then concat('RT', {STORE_NO}) when n_nationkey <= 18 then concat('CS', {STORE_NO})
+                else concat('FN', {STORE_NO}) end as code""",
+            "n_name as name",
+            "if(n_nationkey = 7, null, cast(n_regionkey as bigint)) as area_id",
+            "case when n_nationkey = 0 or n_nationkey >= 19 then 1 when n_nationkey <= 8 then 0 end as is_warehouse",
+            "case when n_nationkey between 9 and 16 then 1 end as is_store",
+            "case when n_nationkey % 5 = 1 then null when n_nationkey % 3 = 0 then 'Y' else 'N' end as is_cloud",
+            "case when n_nationkey = 0 then 'Y' when n_nationkey <= 8 then 'N' end as is_center",
+            "if(n_nationkey = 24, 'N', 'Y') as isactive",
         )
 
+    @view
     def area(self) -> DataFrame:
-        return self.table("region").select(F.col("r_regionkey").cast("long").alias("id"), F.col("r_name").alias("name"))
-
-    @staticmethod
-    def _part_ids() -> dict[str, Column]:
-        size = F.col("p_size")
-        category = {"STANDARD": 133, "MEDIUM": 134, "LARGE": 136, "SMALL": 137, "PROMO": 201, "ECONOMY": 202}
-        by_type = F.when(size == 50, F.lit(None))
-        for name, code in category.items():
-            by_type = by_type.when(F.col("p_type") == name, code)
-        return {
-            "m_dim1_id": (F.substring("p_brand", 7, 4).cast("long") + 1000),
-            "m_dim4_id": by_type.cast("long"),
-            "m_dim5_id": F.when(size <= 20, 224).when(size <= 35, 225).when(size <= 45, 127).cast("long"),
-            "m_dim6_id": F.when(size <= 25, size + 3000).cast("long"),
-        }
-
-    @staticmethod
-    def _created() -> Column:
-        return F.expr("timestamp_ntz'2000-01-01' + make_dt_interval(p_size)").alias("creationdate")
+        return self.table("region").selectExpr("cast(r_regionkey as bigint) as id", "r_name as name")
 
+    @view
     def product(self) -> DataFrame:
-        size = F.col("p_size")
-        return self.table("part").select(
-            F.col("p_partkey").alias("id"),
-            F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 10, "0")).alias("name"),
-            F.when(size != 13, F.col("p_name")).alias("value"),
-            *[c.alias(n) for n, c in self._part_ids().items()],
-            F.when(size != 49, F.col("p_retailprice").cast("decimal(12,2)")).alias("pricelist"),
-            F.when(size < 40, F.split("p_name", " ")[1]).alias("fabelement"),
-            (F.col("p_retailprice") - 500).cast("decimal(12,2)").alias("precost"),
-            F.when(size == 47, "N").otherwise("Y").alias("isactive"),
-            self._created(),
+        return self.table("part").selectExpr(
+            "p_partkey as id",
+            "concat('P', lpad(cast(p_partkey as string), 10, '0')) as name",
+            "if(p_size = 13, null, p_name) as value",
+            *[f"{expression} as {name}" for name, expression in PART_IDS.items()],
+            "if(p_size = 49, null, cast(p_retailprice as decimal(12,2))) as pricelist",
+            "if(p_size < 40, split_part(p_name, ' ', 2), null) as fabelement",
+            "cast(p_retailprice - 500 as decimal(12,2)) as precost",
+            "if(p_size = 47, 'N', 'Y') as isactive",
+            CREATED,
         )
 
+    @view
     def dim(self) -> DataFrame:
-        ids = self._part_ids()
-
-        def entry(key: str, label: Column) -> Column:
-            return F.struct(ids[key].alias("id"), label.alias("attribname"))
-
-        labels = F.array(
-            entry("m_dim1_id", F.col("p_brand")),
-            entry("m_dim4_id", F.col("p_type")),
-            entry("m_dim5_id", F.when(F.col("p_size") <= 20, "on sale").when(F.col("p_size") <= 35, "new")),
-            entry("m_dim6_id", F.concat(F.lit("Series "), F.col("p_size").cast("string"))),
+        """Lookup of brands, categories, properties and series, from one scan of the parts."""
+        labels = {
+            "m_dim1_id": "p_brand",
+            "m_dim4_id": "p_type",
+            "m_dim5_id": "case when p_size <= 20 then 'on sale' when p_size <= 35 then 'new' end",
+            "m_dim6_id": "concat('Series ', cast(p_size as string))",
+        }
+        entries = ", ".join(
+            f"named_struct('id', {PART_IDS[name]}, 'attribname', {label})" for name, label in labels.items()
         )
-        return self.table("part").select(F.inline(labels)).filter("id is not null").distinct()
+        return self.table("part").selectExpr(f"inline(array({entries}))").filter("id is not null").distinct()
 
+    @view
     def _skus(self) -> DataFrame:
-        return self.table("part").select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("v"))
+        return self.table("part").selectExpr("*", "explode(array(0, 1)) as v")
 
+    @view
     def alias(self) -> DataFrame:
-        size, v, sku = F.col("p_size"), F.col("v"), F.col("p_partkey") * 2 + F.col("v")
-        return self._skus().select(
-            sku.alias("id"),
-            F.when(size != 46, F.concat(F.lit("69"), F.lpad(sku.cast("string"), 10, "0"))).alias("no"),
-            F.col("p_partkey").alias("product_id"),
-            F.when(~((size == 45) & (v == 1)), sku).alias("attr_id"),
-            F.when((size == 44) & (v == 0), "N").otherwise("Y").alias("isactive"),
-            self._created(),
+        return self._skus().selectExpr(
+            "p_partkey * 2 + v as id",
+            "if(p_size = 46, null, concat('69', lpad(cast(p_partkey * 2 + v as string), 10, '0'))) as no",
+            "p_partkey as product_id",
+            "if(p_size = 45 and v = 1, null, p_partkey * 2 + v) as attr_id",
+            "if(p_size = 44 and v = 0, 'N', 'Y') as isactive",
+            CREATED,
         )
 
+    @view
     def attr(self) -> DataFrame:
-        return self._skus().select(
-            (F.col("p_partkey") * 2 + F.col("v")).alias("id"),
-            F.split("p_name", " ")[0].alias("value1"),
-            F.when(F.col("v") == 1, F.concat(F.lit("S"), F.col("p_size").cast("string"))).alias("value2"),
+        return self._skus().selectExpr(
+            "p_partkey * 2 + v as id",
+            "split_part(p_name, ' ', 1) as value1",
+            "if(v = 1, concat('S', cast(p_size as string)), null) as value2",
         )
 
+    @view
     def channel_map(self) -> DataFrame:
         """One channel per e-commerce store code, one of them without a store."""
-        n = F.col("n_nationkey")
-        return self.table("nation").filter(n.between(1, 8)).select(
-            n.alias("channel_id"),
-            F.concat(F.lit("Channel "), n.cast("string")).alias("channel_name"),
-            F.concat(F.lit("CH"), n.cast("string")).alias("channel_code"),
-            F.when(n == 8, "DS99").otherwise(F.concat(F.lit("DS"), F.lpad(n.cast("string"), 2, "0"))).alias("store_code"),
-            F.when(n == 1, 1).when(n <= 5, 0).alias("is_main"),
-            F.when(n <= 4, "marketplace").otherwise("own").alias("platform_type"),
+        return self.table("nation").filter("n_nationkey between 1 and 8").selectExpr(
+            "n_nationkey as channel_id",
+            "concat('Channel ', cast(n_nationkey as string)) as channel_name",
+            "concat('CH', cast(n_nationkey as string)) as channel_code",
+            f"if(n_nationkey = 8, 'DS99', concat('DS', {STORE_NO})) as store_code",
+            "case when n_nationkey = 1 then 1 when n_nationkey <= 5 then 0 end as is_main",
+            "if(n_nationkey <= 4, 'marketplace', 'own') as platform_type",
         )
 
     # -- sales and stock -----------------------------------------------------------------------------------------
 
-    def _orders(self, lo=None, hi=None) -> DataFrame:
-        """Orders; a date range also goes in as a predicate on the stored column, so the scan can skip row groups."""
+    @view
+    def retail(self, lo: date | None = None, hi: date | None = None) -> DataFrame:
+        """Orders as receipts; a date range also becomes a predicate on the stored column, so the scan can skip files."""
         orders = self.table("orders")
         if lo is not None:
-            orders = orders.filter(
-                F.col("o_orderdate").between(
-                    F.lit(as_date(lo)).cast("timestamp_ntz"), F.lit(as_date(hi)).cast("timestamp_ntz")
-                )
-            )
-        return orders
-
-    @staticmethod
-    def _order_active() -> Column:
-        cancelled = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
-        return F.when(cancelled, "N").otherwise("Y").alias("isactive")
-
-    def retail(self, lo=None, hi=None) -> DataFrame:
-        total = F.col("o_totalprice").cast("decimal(18,2)")
-        return self._orders(lo, hi).select(
-            F.col("o_orderkey").alias("id"),
-            day_to_key(F.col("o_orderdate")).alias("billdate"),
-            (F.col("o_custkey") % 25).alias("store_id"),
-            F.when(F.col("o_orderpriority") == "5-LOW", -total).otherwise(total).cast("decimal(18,2)").alias("tot_amt_actual"),
-            F.when(F.col("o_orderstatus") == "P", 1).otherwise(2).alias("status"),
-            self._order_active(),
+            first, last = (F.lit(as_date(d)).cast("timestamp_ntz") for d in (lo, hi))
+            orders = orders.filter(F.col("o_orderdate").between(first, last))
+        return orders.selectExpr(
+            "o_orderkey as id",
+            f"{ORDER_KEY} as billdate",
+            "o_custkey % 25 as store_id",
+            f"cast(if(o_orderpriority = '5-LOW', -{TOTAL}, {TOTAL}) as decimal(18,2)) as tot_amt_actual",
+            "if(o_orderstatus = 'P', 1, 2) as status",
+            ORDER_ACTIVE,
         )
 
-    @staticmethod
-    def _sku() -> Column:
-        return F.when(F.col("l_quantity") != 50, F.col("l_partkey") * 2 + F.col("l_linenumber") % 2).alias("sku_id")
-
+    @view
     def retail_item(self) -> DataFrame:
-        back = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7)
-        sign = F.when(back, -1).otherwise(1)
-        listed = F.col("l_extendedprice").cast("decimal(12,2)")
-        paid = (listed * (1 - F.col("l_discount")).cast("decimal(3,2)")).cast("decimal(14,2)")
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias("retail_id"),
-            F.col("l_partkey").alias("product_id"),
-            self._sku(),
-            (sign * F.col("l_quantity")).cast("long").alias("qty"),
-            (sign * paid).cast("decimal(14,2)").alias("tot_amt_actual"),
-            (sign * listed).cast("decimal(14,2)").alias("tot_amt_list"),
+        sign = "if(l_returnflag = 'R' and l_linenumber = 7, -1, 1)"
+        listed = "cast(l_extendedprice as decimal(12,2))"
+        paid = f"cast({listed} * cast(1 - l_discount as decimal(3,2)) as decimal(14,2))"
+        return self.table("lineitem").selectExpr(
+            "l_orderkey as retail_id",
+            "l_partkey as product_id",
+            SKU,
+            f"cast({sign} * l_quantity as bigint) as qty",
+            f"cast({sign} * {paid} as decimal(14,2)) as tot_amt_actual",
+            f"cast({sign} * {listed} as decimal(14,2)) as tot_amt_list",
         )
 
+    @view
     def storage(self) -> DataFrame:
         """Open lines are stock."""
-        qty, kind = F.col("l_quantity").cast("long"), F.col("l_suppkey") % 4
-        return self.table("lineitem").filter(F.col("l_linestatus") == "O").select(
-            (F.col("l_suppkey") % 25).alias("store_id"),
-            F.col("l_partkey").alias("product_id"),
-            self._sku(),
-            F.when(qty == 49, F.lit(None)).when(kind == 0, qty).when(kind == 1, 0).when(kind == 2, qty % 5)
-            .otherwise(qty % 3).cast("long").alias("qty"),
-            F.when(F.col("l_returnflag") == "N", qty).alias("qtypurchaserem"),
-            F.when((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "A"), "N").otherwise("Y").alias("isactive"),
+        return self.table("lineitem").filter("l_linestatus = 'O'").selectExpr(
+            "l_suppkey % 25 as store_id",
+            "l_partkey as product_id",
+            SKU,
+            """cast(case when l_quantity = 49 then null when l_suppkey % 4 = 0 then l_quantity when l_suppkey % 4 = 1 then 0
+               when l_suppkey % 4 = 2 then l_quantity % 5 else l_quantity % 3 end as bigint) as qty""",
+            "if(l_returnflag = 'N', cast(l_quantity as bigint), null) as qtypurchaserem",
+            "if(l_linenumber = 7 and l_returnflag = 'A', 'N', 'Y') as isactive",
         )
 
+    @view
     def stock_report(self) -> DataFrame:
         """Accepted and new lines per product x store: shares some keys with the stock, not all of them."""
-        qty = F.col("l_quantity").cast("long")
-        on_order = F.when(F.col("l_linenumber") == 7, -qty).otherwise(qty)
         return (
             self.table("lineitem")
-            .filter(F.col("l_returnflag").isin("N", "A"))
-            .groupBy(F.col("l_partkey").alias("product_id"), (F.col("l_suppkey") % 25).alias("store_id"))
+            .filter("l_returnflag in ('N', 'A')")
+            .groupBy(F.expr("l_partkey as product_id"), F.expr("l_suppkey % 25 as store_id"))
             .agg(
-                F.sum(qty).alias("qty"),
-                F.sum(F.when(F.col("l_returnflag") == "N", on_order)).alias("qtypurchaserem"),
+                F.expr("sum(cast(l_quantity as bigint)) as qty"),
+                F.expr(
+                    "sum(if(l_returnflag = 'N', cast(if(l_linenumber = 7, -l_quantity, l_quantity) as bigint), null))"
+                    " as qtypurchaserem"
+                ),
             )
-            .withColumn("isactive", F.when(F.col("qty") == 13, "N").otherwise("Y"))
+            .selectExpr("*", "if(qty = 13, 'N', 'Y') as isactive")
         )
 
     # -- purchases and transfers ---------------------------------------------------------------------------------
 
-    @staticmethod
-    def _pending(priority: str) -> Column:
-        return (F.col("o_orderstatus") == "P") & F.col("o_orderpriority").startswith(priority)
-
+    @view
     def purchase(self) -> DataFrame:
-        ordered = F.floor(F.col("o_totalprice") / 1000).cast("long")
-        status, priority = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
-        received = (
-            F.when(status == "F", ordered)
-            .when(status == "O", ordered + F.when(priority == "1", -1).when(priority == "2", 1).otherwise(0))
-            .when(priority == "1", 0)
-            .when(priority == "2", F.lit(None))
-            .otherwise(ordered)
+        return self.table("orders").selectExpr(
+            "o_orderkey as id",
+            f"{ORDER_KEY} as billdate",
+            f"case when {pending('5')} then null when {pending('4')} then 0 else {key_after(3)} end as datein",
+            "if(o_orderstatus = 'P', 1, 2) as in_status",
+            f"if({pending('3')}, null, o_custkey % 25) as store_id",
+            f"if({pending('2')}, null, o_custkey) as supplier_id",
+            f"{UNITS} as tot_qty",
+            f"""cast(case when o_orderstatus = 'F' then {UNITS}
+                when o_orderstatus = 'O' then {UNITS} + case {PRIORITY} when '1' then -1 when '2' then 1 else 0 end
+                when {PRIORITY} = '1' then 0 when {PRIORITY} = '2' then null else {UNITS} end as bigint) as tot_qtyin""",
+            f"{TOTAL} as tot_amt_actual",
+            f"""cast(case when o_orderstatus <> 'P' then {TOTAL} when {PRIORITY} <= '2' then 0 end as decimal(18,2))
+                as tot_amtin_actual""",
+            "if(o_orderstatus = 'P', null, o_custkey) as inerid",
+            f"if({pending('5')}, null, o_orderdate) as intime",
+            ORDER_ACTIVE,
+            f"if({pending('4')}, null, o_orderdate) as creationdate",
         )
-        total = F.col("o_totalprice").cast("decimal(18,2)")
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("id"),
-            day_to_key(F.col("o_orderdate")).alias("billdate"),
-            F.when(self._pending("5"), F.lit(None)).when(self._pending("4"), 0)
-            .otherwise(day_to_key(F.date_add("o_orderdate", 3))).alias("datein"),
-            F.when(status == "P", 1).otherwise(2).alias("in_status"),
-            F.when(~self._pending("3"), F.col("o_custkey") % 25).alias("store_id"),
-            F.when(~self._pending("2"), F.col("o_custkey")).alias("supplier_id"),
-            ordered.alias("tot_qty"),
-            received.cast("long").alias("tot_qtyin"),
-            total.alias("tot_amt_actual"),
-            F.when(status != "P", total).when(priority <= "2", 0).cast("decimal(18,2)").alias("tot_amtin_actual"),
-            F.when(status != "P", F.col("o_custkey")).alias("inerid"),
-            F.when(~self._pending("5"), F.col("o_orderdate")).alias("intime"),
-            self._order_active(),
-            F.when(~self._pending("4"), F.col("o_orderdate")).alias("creationdate"),
-        )
-
-    @staticmethod
-    def _line_id() -> Column:
-        return (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id")
-
-    @staticmethod
-    def _line_active() -> Column:
-        return F.when(F.col("l_linenumber") == 7, "N").otherwise("Y").alias("isactive")
 
+    @view
     def purchase_item(self) -> DataFrame:
-        qty = F.when(F.col("l_quantity") == 50, 0).otherwise(F.col("l_quantity")).cast("long")
-        flag = F.col("l_returnflag")
-        received = (
-            F.when(flag == "R", qty).when(flag == "A", F.col("l_quantity") - 1)
-            .when(F.col("l_linestatus") == "O", F.lit(None)).otherwise(qty + 1)
-        )
-        return self.table("lineitem").select(
-            self._line_id(), F.col("l_orderkey").alias("purchase_id"), qty.alias("qty"),
-            received.cast("long").alias("qtyin"), self._line_active(), F.col("l_shipdate").alias("creationdate"),
+        qty = "cast(if(l_quantity = 50, 0, l_quantity) as bigint)"
+        return self.table("lineitem").selectExpr(
+            LINE_ID,
+            "l_orderkey as purchase_id",
+            f"{qty} as qty",
+            f"""cast(case when l_returnflag = 'R' then {qty} when l_returnflag = 'A' then l_quantity - 1
+                when l_linestatus = 'O' then null else {qty} + 1 end as bigint) as qtyin""",
+            LINE_ACTIVE,
+            "l_shipdate as creationdate",
         )
 
+    @view
     def transfer(self) -> DataFrame:
-        planned = F.floor(F.col("o_totalprice") / 1000).cast("long")
-        status, priority = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
-        kind = F.col("o_custkey") % 9
-        code = F.when(kind == 8, F.lit(None))
-        for position, name in enumerate(("ORD", "NOR", "ADD", "DIF", "OUT", "IN", "EOR", "XXX")):
-            code = code.when(kind == position, name)
-        received = (
-            F.when(status == "F", planned)
-            .when(status == "P", 0)
-            .when(priority == "1", planned - 1)
-            .when(priority == "2", 0)
-            .otherwise(planned)
-        )
-        arrived = (status == "F") | ((status == "O") & (priority >= "4"))
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("id"),
-            F.concat(F.lit("TF"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("docno"),
-            F.when(self._pending("5"), F.lit(None)).when(self._pending("4"), 0)
-            .otherwise(day_to_key(F.col("o_orderdate"))).alias("billdate"),
-            code.alias("transfertype"),
-            (F.col("o_custkey") % 27).alias("orig_id"),
-            F.when(~self._pending("3"), F.col("o_orderkey") % 25).alias("dest_id"),
-            planned.alias("tot_qty"),
-            F.when(status == "P", 0).otherwise(planned).cast("long").alias("tot_qtyout"),
-            received.cast("long").alias("tot_qtyin"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("tot_amtqty_list"),
-            F.when(priority == "1", 1).when(priority == "2", 3).when(priority != "3", 2).alias("status"),
-            F.when(status == "P", 1).otherwise(2).alias("confirm_status"),
-            F.when(status == "P", 1).otherwise(2).alias("out_status"),
-            F.when(arrived, 2).otherwise(1).alias("in_status"),
-            F.when(status != "P", day_to_key(F.date_add("o_orderdate", 1))).alias("dateout"),
-            F.when(arrived, day_to_key(F.date_add("o_orderdate", 2))).alias("datein"),
-            self._order_active(),
-            F.when(~self._pending("4"), F.col("o_orderdate")).alias("creationdate"),
+        arrived = f"(o_orderstatus = 'F' or (o_orderstatus = 'O' and {PRIORITY} >= '4'))"
+        return self.table("orders").selectExpr(
+            "o_orderkey as id",
+            "concat('TF', lpad(cast(o_orderkey as string), 12, '0')) as docno",
+            f"case when {pending('5')} then null when {pending('4')} then 0 else {ORDER_KEY} end as billdate",
+            """case o_custkey % 9 when 0 then 'ORD' when 1 then 'NOR' when 2 then 'ADD' when 3 then 'DIF' when 4 then 'OUT'
+               when 5 then 'IN' when 6 then 'EOR' when 7 then 'XXX' end as transfertype""",
+            "o_custkey % 27 as orig_id",
+            f"if({pending('3')}, null, o_orderkey % 25) as dest_id",
+            f"{UNITS} as tot_qty",
+            f"if(o_orderstatus = 'P', 0, {UNITS}) as tot_qtyout",
+            f"""cast(case when o_orderstatus = 'F' then {UNITS} when o_orderstatus = 'P' then 0
+                when {PRIORITY} = '1' then {UNITS} - 1 when {PRIORITY} = '2' then 0 else {UNITS} end as bigint) as tot_qtyin""",
+            f"{TOTAL} as tot_amtqty_list",
+            f"case {PRIORITY} when '1' then 1 when '2' then 3 when '3' then null else 2 end as status",
+            "if(o_orderstatus = 'P', 1, 2) as confirm_status",
+            "if(o_orderstatus = 'P', 1, 2) as out_status",
+            f"if({arrived}, 2, 1) as in_status",
+            f"if(o_orderstatus = 'P', null, {key_after(1)}) as dateout",
+            f"if({arrived}, {key_after(2)}, null) as datein",
+            ORDER_ACTIVE,
+            f"if({pending('4')}, null, o_orderdate) as creationdate",
         )
 
+    @view
     def transfer_item(self) -> DataFrame:
-        return self.table("lineitem").select(
-            self._line_id(), F.col("l_orderkey").alias("transfer_id"), F.col("l_quantity").cast("long").alias("qty"),
-            self._line_active(), F.col("l_shipdate").alias("creationdate"),
+        return self.table("lineitem").selectExpr(
+            LINE_ID, "l_orderkey as transfer_id", "cast(l_quantity as bigint) as qty", LINE_ACTIVE,
+            "l_shipdate as creationdate",
         )
 
+    @view
     def counted_header(self, total: str) -> DataFrame:
         """Document headers whose total is counted from the active lines: exact, one too many, or missing by status."""
         lines = (
             self.table("lineitem")
-            .filter(F.col("l_linenumber") != 7)
-            .groupBy(F.col("l_orderkey").alias("id"))
-            .agg(F.sum(F.col("l_quantity").cast("long")).alias("n"))
-        )
-        headers = self.table("orders").select(
-            F.col("o_orderkey").alias("id"), "o_orderstatus", "o_orderpriority", self._order_active()
+            .filter("l_linenumber <> 7")
+            .groupBy("l_orderkey")
+            .agg(F.expr("sum(cast(l_quantity as bigint)) as n"))
         )
-        counted = F.coalesce("n", F.lit(0))
-        off = F.col("o_orderpriority") == "2-HIGH"
-        return headers.join(lines, "id", "left").select(
-            "id",
-            F.when(self._pending("3"), F.lit(None)).when(off, counted + 1).otherwise(counted).cast("long").alias(total),
-            "isactive",
+        return self.table("orders").join(lines, F.expr("o_orderkey = l_orderkey"), "left").selectExpr(
+            "o_orderkey as id",
+            f"""case when {pending('3')} then null when o_orderpriority = '2-HIGH' then coalesce(n, 0) + 1
+                else coalesce(n, 0) end as {total}""",
+            ORDER_ACTIVE,
         )
 
+    @view
     def counted_item(self, key: str, qty: str) -> DataFrame:
-        return self.table("lineitem").select(
-            F.col("l_orderkey").alias(key), F.col("l_quantity").cast("long").alias(qty), self._line_active()
+        return self.table("lineitem").selectExpr(
+            f"l_orderkey as {key}", f"cast(l_quantity as bigint) as {qty}", LINE_ACTIVE
         )
 
     def all_sources(self) -> dict[str, DataFrame]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.adapter import AS_OF, Sources
+from checks.adapter import AS_OF, Sources, view
 from shelfline.functions import date_key
 from shelfline.operators import dims, facts, health, purchase, quality, reports, stock, transfer
 from shelfline.plans import refresh
@@ -28,37 +28,47 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Warehouse(Sources):
     """Warehouse tables computed from the sources of one folder."""
 
+    @view
     def dim_product(self) -> DataFrame:
         return dims.dim_product(self.product(), self.dim())
 
+    @view
     def dim_product_attr(self) -> DataFrame:
         return dims.dim_product_attr(self.product(), self.alias(), self.attr())
 
+    @view
     def dim_sku(self) -> DataFrame:
         return dims.dim_sku(self.alias(), self.attr())
 
+    @view
     def dim_store(self) -> DataFrame:
         return dims.dim_store(self.store(), self.area())
 
+    @view
     def dim_channel(self) -> DataFrame:
         return dims.dim_channel(self.channel_map(), self.store())
 
+    @view
     def sales(self, lo: date = FIRST_DAY, hi: date = LAST_DAY) -> DataFrame:
         whole = (lo, hi) == (FIRST_DAY, LAST_DAY)
         retail = self.retail() if whole else self.retail(lo, hi)
         return facts.sales_daily(retail, self.retail_item(), self.store(), self.product(), lo, hi)
 
+    @view
     def recent_sales(self) -> DataFrame:
         return self.sales(WINDOW_START, AS_OF)
 
+    @view
     def inventory(self) -> DataFrame:
         return facts.inventory_daily(self.storage(), self.store(), self.product(), AS_OF)
 
+    @view
     def health(self) -> DataFrame:
         return health.inventory_health(
             self.inventory(), self.recent_sales(), self.dim_product(), self.dim_sku(), self.dim_store(), AS_OF
         )
 
+    @view
     def graded(self) -> DataFrame:
         return health.sales_trend(health.sabc_grade(self.health()))
 

@@ -68,14 +68,15 @@ def turnover_metrics(df: DataFrame, rules: RetailRules = RetailRules()) -> DataF
     """Daily averages, sales velocity (NULL without sales) and turnover days (sentinel without sales)."""
     long_days, short_days = rules.long_window_days, rules.short_window_days
     sold, sold_short, stock = F.col("sales_qty_30d"), F.col("sales_qty_7d"), F.col("total_qty")
-    return (
-        df.withColumn("daily_avg_sales", ratio(sold, F.lit(long_days), 2))
-        .withColumn("daily_avg_sales_7d", ratio(sold_short, F.lit(short_days), 2))
-        .withColumn("sales_velocity", ratio(sold_short * long_days, sold * short_days, 2))
-        .withColumn(
-            "turnover_days",
-            F.coalesce(ratio(stock * long_days, sold, 1), F.lit(rules.turnover_sentinel)).cast("decimal(20,1)"),
-        )
+    return df.withColumns(
+        {
+            "daily_avg_sales": ratio(sold, F.lit(long_days), 2),
+            "daily_avg_sales_7d": ratio(sold_short, F.lit(short_days), 2),
+            "sales_velocity": ratio(sold_short * long_days, sold * short_days, 2),
+            "turnover_days": F.coalesce(ratio(stock * long_days, sold, 1), F.lit(rules.turnover_sentinel)).cast(
+                "decimal(20,1)"
+            ),
+        }
     )
 
 
@@ -97,8 +98,8 @@ def stock_status(df: DataFrame, rules: RetailRules = RetailRules()) -> DataFrame
         .when(~above_target, L.STATUS_NORMAL)
         .otherwise(L.STATUS_OVERSTOCK)
     )
-    return df.withColumn("inventory_status", status).withColumn(
-        "status_priority", position_in(F.col("inventory_status"), L.STATUS_ORDER).cast("int")
+    return df.withColumns(
+        {"inventory_status": status, "status_priority": position_in(status, L.STATUS_ORDER).cast("int")}
     )
 
 
@@ -169,12 +170,9 @@ def sabc_grade(
         .when(cum <= total * b_cut, "B")
         .otherwise("C")
     )
-    return (
-        ranked.withColumn("sales_ratio", percent(value, total))
-        .withColumn("cumulative_ratio", percent(cum, total))
-        .withColumn("sku_grade", grade)
-        .drop("_cum", "_total")
-    )
+    return ranked.withColumns(
+        {"sales_ratio": percent(value, total), "cumulative_ratio": percent(cum, total), "sku_grade": grade}
+    ).drop("_cum", "_total")
 
 
 def sales_trend(df: DataFrame, rules: RetailRules = RetailRules()) -> DataFrame:

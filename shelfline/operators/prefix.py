@@ -52,8 +52,12 @@ def running_totals(
     )
     within = Window.partitionBy("_slice").orderBy(*order)
     return (
-        sliced.withColumn("_local_rank", F.row_number().over(within))
-        .withColumn("_local_sum", F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        sliced.withColumns(
+            {
+                "_local_rank": F.row_number().over(within),
+                "_local_sum": F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            }
+        )
         .join(F.broadcast(offsets), "_slice")
         .select(
             *df.columns,
