@@ -17,6 +17,18 @@ from shelfline.functions import as_date
 
 AS_OF = date(2001, 8, 1)
 
+# Columns of the given tables; reading with a schema saves a footer-reading job per table.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz""",
+}
+
 # Expressions used by several views.
 STORE_NO = "lpad(cast(n_nationkey as string), 2, '0')"
 ORDER_KEY = "year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate)"
@@ -68,7 +80,7 @@ class Sources:
 
     @view
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # -- master data ---------------------------------------------------------------------------------------------
 

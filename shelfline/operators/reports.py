@@ -26,14 +26,8 @@ def daily_report(sales: DataFrame, channel: DataFrame) -> DataFrame:
     Instead of joining the daily totals to themselves twice, each total is sent to the days it is a comparison for and
     one grouping brings the three figures together. 29 February compares with 28 February of the year before.
     """
-    per_store = (
-        sales.groupBy("date_id", "store_code")
-        .agg(*[
-            F.sum(c).alias(c)
-            for c in ("sales_amount", "sales_amount_list", "sales_qty", "return_amount", "return_qty", "order_count")
-        ])
-    )
     measures = ["sales_amount", "sales_amount_list", "sales_qty", "return_amount", "return_qty", "order_count"]
+    per_store = sales.groupBy("date_id", "store_code").agg(*[F.sum(c).alias(c) for c in measures])
     daily = (
         _with_channel(per_store, channel)
         .groupBy(key_to_date(F.col("date_id")).alias("day"), "channel_id", "channel_name")
@@ -87,15 +81,13 @@ def daily_report(sales: DataFrame, channel: DataFrame) -> DataFrame:
 def sales_summary(sales: DataFrame, product: DataFrame, channel: DataFrame) -> DataFrame:
     """Sales per period x channel x category for days, weeks (from Monday) and months, with active SKUs.
 
-    Facts are first reduced to day x store x category x SKU; the three grains are laid out from that reduced set, and
-    a two-level grouping counts the SKUs that sold in each period.
+    Every fact row is laid out for its three periods and summed per SKU, with partial sums before the one large shuffle;
+    a second grouping on that counts the SKUs that sold, so no distinct aggregate is needed.
     """
     categories = product.select("product_id", "category_id", "category_name")
     measures = ["sales_amount", "sales_qty", "return_amount", "return_qty", "order_count"]
-    reduced = (
-        sales.groupBy("date_id", "store_code", "product_id", "m_productalias_id")
-        .agg(*[F.sum(c).alias(c) for c in measures])
-        .join(categories, "product_id", "left")
+    facts = sales.select("date_id", "store_code", "product_id", "m_productalias_id", *measures).join(
+        categories, "product_id", "left"
     )
     day = key_to_date(F.col("date_id"))
     grains = F.array(
@@ -106,7 +98,7 @@ def sales_summary(sales: DataFrame, product: DataFrame, channel: DataFrame) -> D
     )
     period = ["report_date", "granularity", "channel_id", "channel_name", "category_id", "category_name"]
     per_sku = (
-        _with_channel(reduced, channel)
+        _with_channel(facts, channel)
         .select("*", F.inline(grains))
         .groupBy(*period, "m_productalias_id")
         .agg(*[F.sum(c).alias(c) for c in measures])
