@@ -38,6 +38,10 @@ def sales_daily(
     Headers are cut to the date range and the store scope before they meet the lines, so Spark's runtime bloom filter
     can drop foreign lines ahead of the shuffle. The product filter is a semi join on the aggregate: Catalyst pushes it
     below the aggregation when the products can be broadcast, and otherwise it only sees aggregated rows.
+
+    Orders are counted by a distinct aggregate whose first shuffle includes the order id: rows of a hot SKU spread over
+    the orders. Grouping by order first would save a shuffle, but it would pin the join's partitioning to the order id
+    and so forbid AQE to split an order that holds a large share of all lines.
     """
     stores = _scoped_stores(store, rules.sales_scope)
     headers = (

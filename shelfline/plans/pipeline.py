@@ -58,7 +58,9 @@ def run_all(
         return spark.read.parquet(path(table))
 
     for table, df in build_dims(t, rules).items():
-        overwrite_table(stamp(df, table), path(table))
+        # Products and stores are replaced whatever arrives; an empty SKU extract keeps the stored SKUs.
+        known_skus = table == "dim_sku" and _exists(spark, path(table))
+        overwrite_table(stamp(df, table), path(table), "keep" if known_skus else "replace")
 
     sales_path = path("dws_sales_daily")
     known = stored("dws_sales_daily") if _exists(spark, sales_path) else None

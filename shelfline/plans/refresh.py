@@ -18,7 +18,8 @@ def replace_range(
     """The table after deleting the days [lo, hi] and inserting ``new`` rows of that range.
 
     If ``new`` has no row in the range, the old rows stay unless ``on_empty="clear"``. The test for emptiness is an
-    EXISTS subquery of the same plan, so nothing runs until the result is used.
+    EXISTS subquery of the same plan, so nothing runs until the result is used; it evaluates ``new`` a second time. To
+    replace days of a stored table use ``sources.sinks.replace_days``, which evaluates it once.
     """
     if on_empty not in ("keep", "clear"):
         raise ValueError(f"on_empty must be 'keep' or 'clear', not {on_empty!r}")

@@ -40,6 +40,15 @@ DDL = {
         daily_avg_sales_7d decimal(20,2), sales_velocity decimal(20,2), turnover_days decimal(20,1),
         inventory_status string, status_priority int, suggest_qty bigint, sales_rank bigint,
         sales_ratio decimal(20,2), cumulative_ratio decimal(20,2), sku_grade string, sales_trend string""",
+    "ads_daily_report": """report_date date, channel_id int, channel_name string, sales_amount decimal(18,2),
+        sales_qty bigint, return_amount decimal(18,2), return_qty bigint, net_amount decimal(18,2), net_qty bigint,
+        order_count bigint, avg_price decimal(20,2), return_rate decimal(20,2), discount_rate decimal(20,2),
+        sales_amount_yoy decimal(18,2), yoy_growth decimal(20,2), sales_amount_mom decimal(18,2),
+        mom_growth decimal(20,2)""",
+    "ads_sales_summary": """report_date date, granularity string, channel_id int, channel_name string,
+        category_id bigint, category_name string, sales_amount decimal(18,2), sales_qty bigint,
+        return_amount decimal(18,2), return_qty bigint, net_amount decimal(18,2), order_count bigint, sku_count bigint,
+        avg_price decimal(20,2)""",
 }
 
 

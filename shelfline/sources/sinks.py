@@ -23,9 +23,17 @@ def stamp(df: DataFrame, table: str) -> DataFrame:
     return df
 
 
-def overwrite_table(df: DataFrame, path: str) -> None:
-    """Replace the whole table, schema included. Nothing is removed until the new rows are complete."""
+def overwrite_table(df: DataFrame, path: str, on_empty: str = "replace") -> bool:
+    """Replace the whole table, schema included; tells whether it was written.
+
+    With ``on_empty="keep"`` an empty input leaves the stored table as it is.
+    """
+    if on_empty not in ("keep", "replace"):
+        raise ValueError(f"on_empty must be 'keep' or 'replace', not {on_empty!r}")
+    if on_empty == "keep" and df.isEmpty():
+        return False
     df.write.mode("overwrite").parquet(path)
+    return True
 
 
 def _day_folders(spark: SparkSession, path: str, column: str) -> dict[str, object]:

@@ -8,8 +8,11 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from checks.adapter import AS_OF, Sources
+from checks.queries import Warehouse
+from shelfline.operators.reports import daily_report, sales_summary
 from shelfline.plans.conf import recommended_conf
 from shelfline.plans.pipeline import build_all, run_all
+from shelfline.schema import align_schema, table_schema
 from shelfline.sources import readers, sinks
 
 DAYS = "date_id int, v int"
@@ -57,6 +60,28 @@ def test_overwrite_changes_the_schema(spark, frame, table):
     assert spark.read.parquet(table).columns == ["name"]
 
 
+def test_overwrite_may_keep_on_empty(spark, frame, table):
+    assert sinks.overwrite_table(frame([(1, 1)], DAYS), table)
+    assert not sinks.overwrite_table(frame([], DAYS), table, "keep") and spark.read.parquet(table).count() == 1
+    assert sinks.overwrite_table(frame([], DAYS), table) and spark.read.parquet(table).count() == 0
+    with pytest.raises(ValueError):
+        sinks.overwrite_table(frame([], DAYS), table, "other")
+
+
+def test_results_have_the_table_columns(spark):
+    w = Warehouse(spark, FOLDER)
+    results = {
+        "dws_sales_daily": w.sales(), "dws_inventory_daily": w.inventory(), "ads_inventory_health": w.graded(),
+        "dim_channel": w.dim_channel(), "dim_product_attr": w.dim_product_attr(), "dim_sku": w.dim_sku(),
+        "ads_daily_report": daily_report(w.sales(), w.dim_channel()),
+        "ads_sales_summary": sales_summary(w.sales(), w.dim_product(), w.dim_channel()),
+    }
+    for name, df in results.items():
+        schema = table_schema(name)
+        assert set(df.columns) == set(schema.fieldNames()), name
+        assert align_schema(df, schema).columns == schema.fieldNames(), name
+
+
 def test_stamps_only_in_sinks(frame):
     out = sinks.stamp(frame([(1, 1)], DAYS), "ads_inventory_health")
     assert out.columns == ["date_id", "v", "etl_time", "created_at"]
