@@ -85,12 +85,20 @@ def fill_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def monthly(df: DataFrame, day_key: str, aggregates: Sequence[Column], months: int = 12) -> DataFrame:
-    """Totals per month of a YYYYMMDD column for the latest months; missing and zero dates are left out."""
-    dated = df.filter(F.col(day_key).isNotNull() & (F.col(day_key) > 0))
+def monthly(df: DataFrame, day_key: str, totals: Mapping[str, Column], months: int = 12) -> DataFrame:
+    """Totals per month of a YYYYMMDD column for the latest months; missing and zero dates are left out.
+
+    ``totals`` are counts and sums. They are taken per day first, on the plain integer, so the month is worked out once
+    per day and not once per document.
+    """
+    per_day = (
+        df.filter(F.col(day_key).isNotNull() & (F.col(day_key) > 0))
+        .groupBy(day_key)
+        .agg(*[total.alias(name) for name, total in totals.items()])
+    )
     return (
-        dated.groupBy(month_of(F.col(day_key)).alias("month"))
-        .agg(*aggregates)
+        per_day.groupBy(month_of(F.col(day_key)).alias("month"))
+        .agg(*[F.sum(name).alias(name) for name in totals])
         .orderBy(F.col("month").desc_nulls_last())
         .limit(months)
     )

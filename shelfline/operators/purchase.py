@@ -124,18 +124,14 @@ def purchase_completion(purchase: DataFrame) -> DataFrame:
 
 def purchase_monthly(purchase: DataFrame, months: int = 12) -> DataFrame:
     ordered, received = _header_qty()
-    return monthly(
-        active(purchase),
-        "datein",
-        [
-            F.count(F.lit(1)).alias("receipts"),
-            F.sum(ordered).alias("ordered_qty"),
-            F.sum(received).alias("received_qty"),
-            F.sum("tot_amt_actual").alias("ordered_amount"),
-            F.sum("tot_amtin_actual").alias("received_amount"),
-        ],
-        months,
-    )
+    totals = {
+        "receipts": F.count(F.lit(1)),
+        "ordered_qty": F.sum(ordered),
+        "received_qty": F.sum(received),
+        "ordered_amount": F.sum("tot_amt_actual"),
+        "received_amount": F.sum("tot_amtin_actual"),
+    }
+    return monthly(active(purchase), "datein", totals, months)
 
 
 def _top_receivers(purchase: DataFrame, key: str, limit: int) -> DataFrame:

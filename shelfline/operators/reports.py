@@ -92,8 +92,8 @@ def sales_summary(sales: DataFrame, product: DataFrame, channel: DataFrame) -> D
     day = key_to_date(F.col("date_id"))
     grains = F.array(
         *[
-            F.struct(F.lit(grain).alias("granularity"), start.cast("date").alias("report_date"))
-            for grain, start in (("day", day), ("week", F.date_trunc("week", day)), ("month", F.date_trunc("month", day)))
+            F.struct(F.lit(grain).alias("granularity"), start.alias("report_date"))
+            for grain, start in (("day", day), ("week", F.trunc(day, "week")), ("month", F.trunc(day, "month")))
         ]
     )
     period = ["report_date", "granularity", "channel_id", "channel_name", "category_id", "category_name"]

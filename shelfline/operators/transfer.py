@@ -160,22 +160,27 @@ def transfer_consistency(transfer: DataFrame, transfer_item: DataFrame) -> DataF
     return header_item_consistency(transfer, transfer_item, "tot_qty", "transfer_id", "qty")
 
 
-def _totals() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("documents"),
-        F.sum("tot_qty").alias("total_qty"),
-        F.sum("tot_qtyout").alias("total_out"),
-        F.sum("tot_qtyin").alias("total_in"),
-        F.round(F.sum("tot_amtqty_list"), 2).cast("decimal(20,2)").alias("total_amount"),
-    ]
+def _totals() -> dict[str, Column]:
+    return {
+        "documents": F.count(F.lit(1)),
+        "total_qty": F.sum("tot_qty"),
+        "total_out": F.sum("tot_qtyout"),
+        "total_in": F.sum("tot_qtyin"),
+        "total_amount": F.sum("tot_amtqty_list"),
+    }
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumn("total_amount", F.round("total_amount", 2).cast("decimal(20,2)"))
 
 
 def transfer_monthly(transfer: DataFrame, months: int = 12) -> DataFrame:
-    return monthly(active(transfer), "billdate", _totals(), months)
+    return _rounded(monthly(active(transfer), "billdate", _totals(), months))
 
 
 def transfer_cloud(transfer: DataFrame) -> DataFrame:
-    return active(transfer).filter(F.col("transfertype") == CLOUD_TYPE).agg(*_totals())
+    cloud = active(transfer).filter(F.col("transfertype") == CLOUD_TYPE)
+    return _rounded(cloud.agg(*[total.alias(name) for name, total in _totals().items()]))
 
 
 def transfer_scorecard(transfer: DataFrame) -> DataFrame:

@@ -32,9 +32,11 @@ def test_ratio_of_zero_and_null_is_null(frame):
 
 
 def test_impossible_dates_are_null(frame):
-    df = frame([(20260131,), (0,), (None,), (20261345,)], "k int")
-    assert [r[0] for r in df.select(key_to_date(F.col("k"))).collect()] == [date(2026, 1, 31), None, None, None]
-    assert [r[0] for r in df.select(month_of(F.col("k"))).collect()] == ["2026-01", None, None, None]
+    keys = [20260131, 20240229, 19991231, 0, None, 20261345, 20260229, 20260431, 20260100, 20260001, 7, -20260131, 2147483647]
+    df = frame([(k,) for k in keys], "k int")
+    real = [date(2026, 1, 31), date(2024, 2, 29), date(1999, 12, 31)]
+    assert [r[0] for r in df.select(key_to_date(F.col("k"))).collect()] == real + [None] * 10
+    assert [r[0] for r in df.select(month_of(F.col("k"))).collect()] == ["2026-01", "2024-02", "1999-12"] + [None] * 10
 
 
 def test_quantity_rounds_and_fills(frame):
