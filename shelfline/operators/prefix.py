@@ -68,15 +68,26 @@ def running_totals(
     )
 
 
-def exact_median(df: DataFrame, value: str, name: str = "median") -> DataFrame:
-    """Exact median of the non-null values as one row: equal values are counted first, then ranked by running count."""
-    counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counted, [F.col("_v")], "_n", "_upto", "_pos", "_all")
-    first = F.col("_upto") - F.col("_n")
-    low, high = F.floor((F.col("_all") + 1) / 2), F.ceil((F.col("_all") + 1) / 2)
+def ranked_counts(df: DataFrame, value: str) -> DataFrame:
+    """Distinct non-null values as ``v`` with their count ``n``, the count up to and including them and of all rows.
+
+    A value that fills a third of the table is one row here, counted before the shuffle.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return running_totals(counted, [F.col("v").asc()], "n", "upto", "position", "rows")
+
+
+def median_of_counts() -> Column:
+    """Aggregate over ``ranked_counts``: the exact median, that is the mean of the two middle values."""
+    before = F.col("upto") - F.col("n")
+    low, high = F.floor((F.col("rows") + 1) / 2), F.ceil((F.col("rows") + 1) / 2)
 
     def holds(position: Column) -> Column:
-        return ((first < position) & (position <= F.col("_upto"))).cast("int")
+        return ((before < position) & (position <= F.col("upto"))).cast("int")
+
+    return F.sum(F.col("v") * (holds(low) + holds(high))) / F.lit(2)
 
-    weight = holds(low) + holds(high)
-    return ranked.agg((F.sum(F.col("_v") * weight) / F.lit(2)).alias(name))
+
+def exact_median(df: DataFrame, value: str, name: str = "median") -> DataFrame:
+    """Exact median of the non-null values as one row, without collecting them in one task."""
+    return ranked_counts(df, value).agg(median_of_counts().alias(name))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline import rules as L
 from shelfline.functions import count_when, percent, ratio
-from shelfline.operators.prefix import exact_median
+from shelfline.operators.prefix import median_of_counts, ranked_counts
 from shelfline.operators.profile import active, rate, scorecard, stack_rows, with_share
 from shelfline.rules import RetailRules
 
@@ -44,21 +44,16 @@ def onorder_fill(report: DataFrame) -> DataFrame:
 
 
 def onorder_distribution(report: DataFrame) -> DataFrame:
-    """Smallest, largest, mean, median and sum of the positive on-order quantities.
-
-    The median is exact and distributed; it meets the other figures in a join of two one-row frames.
-    """
-    positive = active(report).filter(_on_order() > 0).select(_on_order())
-    basics = positive.agg(
-        F.min(_on_order()).alias("min_qty"),
-        F.max(_on_order()).alias("max_qty"),
-        ratio(F.sum(_on_order()), F.count(_on_order()), 2).alias("avg_qty"),
-        F.sum(_on_order()).alias("total_qty"),
-    ).withColumn("_one", F.lit(1))
-    median = exact_median(positive, "qtypurchaserem", "_median").select(
-        F.lit(1).alias("_one"), F.round(F.col("_median").cast("decimal(20,4)"), 2).alias("median_qty")
+    """Smallest, largest, mean, exact median and sum of the positive on-order quantities, all from their counts."""
+    counts = ranked_counts(active(report).filter(_on_order() > 0), "qtypurchaserem")
+    value, total = F.col("v"), F.sum(F.col("v") * F.col("n"))
+    return counts.agg(
+        F.min(value).alias("min_qty"),
+        F.max(value).alias("max_qty"),
+        ratio(total, F.sum("n"), 2).alias("avg_qty"),
+        F.round(median_of_counts().cast("decimal(20,4)"), 2).alias("median_qty"),
+        total.alias("total_qty"),
     )
-    return basics.join(median, "_one").select("min_qty", "max_qty", "avg_qty", "median_qty", "total_qty")
 
 
 def onorder_bucket() -> tuple[Column, Column]:
