@@ -51,23 +51,26 @@ def pending(p: str) -> str:
 
 
 def sales_sql(lo: int, hi: int) -> str:
+    """Receipts of the scoped stores, their lines of main products, one row per day x store x SKU."""
     return f"""
-    SELECT CAST(r.billdate AS INTEGER) AS date_id, CAST(r.store_id AS BIGINT) AS store_id, s.code AS store_code,
-           coalesce(s.is_cloud, 'N') AS is_cloud_store, ri.product_id, ri.sku_id AS m_productalias_id,
-           CAST(sum(CASE WHEN r.tot_amt_actual > 0 THEN ri.qty ELSE 0 END) AS BIGINT) AS sales_qty,
-           CAST(sum(CASE WHEN r.tot_amt_actual > 0 THEN ri.tot_amt_actual ELSE 0 END) AS DECIMAL(18,2)) AS sales_amount,
-           CAST(sum(CASE WHEN r.tot_amt_actual > 0 THEN ri.tot_amt_list ELSE 0 END) AS DECIMAL(18,2)) AS sales_amount_list,
-           CAST(sum(CASE WHEN r.tot_amt_actual < 0 THEN abs(ri.qty) ELSE 0 END) AS BIGINT) AS return_qty,
-           CAST(sum(CASE WHEN r.tot_amt_actual < 0 THEN abs(ri.tot_amt_actual) ELSE 0 END) AS DECIMAL(18,2)) AS return_amount,
-           count(DISTINCT CASE WHEN r.tot_amt_actual > 0 THEN r.id END) AS order_count
-    FROM src_item ri LEFT JOIN src_retail r ON ri.retail_id = r.id LEFT JOIN src_store s ON r.store_id = s.id
-    LEFT JOIN src_product p ON ri.product_id = p.id
-    WHERE r.isactive = 'Y' AND r.status = 2 AND r.billdate >= {lo} AND r.billdate <= {hi} AND ri.sku_id IS NOT NULL
-      AND {SALES_SCOPE} AND p.m_dim4_id IN {MAIN}
-    GROUP BY r.billdate, r.store_id, s.code, coalesce(s.is_cloud, 'N'), ri.product_id, ri.sku_id"""
-
-
-SOLD, STOCK, SHORT = "coalesce(sales.sales_qty_30d, 0)", "inv.total_qty", "coalesce(sales.sales_qty_7d, 0)"
+    SELECT billdate AS date_id, store_id, coalesce(code, '') AS store_code, coalesce(is_cloud, 'N') AS is_cloud_store,
+           product_id, sku_id AS m_productalias_id,
+           CAST(coalesce(sum(qty) FILTER (WHERE sign = 1), 0) AS BIGINT) AS sales_qty,
+           CAST(coalesce(sum(paid) FILTER (WHERE sign = 1), 0) AS DECIMAL(18,2)) AS sales_amount,
+           CAST(coalesce(sum(listed) FILTER (WHERE sign = 1), 0) AS DECIMAL(18,2)) AS sales_amount_list,
+           CAST(coalesce(sum(abs(qty)) FILTER (WHERE sign = -1), 0) AS BIGINT) AS return_qty,
+           CAST(coalesce(sum(abs(paid)) FILTER (WHERE sign = -1), 0) AS DECIMAL(18,2)) AS return_amount,
+           count(DISTINCT receipt) FILTER (WHERE sign = 1) AS order_count
+    FROM (SELECT id AS receipt, billdate, store_id, sign(tot_amt_actual) AS sign FROM src_retail
+          WHERE isactive = 'Y' AND status = 2 AND billdate BETWEEN {lo} AND {hi}) receipts
+    JOIN (SELECT retail_id AS receipt, product_id, sku_id, qty, tot_amt_actual AS paid, tot_amt_list AS listed FROM src_item
+          WHERE sku_id IS NOT NULL AND product_id IN (SELECT id FROM src_product WHERE m_dim4_id IN {MAIN})) lines
+         USING (receipt)
+    JOIN (SELECT id AS store_id, code, is_cloud FROM src_store WHERE {SALES_SCOPE}) shops USING (store_id)
+    GROUP BY ALL"""
+
+
+SOLD, STOCK, SHORT = "sales_qty_30d", "total_qty", "sales_qty_7d"
 
 
 def status_case(stock: str, sold: str, labels: list[str]) -> str:
@@ -101,23 +104,18 @@ def trend(sold: str, short: str) -> str:
 
 
 HEALTH_COLUMNS = f"""
-    SELECT {AS_OF} AS snapshot_date, p.product_id, inv.sku_id, sku.sku_barcode, sku.sku_color AS color,
-           sku.sku_size AS size, p.product_code, p.product_name, p.category_id, p.category_name, p.property_id,
-           p.property_name, p.series_id, p.series_name, p.price_list, inv.total_qty, inv.warehouse_qty, inv.cloud_qty,
-           inv.purchase_rem_qty, {SOLD} AS sales_qty_30d,
-           CAST(coalesce(sales.sales_amt_30d, 0) AS DECIMAL(18,2)) AS sales_amt_30d, {SHORT} AS sales_qty_7d,
-           coalesce(sales.return_qty_30d, 0) AS return_qty_30d,
-           CAST(coalesce(sales.return_amount_30d, 0) AS DECIMAL(18,2)) AS return_amount_30d,
+    SELECT {AS_OF} AS snapshot_date, product_id, sku_id, sku_barcode, sku_color AS color, sku_size AS size, product_code,
+           product_name, category_id, category_name, property_id, property_name, series_id, series_name, price_list,
+           total_qty, warehouse_qty, cloud_qty, purchase_rem_qty, {SOLD}, sales_amt_30d, {SHORT}, return_qty_30d,
+           return_amount_30d,
            {rnd(SOLD, "30", 2)} AS daily_avg_sales, {rnd(SHORT, "7", 2)} AS daily_avg_sales_7d,
            {rnd(f"30 * {SHORT}", f"7 * {SOLD}", 2)} AS sales_velocity,
            coalesce({rnd(f"30 * {STOCK}", SOLD, 1)}, 9999) AS turnover_days,
            {status_case(STOCK, SOLD, STATUS)} AS inventory_status,
            CAST({status_case(STOCK, SOLD, PRIORITY)} AS INTEGER) AS status_priority,
-           {suggest(STOCK, SOLD, "coalesce(sales.return_qty_30d, 0)", "inv.purchase_rem_qty")} AS suggest_qty
-    FROM stock_side inv LEFT JOIN dim_product p ON inv.product_id = p.product_id
-    LEFT JOIN dim_sku sku ON inv.sku_id = sku.sku_id
-    LEFT JOIN sales_side sales ON inv.product_id = sales.product_id AND inv.sku_id = sales.sku_id
-    WHERE p.is_main_product = 'Y'"""
+           {suggest(STOCK, SOLD, "return_qty_30d", "purchase_rem_qty")} AS suggest_qty
+    FROM sku_window JOIN (SELECT * FROM dim_product WHERE is_main_product = 'Y') USING (product_id)
+    LEFT JOIN (SELECT sku_id, sku_barcode, sku_color, sku_size FROM dim_sku) USING (sku_id)"""
 
 CTES: dict[str, str] = {
     # -- the retail view of the given tables
@@ -265,31 +263,34 @@ CTES: dict[str, str] = {
     FROM orders LEFT JOIN (SELECT l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS n FROM lineitem WHERE l_linenumber <> 7
                            GROUP BY l_orderkey) ON l_orderkey = o_orderkey""",
     # -- warehouse tables
+    "labels": "SELECT id AS label_id, attribname AS label FROM src_dim",
     "dim_product": f"""
-    SELECT p.id AS product_id, p.name AS product_code, p.value AS product_name, coalesce(p.m_dim4_id, 0) AS category_id,
-           coalesce(d4.attribname, '未分类') AS category_name, coalesce(p.m_dim5_id, 0) AS property_id,
-           coalesce(d5.attribname, '未知') AS property_name, coalesce(p.m_dim6_id, 0) AS series_id,
-           coalesce(d6.attribname, '') AS series_name, coalesce(p.m_dim1_id, 0) AS brand_id,
-           coalesce(d1.attribname, '') AS brand_name, CAST(coalesce(p.pricelist, 0) AS DOUBLE) AS price_list,
-           coalesce(p.fabelement, '') AS material, CAST(coalesce(p.precost, 0) AS DOUBLE) AS price_cost,
-           CASE WHEN p.m_dim4_id IN {MAIN} THEN 'Y' ELSE 'N' END AS is_main_product, p.isactive AS is_active,
-           p.creationdate AS created_at
-    FROM src_product p LEFT JOIN src_dim d1 ON p.m_dim1_id = d1.id LEFT JOIN src_dim d4 ON p.m_dim4_id = d4.id
-    LEFT JOIN src_dim d5 ON p.m_dim5_id = d5.id LEFT JOIN src_dim d6 ON p.m_dim6_id = d6.id
-    WHERE p.isactive = 'Y'""",
+    SELECT id AS product_id, name AS product_code, value AS product_name, coalesce(m_dim4_id, 0) AS category_id,
+           coalesce(category.label, '未分类') AS category_name, coalesce(m_dim5_id, 0) AS property_id,
+           coalesce(property.label, '未知') AS property_name, coalesce(m_dim6_id, 0) AS series_id,
+           coalesce(series.label, '') AS series_name, coalesce(m_dim1_id, 0) AS brand_id,
+           coalesce(brand.label, '') AS brand_name, CAST(coalesce(pricelist, 0) AS DOUBLE) AS price_list,
+           coalesce(fabelement, '') AS material, CAST(coalesce(precost, 0) AS DOUBLE) AS price_cost,
+           if(coalesce(m_dim4_id IN {MAIN}, false), 'Y', 'N') AS is_main_product, isactive AS is_active,
+           creationdate AS created_at
+    FROM (SELECT * FROM src_product WHERE isactive = 'Y')
+    LEFT JOIN labels category ON category.label_id = m_dim4_id LEFT JOIN labels property ON property.label_id = m_dim5_id
+    LEFT JOIN labels series ON series.label_id = m_dim6_id LEFT JOIN labels brand ON brand.label_id = m_dim1_id""",
     "dim_sku": """
-    SELECT pa.id AS sku_id, coalesce(pa.no, '') AS sku_barcode, pa.product_id, coalesce(a.value1, '') AS sku_color,
-           coalesce(a.value2, '') AS sku_size, pa.isactive AS is_active, pa.creationdate AS created_at
-    FROM src_alias pa LEFT JOIN src_attr a ON pa.attr_id = a.id WHERE pa.isactive = 'Y'""",
+    SELECT id AS sku_id, coalesce(no, '') AS sku_barcode, product_id, coalesce(value1, '') AS sku_color,
+           coalesce(value2, '') AS sku_size, isactive AS is_active, creationdate AS created_at
+    FROM (SELECT * FROM src_alias WHERE isactive = 'Y')
+    LEFT JOIN (SELECT id AS attr_id, value1, value2 FROM src_attr) USING (attr_id)""",
     "dim_store": """
-    SELECT s.id AS store_id, s.code AS store_code, s.name AS store_name, coalesce(s.area_id, 0) AS area_id,
-           coalesce(a.name, '未知区域') AS area_name, coalesce(s.is_warehouse, 0) AS is_warehouse,
-           coalesce(s.is_store, 0) AS is_store, coalesce(s.is_cloud, 'N') AS is_cloud_store,
-           coalesce(s.is_center, 'N') AS is_center,
-           CASE WHEN s.code = '001' THEN '总仓' WHEN s.code LIKE 'DS%' THEN '电商' WHEN s.code LIKE 'RT%' THEN '门店'
-                WHEN s.code LIKE 'CS%' THEN '测试' ELSE '功能仓' END AS store_type,
-           s.isactive AS is_active
-    FROM src_store s LEFT JOIN src_area a ON s.area_id = a.id WHERE s.isactive = 'Y'""",
+    SELECT id AS store_id, code AS store_code, name AS store_name, coalesce(area_id, 0) AS area_id,
+           coalesce(area_name, '未知区域') AS area_name, coalesce(is_warehouse, 0) AS is_warehouse,
+           coalesce(is_store, 0) AS is_store, coalesce(is_cloud, 'N') AS is_cloud_store,
+           coalesce(is_center, 'N') AS is_center,
+           coalesce(if(code = '001', '总仓', map {'DS': '电商', 'RT': '门店', 'CS': '测试'}[substr(code, 1, 2)]), '功能仓')
+               AS store_type,
+           isactive AS is_active
+    FROM (SELECT * FROM src_store WHERE isactive = 'Y')
+    LEFT JOIN (SELECT id AS area_id, name AS area_name FROM src_area) USING (area_id)""",
     "dim_channel": """
     SELECT CAST(c.channel_id AS INTEGER) AS channel_id, c.channel_name, c.channel_code, c.store_code,
            coalesce(c.is_main, 0) AS is_main, c.platform_type, coalesce(s.isactive, 'N') AS is_active
@@ -298,34 +299,35 @@ CTES: dict[str, str] = {
     "dws_sales_recent": sales_sql(D30, AS_OF_KEY),
     "dws_sales_range": sales_sql(LO, HI),
     "dws_inventory": f"""
-    SELECT {AS_OF_KEY} AS date_id, CAST(fs.store_id AS BIGINT) AS store_id, s.code AS store_code,
-           coalesce(s.is_cloud, 'N') AS is_cloud_store, fs.product_id, fs.sku_id AS m_productalias_id,
-           CAST(sum(coalesce(fs.qty, 0)) AS BIGINT) AS qty, CAST(sum(coalesce(fs.qty, 0)) AS BIGINT) AS qty_valid,
-           CAST(0 AS BIGINT) AS qty_occupy, CAST(sum(coalesce(fs.qtypurchaserem, 0)) AS BIGINT) AS qtypurchaserem
-    FROM src_storage fs LEFT JOIN src_store s ON fs.store_id = s.id LEFT JOIN src_product p ON fs.product_id = p.id
-    WHERE fs.isactive = 'Y' AND fs.sku_id IS NOT NULL AND {STOCK_SCOPE} AND p.m_dim4_id IN {MAIN}
-    GROUP BY fs.store_id, s.code, s.is_cloud, fs.product_id, fs.sku_id""",
+    SELECT {AS_OF_KEY} AS date_id, store_id, coalesce(code, '') AS store_code, coalesce(is_cloud, 'N') AS is_cloud_store,
+           product_id, sku_id AS m_productalias_id, CAST(coalesce(sum(qty), 0) AS BIGINT) AS qty,
+           CAST(coalesce(sum(qty), 0) AS BIGINT) AS qty_valid, CAST(0 AS BIGINT) AS qty_occupy,
+           CAST(coalesce(sum(qtypurchaserem), 0) AS BIGINT) AS qtypurchaserem
+    FROM (SELECT * FROM src_storage WHERE isactive = 'Y' AND sku_id IS NOT NULL
+          AND product_id IN (SELECT id FROM src_product WHERE m_dim4_id IN {MAIN}))
+    JOIN (SELECT id AS store_id, code, is_cloud FROM src_store WHERE {STOCK_SCOPE}) USING (store_id)
+    GROUP BY ALL""",
     "stock_side": f"""
-    SELECT i.product_id, i.m_productalias_id AS sku_id, CAST(sum(i.qty) AS BIGINT) AS total_qty,
-           CAST(sum(CASE WHEN s.store_code = '001' THEN i.qty ELSE 0 END) AS BIGINT) AS warehouse_qty,
-           CAST(sum(CASE WHEN s.is_cloud_store = 'Y' THEN i.qty ELSE 0 END) AS BIGINT) AS cloud_qty,
-           CAST(sum(coalesce(i.qtypurchaserem, 0)) AS BIGINT) AS purchase_rem_qty
-    FROM dws_inventory i LEFT JOIN dim_store s ON i.store_id = s.store_id
-    WHERE i.date_id = {AS_OF_KEY} AND i.m_productalias_id IS NOT NULL AND {W_STOCK_SCOPE}
-    GROUP BY i.product_id, i.m_productalias_id""",
+    SELECT product_id, m_productalias_id AS sku_id, CAST(sum(qty) AS BIGINT) AS total_qty,
+           CAST(coalesce(sum(qty) FILTER (WHERE s.store_code = '001'), 0) AS BIGINT) AS warehouse_qty,
+           CAST(coalesce(sum(qty) FILTER (WHERE s.is_cloud_store = 'Y'), 0) AS BIGINT) AS cloud_qty,
+           CAST(sum(qtypurchaserem) AS BIGINT) AS purchase_rem_qty
+    FROM dws_inventory JOIN dim_store s USING (store_id) WHERE {W_STOCK_SCOPE} GROUP BY ALL""",
     "sales_side": f"""
-    SELECT ds.product_id, ds.m_productalias_id AS sku_id, CAST(sum(ds.sales_qty) AS BIGINT) AS sales_qty_30d,
-           CAST(sum(ds.sales_amount) AS DECIMAL(18,2)) AS sales_amt_30d,
-           CAST(sum(CASE WHEN ds.date_id >= {D7} THEN ds.sales_qty ELSE 0 END) AS BIGINT) AS sales_qty_7d,
-           CAST(sum(ds.return_qty) AS BIGINT) AS return_qty_30d,
-           CAST(sum(ds.return_amount) AS DECIMAL(18,2)) AS return_amount_30d
-    FROM dws_sales_recent ds LEFT JOIN dim_store s ON ds.store_id = s.store_id
-    WHERE ds.date_id >= {D30} AND {W_SALES_SCOPE} AND ds.m_productalias_id IS NOT NULL
-    GROUP BY ds.product_id, ds.m_productalias_id""",
+    SELECT product_id, m_productalias_id AS sku_id, CAST(sum(sales_qty) AS BIGINT) AS sales_qty_30d,
+           CAST(sum(sales_amount) AS DECIMAL(18,2)) AS sales_amt_30d,
+           CAST(coalesce(sum(sales_qty) FILTER (WHERE date_id >= {D7}), 0) AS BIGINT) AS sales_qty_7d,
+           CAST(sum(return_qty) AS BIGINT) AS return_qty_30d,
+           CAST(sum(return_amount) AS DECIMAL(18,2)) AS return_amount_30d
+    FROM dws_sales_recent WHERE store_id IN (SELECT store_id FROM dim_store s WHERE {W_SALES_SCOPE}) GROUP BY ALL""",
     "sku_window": """
-    SELECT i.product_id, i.sku_id, i.total_qty, i.purchase_rem_qty, coalesce(s.sales_qty_30d, 0) AS sales_qty_30d,
-           coalesce(s.sales_qty_7d, 0) AS sales_qty_7d, coalesce(s.return_qty_30d, 0) AS return_qty_30d
-    FROM stock_side i LEFT JOIN sales_side s ON i.product_id = s.product_id AND i.sku_id = s.sku_id""",
+    SELECT * REPLACE (coalesce(sales_qty_30d, 0) AS sales_qty_30d, coalesce(sales_qty_7d, 0) AS sales_qty_7d,
+                      coalesce(return_qty_30d, 0) AS return_qty_30d,
+                      CAST(coalesce(sales_amt_30d, 0) AS DECIMAL(18,2)) AS sales_amt_30d,
+                      CAST(coalesce(return_amount_30d, 0) AS DECIMAL(18,2)) AS return_amount_30d)
+    FROM stock_side LEFT JOIN sales_side USING (product_id, sku_id)""",
+    "sku_measures": """
+    SELECT product_id, sku_id, total_qty, purchase_rem_qty, sales_qty_30d, sales_qty_7d, return_qty_30d FROM sku_window""",
     "health": HEALTH_COLUMNS,
     "ranked": """
     SELECT *, sum(sales_amt_30d) OVER () AS total_,
@@ -379,8 +381,8 @@ def share(table: str, group: str, columns: str) -> str:
 
 def profile(label: str, table: str) -> str:
     return f"""SELECT '{label}' AS table_name, count(*) AS total_rows, count(DISTINCT id) AS distinct_ids,
-        count(CASE WHEN isactive = 'Y' THEN 1 END) AS active_rows,
-        count(CASE WHEN isactive = 'N' THEN 1 END) AS inactive_rows,
+        count(*) FILTER (WHERE isactive = 'Y') AS active_rows,
+        count(*) FILTER (WHERE isactive = 'N') AS inactive_rows,
         min(creationdate) AS first_created, max(creationdate) AS last_created FROM {table}"""
 
 
@@ -439,9 +441,9 @@ def flows(columns: str, group: str) -> str:
 
 def consistency(qty_alias: str) -> str:
     gap = "abs(h.total - coalesce(i.n, 0))"
-    return f"""SELECT count(DISTINCT h.id) AS documents, count(CASE WHEN {gap} <= 0.01 THEN 1 END) AS consistent,
-        count(CASE WHEN {gap} > 0.01 THEN 1 END) AS inconsistent,
-        {pct(f"count(CASE WHEN {gap} <= 0.01 THEN 1 END)", "count(DISTINCT h.id)")} AS consistent_pct
+    return f"""SELECT count(DISTINCT h.id) AS documents, count(*) FILTER (WHERE {gap} <= 0.01) AS consistent,
+        count(*) FILTER (WHERE {gap} > 0.01) AS inconsistent,
+        {pct(f"count(*) FILTER (WHERE {gap} <= 0.01)", "count(DISTINCT h.id)")} AS consistent_pct
         FROM counted h LEFT JOIN (SELECT l_orderkey AS id, sum(CAST(l_quantity AS BIGINT)) AS n FROM lineitem
         WHERE l_linenumber <> 7 GROUP BY l_orderkey) i ON h.id = i.id WHERE h.isactive = 'Y'"""
 
@@ -463,7 +465,7 @@ def present(*conditions: str) -> str:
 
 
 P_DIMS = present("count(store_id)", "count(supplier_id)", "count(billdate)", "count(datein)")
-P_MEAS = present("count(CASE WHEN tot_qtyin > 0 THEN 1 END)", "count(CASE WHEN tot_amtin_actual > 0 THEN 1 END)")
+P_MEAS = present("count(*) FILTER (WHERE tot_qtyin > 0)", "count(*) FILTER (WHERE tot_amtin_actual > 0)")
 X_RATES = f"coalesce({pct('count(orig_id)', 'count(*)')}, 0) >= 95 AND coalesce({pct('count(dest_id)', 'count(*)')}, 0) >= 95"
 X_BOTH = f"CASE WHEN {X_RATES} THEN 'PASS' ELSE 'WARNING' END"
 T_SUMS = (
@@ -554,46 +556,47 @@ ORACLES: dict[str, str] = {
     "turnover": f"""SELECT *, {rnd("sales_qty_30d", "30", 2)} AS daily_avg_sales,
         {rnd("sales_qty_7d", "7", 2)} AS daily_avg_sales_7d,
         {rnd("30 * sales_qty_7d", "7 * sales_qty_30d", 2)} AS sales_velocity,
-        coalesce({rnd("30 * total_qty", "sales_qty_30d", 1)}, 9999) AS turnover_days FROM sku_window""",
+        coalesce({rnd("30 * total_qty", "sales_qty_30d", 1)}, 9999) AS turnover_days FROM sku_measures""",
     "inventory_status": f"""SELECT *, {status_case("total_qty", "sales_qty_30d", STATUS)} AS inventory_status,
-        CAST({status_case("total_qty", "sales_qty_30d", PRIORITY)} AS INTEGER) AS status_priority FROM sku_window""",
+        CAST({status_case("total_qty", "sales_qty_30d", PRIORITY)} AS INTEGER) AS status_priority FROM sku_measures""",
     "suggest_qty": f"""SELECT *, {suggest("total_qty", "sales_qty_30d", "return_qty_30d", "purchase_rem_qty")} AS suggest_qty
-        FROM sku_window""",
+        FROM sku_measures""",
     "sabc_grade": f"SELECT {MART_DOUBLES.replace('* REPLACE (', '* REPLACE (CAST(price_list AS DOUBLE) AS price_list, ')} FROM graded",
     "sales_trend": f"""SELECT *, {rnd("30 * sales_qty_7d", "7 * sales_qty_30d", 2)} AS sales_velocity,
         {trend("sales_qty_30d", "sales_qty_7d")} AS sales_trend FROM (
         SELECT p.category_id, {big("sum(sales_qty)")} AS sales_qty_30d,
-               {big(f"sum(CASE WHEN date_id >= {D7} THEN sales_qty ELSE 0 END)")} AS sales_qty_7d
+               {big(f"coalesce(sum(sales_qty) FILTER (WHERE date_id >= {D7}), 0)")} AS sales_qty_7d
         FROM dws_sales_recent s JOIN dim_product p ON s.product_id = p.product_id GROUP BY p.category_id)""",
     "status_summary": f"""SELECT inventory_status, count(*) AS sku_count, {big("sum(total_qty)")} AS total_qty
         FROM health GROUP BY inventory_status""",
     "grade_summary": f"""SELECT sku_grade, count(*) AS sku_count, {big("sum(sales_qty_30d)")} AS sales_qty
         FROM graded GROUP BY sku_grade""",
-    "replenish_summary": f"""SELECT count(CASE WHEN purchase_rem_qty > 0 THEN 1 END) AS sku_with_rem,
+    "replenish_summary": f"""SELECT count(*) FILTER (WHERE purchase_rem_qty > 0) AS sku_with_rem,
         {big("sum(purchase_rem_qty)")} AS total_rem_qty,
-        {big("sum(CASE WHEN suggest_qty > 0 THEN suggest_qty ELSE 0 END)")} AS total_positive_suggest,
-        {big("sum(CASE WHEN suggest_qty < 0 THEN suggest_qty ELSE 0 END)")} AS total_negative_suggest,
-        {big("sum(suggest_qty)")} AS total_suggest_qty, count(CASE WHEN suggest_qty < 0 THEN 1 END) AS sku_with_negative
+        {big("coalesce(sum(suggest_qty) FILTER (WHERE suggest_qty > 0), 0)")} AS total_positive_suggest,
+        {big("coalesce(sum(suggest_qty) FILTER (WHERE suggest_qty < 0), 0)")} AS total_negative_suggest,
+        {big("sum(suggest_qty)")} AS total_suggest_qty, count(*) FILTER (WHERE suggest_qty < 0) AS sku_with_negative
         FROM health""",
     "export_health": """SELECT snapshot_date, product_id, product_code, product_name, category_id, category_name, total_qty,
         warehouse_qty, cloud_qty, purchase_rem_qty, sales_qty_30d, sales_qty_7d, return_qty_30d, daily_avg_sales,
         daily_avg_sales_7d, sales_velocity, turnover_days, inventory_status, sku_grade, suggest_qty FROM graded""",
-    "replenish_product": f"""SELECT p.name AS product_code, p.value AS product_name, {dbl("coalesce(i.stock, 0)")} AS stock_qty,
-        {rnd("s.sold", "30", 4)} AS daily_avg_sales, {rnd("30 * coalesce(i.stock, 0)", "s.sold", 1)} AS turnover_days,
-        {dbl("s.returned")} AS return_qty_30d, {dbl("coalesce(o.rem, 0)")} AS purchase_rem_qty,
-        {big("greatest(0, 3 * s.sold - coalesce(i.stock, 0) - s.returned - coalesce(o.rem, 0))")} AS suggest_qty
-        FROM src_product p
-        JOIN (SELECT ri.product_id, sum(CASE WHEN r.tot_amt_actual > 0 THEN ri.qty ELSE 0 END) AS sold,
-                     sum(CASE WHEN r.tot_amt_actual < 0 THEN abs(ri.qty) ELSE 0 END) AS returned
-              FROM src_item ri JOIN src_retail r ON ri.retail_id = r.id JOIN src_store st ON r.store_id = st.id
-              WHERE r.isactive = 'Y' AND r.status = 2 AND r.billdate >= {D30} AND {SALES_SCOPE} GROUP BY ri.product_id) s
-             ON s.product_id = p.id
-        LEFT JOIN (SELECT fa.product_id, sum(fa.qty) AS stock FROM src_storage fa JOIN src_store st ON fa.store_id = st.id
-              WHERE fa.isactive = 'Y' AND {STOCK_SCOPE} GROUP BY fa.product_id) i ON i.product_id = p.id
-        LEFT JOIN (SELECT rp.product_id, sum(rp.qtypurchaserem) AS rem FROM src_report rp JOIN src_store st
-              ON rp.store_id = st.id WHERE rp.isactive = 'Y' AND st.code = '001' GROUP BY rp.product_id) o
-             ON o.product_id = p.id
-        WHERE p.isactive = 'Y' AND s.sold > 0 ORDER BY suggest_qty DESC, product_code LIMIT 20""",
+    "replenish_product": f"""SELECT product_code, product_name, {dbl("stock")} AS stock_qty,
+        {rnd("sold", "30", 4)} AS daily_avg_sales, {rnd("30 * stock", "sold", 1)} AS turnover_days,
+        {dbl("returned")} AS return_qty_30d, {dbl("rem")} AS purchase_rem_qty,
+        {big("greatest(0, 3 * sold - stock - returned - rem)")} AS suggest_qty
+        FROM (SELECT id AS product_id, name AS product_code, value AS product_name FROM src_product WHERE isactive = 'Y')
+        JOIN (SELECT product_id, coalesce(sum(qty) FILTER (WHERE total > 0), 0) AS sold,
+                     coalesce(sum(abs(qty)) FILTER (WHERE total < 0), 0) AS returned
+              FROM src_item JOIN (SELECT id AS retail_id, tot_amt_actual AS total FROM src_retail
+                   WHERE isactive = 'Y' AND status = 2 AND billdate BETWEEN {D30} AND {AS_OF_KEY}
+                   AND store_id IN (SELECT id FROM src_store WHERE {SALES_SCOPE})) USING (retail_id)
+              GROUP BY product_id) USING (product_id)
+        JOIN (SELECT id AS product_id, coalesce((SELECT sum(qty) FROM src_storage t WHERE t.product_id = u.id
+                     AND t.isactive = 'Y' AND t.store_id IN (SELECT id FROM src_store WHERE {STOCK_SCOPE})), 0) AS stock,
+                     coalesce((SELECT sum(qtypurchaserem) FROM src_report t WHERE t.product_id = u.id AND t.isactive = 'Y'
+                     AND t.store_id IN (SELECT id FROM src_store WHERE code = '001')), 0) AS rem
+              FROM src_product u) USING (product_id)
+        WHERE sold > 0 ORDER BY suggest_qty DESC, product_code LIMIT 20""",
     "daily_report": f"""SELECT d.day AS report_date, d.channel_id, d.channel_name, {dbl("d.sales_amount")} AS sales_amount,
         d.sales_qty, {dbl("d.return_amount")} AS return_amount, d.return_qty,
         {dbl("CAST(d.sales_amount - d.return_amount AS DECIMAL(18,2))")} AS net_amount, d.sales_qty - d.return_qty AS net_qty,
@@ -611,7 +614,7 @@ ORACLES: dict[str, str] = {
         {dbl("CAST(sum(sales_amount) AS DECIMAL(18,2))")} AS sales_amount, {big("sum(sales_qty)")} AS sales_qty,
         {dbl("CAST(sum(return_amount) AS DECIMAL(18,2))")} AS return_amount, {big("sum(return_qty)")} AS return_qty,
         {dbl("CAST(sum(sales_amount) - sum(return_amount) AS DECIMAL(18,2))")} AS net_amount,
-        {big("sum(order_count)")} AS order_count, count(CASE WHEN sales_qty > 0 THEN 1 END) AS sku_count,
+        {big("sum(order_count)")} AS order_count, count(*) FILTER (WHERE sales_qty > 0) AS sku_count,
         {rnd(cents("sum(sales_amount)"), "100 * sum(order_count)", 2)} AS avg_price
         FROM (SELECT report_date, granularity, channel_id, channel_name, category_id, category_name, m_productalias_id,
               {", ".join(f"sum({m}) AS {m}" for m in MEASURES)}
@@ -620,11 +623,11 @@ ORACLES: dict[str, str] = {
               GROUP BY ALL)
         GROUP BY report_date, granularity, channel_id, channel_name, category_id, category_name""",
     "dq_dim_product": """SELECT *, CASE WHEN null_code > 0 OR null_name > 0 OR null_category > 0 THEN 'WARNING' ELSE 'PASS' END
-        AS status FROM (SELECT count(*) AS total, count(CASE WHEN is_main_product = 'Y' THEN 1 END) AS main_products,
-        count(CASE WHEN is_active = 'Y' THEN 1 END) AS active_products,
-        count(CASE WHEN product_code IS NULL THEN 1 END) AS null_code,
-        count(CASE WHEN product_name IS NULL THEN 1 END) AS null_name,
-        count(CASE WHEN category_id IS NULL THEN 1 END) AS null_category FROM dim_product)""",
+        AS status FROM (SELECT count(*) AS total, count(*) FILTER (WHERE is_main_product = 'Y') AS main_products,
+        count(*) FILTER (WHERE is_active = 'Y') AS active_products,
+        count(*) FILTER (WHERE product_code IS NULL) AS null_code,
+        count(*) FILTER (WHERE product_name IS NULL) AS null_name,
+        count(*) FILTER (WHERE category_id IS NULL) AS null_category FROM dim_product)""",
     "dq_dim_store": """SELECT store_type, count(*) AS cnt, (SELECT count(*) FROM dim_store) AS total_stores,
         (SELECT count(*) FROM dim_store WHERE is_cloud_store = 'Y') AS cloud_stores,
         (SELECT count(*) FROM dim_store WHERE store_code = '001') AS main_warehouses,
@@ -639,22 +642,22 @@ ORACLES: dict[str, str] = {
          AND p.is_main_product = 'Y') AS main_products)""",
     "dq_sales": f"""SELECT *, CASE WHEN negative_rows > 0 THEN 'WARNING' ELSE 'PASS' END AS status FROM (
         SELECT count(*) AS rows_30d,
-        {dbl(f"CAST(sum(CASE WHEN {W_SALES_SCOPE} THEN sales_amount END) AS DECIMAL(18,2))")} AS sales_amount,
-        {dbl(f"CAST(sum(CASE WHEN {W_SALES_SCOPE} THEN return_amount END) AS DECIMAL(18,2))")} AS return_amount,
-        count(CASE WHEN sales_qty < 0 OR sales_amount < 0 THEN 1 END) AS negative_rows
+        {dbl(f"CAST(sum(sales_amount) FILTER (WHERE {W_SALES_SCOPE}) AS DECIMAL(18,2))")} AS sales_amount,
+        {dbl(f"CAST(sum(return_amount) FILTER (WHERE {W_SALES_SCOPE}) AS DECIMAL(18,2))")} AS return_amount,
+        count(*) FILTER (WHERE sales_qty < 0 OR sales_amount < 0) AS negative_rows
         FROM dws_sales_recent s WHERE date_id >= {D30})""",
     "dq_health": f"""SELECT *, CASE WHEN section = 'rows' AND abs(value - {EXPECTED}) > 5 THEN 'WARNING' ELSE 'PASS' END AS status
         FROM (SELECT 'rows' AS section, 'total' AS item, count(*) AS value FROM graded
         UNION ALL SELECT 'status', inventory_status, count(*) FROM graded GROUP BY inventory_status
         UNION ALL SELECT 'grade', sku_grade, count(*) FROM graded GROUP BY sku_grade
-        UNION ALL SELECT 'replenish', 'restock', {big("sum(CASE WHEN suggest_qty > 0 THEN suggest_qty ELSE 0 END)")} FROM graded
-        UNION ALL SELECT 'replenish', 'surplus', {big("sum(CASE WHEN suggest_qty < 0 THEN suggest_qty ELSE 0 END)")} FROM graded
-        UNION ALL SELECT 'replenish', 'surplus_sku', count(CASE WHEN suggest_qty < 0 THEN 1 END) FROM graded)""",
+        UNION ALL SELECT 'replenish', 'restock', {big("coalesce(sum(suggest_qty) FILTER (WHERE suggest_qty > 0), 0)")} FROM graded
+        UNION ALL SELECT 'replenish', 'surplus', {big("coalesce(sum(suggest_qty) FILTER (WHERE suggest_qty < 0), 0)")} FROM graded
+        UNION ALL SELECT 'replenish', 'surplus_sku', count(*) FILTER (WHERE suggest_qty < 0) FROM graded)""",
     "health_coverage": f"""SELECT *, (SELECT count(*) FROM dim_product WHERE is_main_product = 'Y') AS main_products,
         total - {EXPECTED} AS difference, with_stock_or_sales - {EXPECTED} AS difference_filtered
-        FROM (SELECT count(*) AS total, count(CASE WHEN total_qty > 0 OR sales_amt_30d > 0 THEN 1 END) AS with_stock_or_sales,
-        count(CASE WHEN total_qty = 0 AND sales_amt_30d = 0 THEN 1 END) AS zero_both,
-        count(CASE WHEN inventory_status = '停售' THEN 1 END) AS stopped FROM health)""",
+        FROM (SELECT count(*) AS total, count(*) FILTER (WHERE total_qty > 0 OR sales_amt_30d > 0) AS with_stock_or_sales,
+        count(*) FILTER (WHERE total_qty = 0 AND sales_amt_30d = 0) AS zero_both,
+        count(*) FILTER (WHERE inventory_status = '停售') AS stopped FROM health)""",
     "inventory_coverage": f"""SELECT *, (SELECT count(*) FROM dim_product WHERE is_main_product = 'Y') AS main_products,
         abs(products_with_stock - {EXPECTED}) AS difference,
         {pct(f"abs(products_with_stock - {EXPECTED})", str(EXPECTED), 1)} AS difference_pct
@@ -683,20 +686,20 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'timeliness', 'dws_sales_daily.date_id', count(*), CAST(coalesce(max(date_id), 0) < {D1} AS BIGINT),
         NULL, CASE WHEN coalesce(max(date_id), 0) < {D1} THEN 'WARNING' ELSE 'PASS' END FROM dws_sales_recent
         UNION ALL SELECT 'accuracy', 'ads_inventory_health.turnover_days', count(*),
-        count(CASE WHEN turnover_days < 0 OR turnover_days > 1000 THEN 1 END),
-        {pct("count(CASE WHEN turnover_days < 0 OR turnover_days > 1000 THEN 1 END)", "count(*)")},
-        CASE WHEN count(CASE WHEN turnover_days < 0 OR turnover_days > 1000 THEN 1 END) > 0 THEN 'WARNING' ELSE 'PASS' END
+        count(*) FILTER (WHERE turnover_days < 0 OR turnover_days > 1000),
+        {pct("count(*) FILTER (WHERE turnover_days < 0 OR turnover_days > 1000)", "count(*)")},
+        CASE WHEN count(*) FILTER (WHERE turnover_days < 0 OR turnover_days > 1000) > 0 THEN 'WARNING' ELSE 'PASS' END
         FROM health""",
     "run_checks": f"""SELECT 'dim_product' AS check_name, count(*) AS measured, CASE WHEN count(product_code) < count(*)
         OR count(product_name) < count(*) OR count(category_id) < count(*) THEN 'WARNING' ELSE 'PASS' END AS status
         FROM dim_product
-        UNION ALL SELECT 'dim_store', count(*), CASE WHEN count(CASE WHEN store_code = '001' THEN 1 END) = 0 THEN 'FAIL'
+        UNION ALL SELECT 'dim_store', count(*), CASE WHEN count(*) FILTER (WHERE store_code = '001') = 0 THEN 'FAIL'
         ELSE 'PASS' END FROM dim_store
         UNION ALL SELECT 'dws_inventory_daily', count(DISTINCT i.product_id),
         CASE WHEN abs(count(DISTINCT i.product_id) - {EXPECTED}) <= 5 THEN 'PASS' ELSE 'WARNING' END
         FROM dws_inventory i JOIN dim_product p ON i.product_id = p.product_id JOIN dim_store s ON i.store_id = s.store_id
         WHERE {W_STOCK_SCOPE} AND p.is_main_product = 'Y'
-        UNION ALL SELECT 'dws_sales_daily', count(*), CASE WHEN count(CASE WHEN sales_qty < 0 OR sales_amount < 0 THEN 1 END) > 0
+        UNION ALL SELECT 'dws_sales_daily', count(*), CASE WHEN count(*) FILTER (WHERE sales_qty < 0 OR sales_amount < 0) > 0
         THEN 'WARNING' ELSE 'PASS' END FROM dws_sales_recent
         UNION ALL SELECT 'ads_inventory_health', count(*), CASE WHEN abs({DIFF}) <= 5 THEN 'PASS' ELSE 'WARNING' END FROM health""",
     "purchase_profile": profile("M_PURCHASE", "src_purchase") + " UNION ALL " + profile("M_PURCHASEITEM", "src_purchase_item"),
@@ -705,24 +708,24 @@ ORACLES: dict[str, str] = {
         ORDER BY creationdate DESC NULLS LAST, id LIMIT 10""",
     "purchase_in_status": share("src_purchase WHERE isactive = 'Y'", "in_status", "in_status, count(*) AS cnt"),
     "purchase_datein_fill": fill("src_purchase", "datein"),
-    "purchase_qtyin_stats": f"""SELECT count(*) AS total_rows, count(CASE WHEN tot_qtyin > 0 THEN 1 END) AS with_qty,
-        count(CASE WHEN tot_qtyin = 0 THEN 1 END) AS zero_qty, count(CASE WHEN tot_qtyin IS NULL THEN 1 END) AS null_qty,
+    "purchase_qtyin_stats": f"""SELECT count(*) AS total_rows, count(*) FILTER (WHERE tot_qtyin > 0) AS with_qty,
+        count(*) FILTER (WHERE tot_qtyin = 0) AS zero_qty, count(*) FILTER (WHERE tot_qtyin IS NULL) AS null_qty,
         {big("sum(tot_qtyin)")} AS total_qty, {rnd("sum(tot_qtyin)", "count(tot_qtyin)", 2)} AS avg_qty
         FROM src_purchase WHERE isactive = 'Y'""",
-    "purchase_amtin_stats": f"""SELECT count(*) AS total_rows, count(CASE WHEN tot_amtin_actual > 0 THEN 1 END) AS with_amount,
-        count(CASE WHEN tot_amtin_actual = 0 THEN 1 END) AS zero_amount,
+    "purchase_amtin_stats": f"""SELECT count(*) AS total_rows, count(*) FILTER (WHERE tot_amtin_actual > 0) AS with_amount,
+        count(*) FILTER (WHERE tot_amtin_actual = 0) AS zero_amount,
         {dbl("CAST(sum(tot_amtin_actual) AS DECIMAL(18,2))")} AS total_amount,
         {rnd(cents("sum(tot_amtin_actual)"), "100 * count(tot_amtin_actual)", 2)} AS avg_amount
         FROM src_purchase WHERE isactive = 'Y'""",
     "purchase_receiver_fill": """SELECT count(*) AS total_rows, count(inerid) AS with_receiver, count(intime) AS with_time,
-        count(CASE WHEN inerid IS NOT NULL AND intime IS NOT NULL THEN 1 END) AS with_both
+        count(*) FILTER (WHERE inerid IS NOT NULL AND intime IS NOT NULL) AS with_both
         FROM src_purchase WHERE isactive = 'Y'""",
-    "purchase_receipt_compare": """SELECT count(*) AS total_rows, count(CASE WHEN tot_qty > 0 THEN 1 END) AS with_ordered,
-        count(CASE WHEN tot_qtyin > 0 THEN 1 END) AS with_received,
-        count(CASE WHEN tot_qty = tot_qtyin THEN 1 END) AS full_receipts,
-        count(CASE WHEN tot_qtyin < tot_qty AND tot_qtyin > 0 THEN 1 END) AS partial_receipts,
-        count(CASE WHEN tot_qtyin > tot_qty THEN 1 END) AS over_receipts,
-        count(CASE WHEN tot_qtyin = 0 OR tot_qtyin IS NULL THEN 1 END) AS no_receipts
+    "purchase_receipt_compare": """SELECT count(*) AS total_rows, count(*) FILTER (WHERE tot_qty > 0) AS with_ordered,
+        count(*) FILTER (WHERE tot_qtyin > 0) AS with_received,
+        count(*) FILTER (WHERE tot_qty = tot_qtyin) AS full_receipts,
+        count(*) FILTER (WHERE tot_qtyin < tot_qty AND tot_qtyin > 0) AS partial_receipts,
+        count(*) FILTER (WHERE tot_qtyin > tot_qty) AS over_receipts,
+        count(*) FILTER (WHERE tot_qtyin = 0 OR tot_qtyin IS NULL) AS no_receipts
         FROM src_purchase WHERE isactive = 'Y' AND tot_qty > 0""",
     "purchase_completion": f"""SELECT *, {pct("received_qty", "ordered_qty")} AS completion_pct FROM (
         {share("src_purchase WHERE isactive = 'Y'", "1", f"{H_CLASS} AS receipt_class, count(*) AS cnt, {big('sum(tot_qty)')} AS ordered_qty, {big('sum(tot_qtyin)')} AS received_qty")})""",
@@ -732,8 +735,8 @@ ORACLES: dict[str, str] = {
         FROM src_purchase WHERE isactive = 'Y' AND datein IS NOT NULL AND datein > 0 GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
     "purchase_by_supplier": top_receivers("supplier_id"),
     "purchase_by_store": top_receivers("store_id"),
-    "purchase_item_stats": f"""SELECT count(*) AS total_rows, count(CASE WHEN qtyin > 0 THEN 1 END) AS with_qty,
-        count(CASE WHEN qtyin = 0 THEN 1 END) AS zero_qty, count(CASE WHEN qtyin IS NULL THEN 1 END) AS null_qty,
+    "purchase_item_stats": f"""SELECT count(*) AS total_rows, count(*) FILTER (WHERE qtyin > 0) AS with_qty,
+        count(*) FILTER (WHERE qtyin = 0) AS zero_qty, count(*) FILTER (WHERE qtyin IS NULL) AS null_qty,
         {big("sum(qty)")} AS ordered_qty, {big("sum(qtyin)")} AS received_qty, {pct("sum(qtyin)", "sum(qty)")} AS completion_pct,
         {rnd("sum(qty)", "count(qty)", 2)} AS avg_ordered, {rnd("sum(qtyin)", "count(qtyin)", 2)} AS avg_received
         FROM src_purchase_item WHERE isactive = 'Y'""",
@@ -747,12 +750,12 @@ ORACLES: dict[str, str] = {
         [
             ("receipt_date", "count(datein)", "count(*)",
              "CASE WHEN RATE >= 95 THEN 'PASS' WHEN RATE >= 80 THEN 'WARNING' ELSE 'FAIL' END"),
-            ("receipt_status", "count(CASE WHEN in_status = 2 THEN 1 END)", "count(*)", "'PASS'"),
-            ("receipt_quantity", "count(CASE WHEN tot_qtyin > 0 THEN 1 END)", "count(*)", "'PASS'"),
+            ("receipt_status", "count(*) FILTER (WHERE in_status = 2)", "count(*)", "'PASS'"),
+            ("receipt_quantity", "count(*) FILTER (WHERE tot_qtyin > 0)", "count(*)", "'PASS'"),
             ("dimensions", P_DIMS, "4", f"CASE WHEN {P_DIMS} >= 3 THEN 'PASS' ELSE 'WARNING' END"),
             ("measures", P_MEAS, "2", f"CASE WHEN {P_MEAS} >= 2 THEN 'PASS' ELSE 'WARNING' END"),
-            ("full_receipts", "count(CASE WHEN tot_qty > 0 AND tot_qty = tot_qtyin THEN 1 END)",
-             "count(CASE WHEN tot_qty > 0 THEN 1 END)", "CASE WHEN RATE >= 80 THEN 'PASS' ELSE 'WARNING' END"),
+            ("full_receipts", "count(*) FILTER (WHERE tot_qty > 0 AND tot_qty = tot_qtyin)",
+             "count(*) FILTER (WHERE tot_qty > 0)", "CASE WHEN RATE >= 80 THEN 'PASS' ELSE 'WARNING' END"),
         ],
     ),
     "transfer_profile": profile("M_TRANSFER", "src_transfer") + " UNION ALL " + profile("M_TRANSFERITEM", "src_transfer_item"),
@@ -777,11 +780,11 @@ ORACLES: dict[str, str] = {
     "transfer_date_fill": fill("src_transfer", "billdate", "dateout", "datein"),
     "transfer_qty_compare": f"""SELECT count(*) AS total_rows, {big("sum(tot_qty)")} AS total_qty,
         {big("sum(tot_qtyout)")} AS total_out, {big("sum(tot_qtyin)")} AS total_in,
-        count(CASE WHEN tot_qty = tot_qtyout AND tot_qtyout = tot_qtyin THEN 1 END) AS all_equal,
-        count(CASE WHEN tot_qty > 0 AND tot_qtyout = 0 THEN 1 END) AS not_sent,
-        count(CASE WHEN tot_qtyout > 0 AND tot_qtyin = 0 THEN 1 END) AS sent_not_received,
-        count(CASE WHEN tot_qtyin > 0 AND tot_qtyin < tot_qtyout THEN 1 END) AS partly_received,
-        count(CASE WHEN tot_qtyin <> tot_qtyout AND tot_qtyin > 0 AND tot_qtyout > 0 THEN 1 END) AS sent_received_differ
+        count(*) FILTER (WHERE tot_qty = tot_qtyout AND tot_qtyout = tot_qtyin) AS all_equal,
+        count(*) FILTER (WHERE tot_qty > 0 AND tot_qtyout = 0) AS not_sent,
+        count(*) FILTER (WHERE tot_qtyout > 0 AND tot_qtyin = 0) AS sent_not_received,
+        count(*) FILTER (WHERE tot_qtyin > 0 AND tot_qtyin < tot_qtyout) AS partly_received,
+        count(*) FILTER (WHERE tot_qtyin <> tot_qtyout AND tot_qtyin > 0 AND tot_qtyout > 0) AS sent_received_differ
         FROM src_transfer WHERE isactive = 'Y'""",
     "transfer_consistency": consistency("qty"),
     "transfer_monthly": f"""SELECT {month("billdate")} AS month, {T_SUMS} FROM src_transfer
@@ -797,8 +800,8 @@ ORACLES: dict[str, str] = {
             ("origin", "count(orig_id)", "count(*)", X_BOTH),
             ("destination", "count(dest_id)", "count(*)", X_BOTH),
             ("bill_date", "count(billdate)", "count(*)", "'PASS'"),
-            ("sent", "count(CASE WHEN out_status = 2 THEN 1 END)", "count(*)", "'PASS'"),
-            ("received", "count(CASE WHEN in_status = 2 THEN 1 END)", "count(*)", "'PASS'"),
+            ("sent", "count(*) FILTER (WHERE out_status = 2)", "count(*)", "'PASS'"),
+            ("received", "count(*) FILTER (WHERE in_status = 2)", "count(*)", "'PASS'"),
             ("planned_qty", "sum(tot_qty)", "NULL", "'PASS'"),
             ("sent_qty", "sum(tot_qtyout)", "NULL", "'PASS'"),
             ("received_qty", "sum(tot_qtyin)", "NULL", "'PASS'"),
@@ -809,12 +812,12 @@ ORACLES: dict[str, str] = {
         t.dest_id, d.code AS dest_code, d.name AS dest_name, t.tot_qty, t.tot_qtyout, t.tot_qtyin
         FROM {ENDS} WHERE t.isactive = 'Y' AND t.out_status = 2 AND t.in_status = 2""",
     "stock_overview": f"""SELECT count(*) AS total_rows, count(DISTINCT product_id) AS products, count(DISTINCT store_id) AS stores,
-        count(CASE WHEN isactive = 'Y' THEN 1 END) AS active_rows, {big("sum(qty)")} AS total_qty,
+        count(*) FILTER (WHERE isactive = 'Y') AS active_rows, {big("sum(qty)")} AS total_qty,
         {big("sum(qtypurchaserem)")} AS total_on_order FROM src_report""",
     "onorder_fill": f"""SELECT count(*) AS total_rows, count(qtypurchaserem) AS filled,
-        count(CASE WHEN qtypurchaserem > 0 THEN 1 END) AS positive,
-        count(CASE WHEN qtypurchaserem = 0 OR qtypurchaserem IS NULL THEN 1 END) AS none,
-        count(CASE WHEN qtypurchaserem < 0 THEN 1 END) AS negative,
+        count(*) FILTER (WHERE qtypurchaserem > 0) AS positive,
+        count(*) FILTER (WHERE qtypurchaserem = 0 OR qtypurchaserem IS NULL) AS none,
+        count(*) FILTER (WHERE qtypurchaserem < 0) AS negative,
         {pct("count(qtypurchaserem)", "count(*)")} AS fill_rate FROM src_report WHERE isactive = 'Y'""",
     "onorder_distribution": f"""SELECT min(qtypurchaserem) AS min_qty, max(qtypurchaserem) AS max_qty,
         {rnd("sum(qtypurchaserem)", "count(*)", 2)} AS avg_qty, {dbl("median(qtypurchaserem)")} AS median_qty,
@@ -826,7 +829,7 @@ ORACLES: dict[str, str] = {
     ),
     "onorder_by_store": f"""SELECT s.code AS store_code, s.name AS store_name, {R_TYPE} AS store_type,
         count(rp.product_id) AS sku_count, {big("sum(rp.qty)")} AS stock_qty, {big("sum(rp.qtypurchaserem)")} AS on_order_qty,
-        count(CASE WHEN rp.qtypurchaserem > 0 THEN 1 END) AS sku_with_on_order
+        count(*) FILTER (WHERE rp.qtypurchaserem > 0) AS sku_with_on_order
         FROM src_report rp LEFT JOIN src_store s ON rp.store_id = s.id WHERE rp.isactive = 'Y' GROUP BY s.code, s.name
         ORDER BY sum(rp.qtypurchaserem) DESC NULLS LAST, s.code LIMIT 15""",
     "onorder_top_products": f"""SELECT p.name AS product_code, p.value AS product_name, rp.qtypurchaserem AS on_order_qty,
@@ -838,9 +841,9 @@ ORACLES: dict[str, str] = {
         for label, cte in (("FA_STORAGE", "src_storage"), ("RP_SIMPLESTORAGE", "src_report"))
     ),
     "stock_grain_match": """SELECT count(*) AS total_pairs,
-        count(CASE WHEN fa.product_id IS NOT NULL AND rp.product_id IS NOT NULL THEN 1 END) AS in_both,
-        count(CASE WHEN fa.product_id IS NOT NULL AND rp.product_id IS NULL THEN 1 END) AS left_only,
-        count(CASE WHEN fa.product_id IS NULL AND rp.product_id IS NOT NULL THEN 1 END) AS right_only
+        count(*) FILTER (WHERE fa.product_id IS NOT NULL AND rp.product_id IS NOT NULL) AS in_both,
+        count(*) FILTER (WHERE fa.product_id IS NOT NULL AND rp.product_id IS NULL) AS left_only,
+        count(*) FILTER (WHERE fa.product_id IS NULL AND rp.product_id IS NOT NULL) AS right_only
         FROM (SELECT DISTINCT product_id, store_id FROM src_storage WHERE isactive = 'Y') fa
         FULL OUTER JOIN (SELECT DISTINCT product_id, store_id FROM src_report WHERE isactive = 'Y') rp
         ON fa.product_id = rp.product_id AND fa.store_id = rp.store_id""",
@@ -863,14 +866,14 @@ ORACLES: dict[str, str] = {
         [
             ("column_present", "1", "1", "'PASS'"),
             ("active_rows", "count(*)", "NULL", "'PASS'"),
-            ("rows_with_on_order", "count(CASE WHEN qtypurchaserem > 0 THEN 1 END)", "count(*)", "'PASS'"),
+            ("rows_with_on_order", "count(*) FILTER (WHERE qtypurchaserem > 0)", "count(*)", "'PASS'"),
             ("on_order_total", "sum(qtypurchaserem)", "NULL", "'PASS'"),
         ],
     ).replace("FROM src_report WHERE isactive = 'Y' UNION ALL", "FROM (SELECT 1) UNION ALL", 1),
     "source_candidates": """SELECT 'RP_SIMPLESTORAGE' AS table_name, count(*) AS total_rows, true AS has_column,
-        count(qtypurchaserem) AS filled, count(CASE WHEN qtypurchaserem > 0 THEN 1 END) AS positive,
+        count(qtypurchaserem) AS filled, count(*) FILTER (WHERE qtypurchaserem > 0) AS positive,
         CAST(sum(qtypurchaserem) AS DOUBLE) AS total_qty FROM src_report
-        UNION ALL SELECT 'FA_STORAGE', count(*), true, count(qtypurchaserem), count(CASE WHEN qtypurchaserem > 0 THEN 1 END),
+        UNION ALL SELECT 'FA_STORAGE', count(*), true, count(qtypurchaserem), count(*) FILTER (WHERE qtypurchaserem > 0),
         CAST(sum(qtypurchaserem) AS DOUBLE) FROM src_storage
         UNION ALL SELECT 'M_PURCHASE', count(*), false, NULL, NULL, NULL FROM src_purchase""",
 }
