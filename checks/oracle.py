@@ -417,26 +417,28 @@ def top_receivers(column: str) -> str:
 
 
 def top_end(column: str, moved: str) -> str:
-    return f"""SELECT s.code AS store_code, s.name AS store_name, count(t.id) AS documents,
-        {big("sum(t.tot_qty)")} AS total_qty, {big(f"sum(t.{moved})")} AS moved_qty
-        FROM src_transfer t LEFT JOIN src_store s ON t.{column} = s.id WHERE t.isactive = 'Y'
-        GROUP BY s.code, s.name ORDER BY count(t.id) DESC, s.code ASC NULLS LAST LIMIT 10"""
+    return f"""SELECT store_code, store_name, documents, total_qty, moved_qty FROM
+        (SELECT any_value(code) AS store_code, any_value(name) AS store_name, count(*) AS documents,
+                {big("sum(tot_qty)")} AS total_qty, {big(f"sum({moved})")} AS moved_qty
+         FROM (SELECT {column} AS end_id, * EXCLUDE (id) FROM src_transfer WHERE isactive = 'Y')
+         LEFT JOIN (SELECT id AS end_id, code, name FROM src_store) USING (end_id)
+         GROUP BY coalesce(code, '?'))
+        ORDER BY documents DESC, store_code ASC NULLS LAST LIMIT 10"""
 
 
-def flow_class(a: str) -> str:
-    return (
-        f"CASE WHEN {a}.code = '001' THEN '总仓(001)' WHEN {a}.code LIKE 'DS%' THEN '电商(DS%)'"
-        f" WHEN {a}.code LIKE 'RT%' THEN '门店(RT%)' ELSE '其他' END"
-    )
+def flow_class(code: str) -> str:
+    prefix = "map {'DS': '电商(DS%)', 'RT': '门店(RT%)'}"
+    return f"coalesce(if({code} = '001', '总仓(001)', {prefix}[substr({code}, 1, 2)]), '其他')"
 
 
-ENDS = "src_transfer t LEFT JOIN src_store o ON t.orig_id = o.id LEFT JOIN src_store d ON t.dest_id = d.id"
+ENDS = """(SELECT * FROM src_transfer WHERE isactive = 'Y')
+    LEFT JOIN (SELECT id AS orig_id, code AS orig_code, name AS orig_name, is_cloud AS orig_cloud FROM src_store) USING (orig_id)
+    LEFT JOIN (SELECT id AS dest_id, code AS dest_code, name AS dest_name, is_cloud AS dest_cloud FROM src_store) USING (dest_id)"""
 
 
-def flows(columns: str, group: str) -> str:
+def flows(columns: str) -> str:
     return f"""SELECT *, {pct("documents", "sum(documents) OVER ()")} AS pct FROM (
-        SELECT {columns}, count(t.id) AS documents, {big("sum(t.tot_qty)")} AS total_qty
-        FROM {ENDS} WHERE t.isactive = 'Y' GROUP BY {group})"""
+        SELECT {columns}, count(*) AS documents, {big("sum(tot_qty)")} AS total_qty FROM {ENDS} GROUP BY ALL)"""
 
 
 def consistency(qty_alias: str) -> str:
@@ -472,29 +474,26 @@ T_SUMS = (
     f"count(*) AS documents, {big('sum(tot_qty)')} AS total_qty, {big('sum(tot_qtyout)')} AS total_out,"
     f" {big('sum(tot_qtyin)')} AS total_in, CAST(CAST(sum(tot_amtqty_list) AS DECIMAL(20,2)) AS DOUBLE) AS total_amount"
 )
-R_TYPE = (
-    "CASE WHEN s.code = '001' THEN '总仓' WHEN s.code LIKE 'DS%' THEN '电商' WHEN s.code LIKE 'RT%' THEN '门店'"
-    " ELSE '其他' END"
+R_TYPE = "coalesce(if(code = '001', '总仓', map {'DS': '电商', 'RT': '门店'}[substr(code, 1, 2)]), '其他')"
+SEGMENT_NO = (
+    "CASE WHEN coalesce(qtypurchaserem, 0) = 0 THEN 0 WHEN qtypurchaserem < 0 THEN 7 ELSE 1"
+    + "".join(f" + CAST(qtypurchaserem > {high} AS INTEGER)" for high in (10, 50, 100, 500, 1000))
+    + " END"
 )
-SEGMENT = {
-    "无欠数": "qtypurchaserem IS NULL OR qtypurchaserem = 0",
-    "1-10件": "qtypurchaserem BETWEEN 1 AND 10",
-    "11-50件": "qtypurchaserem BETWEEN 11 AND 50",
-    "51-100件": "qtypurchaserem BETWEEN 51 AND 100",
-    "101-500件": "qtypurchaserem BETWEEN 101 AND 500",
-    "501-1000件": "qtypurchaserem BETWEEN 501 AND 1000",
-    ">1000件": "qtypurchaserem > 1000",
-}
-SEGMENT_NAME = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in SEGMENT.items()) + " ELSE '负数(异常)' END"
-SEGMENT_NO = "CASE " + " ".join(f"WHEN {c} THEN {i}" for i, c in enumerate(SEGMENT.values())) + " ELSE 7 END"
+SEGMENT_NAMES = "['无欠数', '1-10件', '11-50件', '51-100件', '101-500件', '501-1000件', '>1000件', '负数(异常)']"
 TOP_ROWS = """(SELECT * FROM src_report WHERE isactive = 'Y' AND qtypurchaserem > 0
     ORDER BY qtypurchaserem DESC, product_id, store_id LIMIT {n})"""
-H_CLASS = """CASE WHEN in_status = 2 AND tot_qtyin > 0 AND tot_qty > 0 THEN
-    CASE WHEN tot_qtyin = tot_qty THEN '完全入库' WHEN tot_qtyin < tot_qty THEN '部分入库' ELSE '超量入库' END
-    WHEN in_status = 1 THEN '未入库' WHEN tot_qty = 0 THEN '无采购数量' ELSE '其他' END"""
-I_CLASS = """CASE WHEN qty > 0 AND qtyin = qty THEN '完全入库' WHEN qty > 0 AND qtyin > 0 AND qtyin < qty THEN '部分入库'
-    WHEN qty > 0 AND qtyin > qty THEN '超量入库' WHEN qty > 0 AND (qtyin = 0 OR qtyin IS NULL) THEN '未入库'
-    WHEN qty = 0 THEN '无采购数量' ELSE '其他' END"""
+NAMES = """LEFT JOIN (SELECT id AS product_id, name AS product_code, value AS product_name FROM src_product) USING (product_id)
+    LEFT JOIN (SELECT id AS store_id, code AS store_code, name AS store_name FROM src_store) USING (store_id)"""
+BY_QUANTITY = "['部分入库', '完全入库', '超量入库'][2 + sign({got} - {ordered})]"
+H_CLASS = (
+    f"CASE WHEN in_status = 2 AND tot_qtyin > 0 AND tot_qty > 0 THEN {BY_QUANTITY.format(got='tot_qtyin', ordered='tot_qty')}"
+    " WHEN in_status = 1 THEN '未入库' WHEN tot_qty = 0 THEN '无采购数量' ELSE '其他' END"
+)
+I_CLASS = (
+    "CASE WHEN qty = 0 THEN '无采购数量' WHEN qty > 0 AND coalesce(qtyin, 0) = 0 THEN '未入库'"
+    f" WHEN qty > 0 AND qtyin > 0 THEN {BY_QUANTITY.format(got='qtyin', ordered='qty')} ELSE '其他' END"
+)
 MEASURES = ("sales_amount", "sales_qty", "return_amount", "return_qty", "order_count")
 
 
@@ -512,10 +511,11 @@ def dbl(x: str) -> str:
 DIFF = f"(count(*) - {EXPECTED})"
 ORACLES: dict[str, str] = {
     "dim_product": "SELECT * FROM dim_product",
-    "dim_product_attr": """SELECT DISTINCT p.id AS product_id, coalesce(a.value1, '') AS color, coalesce(a.value2, '') AS size
-        FROM src_product p LEFT JOIN (SELECT product_id, attr_id, row_number() OVER (PARTITION BY product_id ORDER BY id) AS rn
-        FROM src_alias WHERE isactive = 'Y') f ON f.product_id = p.id AND f.rn = 1
-        LEFT JOIN src_attr a ON a.id = f.attr_id WHERE p.isactive = 'Y'""",
+    "dim_product_attr": """SELECT product_id, coalesce(value1, '') AS color, coalesce(value2, '') AS size
+        FROM (SELECT id AS product_id FROM src_product WHERE isactive = 'Y')
+        LEFT JOIN (SELECT product_id, min({'first': id, 'attr': attr_id}).attr AS attr_id FROM src_alias
+                   WHERE isactive = 'Y' GROUP BY product_id) USING (product_id)
+        LEFT JOIN (SELECT id AS attr_id, value1, value2 FROM src_attr) USING (attr_id)""",
     "dim_sku": "SELECT * FROM dim_sku",
     "dim_store": "SELECT * FROM dim_store",
     "dim_date": f"""SELECT {key("d")} AS date_id, d AS date_value, CAST(year(d) AS INTEGER) AS date_year,
@@ -776,7 +776,7 @@ ORACLES: dict[str, str] = {
     "transfer_in": state("in_status", "WHEN 1 THEN '未入库' WHEN 2 THEN '已入库'"),
     "transfer_top_origin": top_end("orig_id", "tot_qtyout"),
     "transfer_top_dest": top_end("dest_id", "tot_qtyin"),
-    "transfer_flow": flows(f"{flow_class('o')} AS origin_class, {flow_class('d')} AS dest_class", "1, 2"),
+    "transfer_flow": flows(f"{flow_class('orig_code')} AS origin_class, {flow_class('dest_code')} AS dest_class"),
     "transfer_date_fill": fill("src_transfer", "billdate", "dateout", "datein"),
     "transfer_qty_compare": f"""SELECT count(*) AS total_rows, {big("sum(tot_qty)")} AS total_qty,
         {big("sum(tot_qtyout)")} AS total_out, {big("sum(tot_qtyin)")} AS total_in,
@@ -791,8 +791,8 @@ ORACLES: dict[str, str] = {
         WHERE isactive = 'Y' AND billdate IS NOT NULL AND billdate > 0 GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
     "transfer_cloud": f"SELECT {T_SUMS} FROM src_transfer WHERE isactive = 'Y' AND transfertype = 'EOR'",
     "transfer_cloud_direction": flows(
-        "CASE WHEN o.is_cloud = 'Y' AND d.is_cloud = 'Y' THEN '云仓→云仓' WHEN o.is_cloud = 'Y' THEN '云仓→非云仓'"
-        " WHEN d.is_cloud = 'Y' THEN '非云仓→云仓' ELSE '非云仓→非云仓' END AS direction", "1"
+        "if(coalesce(orig_cloud = 'Y', false), '云仓', '非云仓') || '→' || if(coalesce(dest_cloud = 'Y', false), '云仓', '非云仓')"
+        " AS direction"
     ),
     "transfer_scorecard": card(
         "src_transfer",
@@ -808,9 +808,8 @@ ORACLES: dict[str, str] = {
             ("transfer_types", "count(DISTINCT transfertype)", "NULL", "'PASS'"),
         ],
     ),
-    "transfer_completed": f"""SELECT t.id, t.docno, t.billdate, t.transfertype, t.orig_id, o.code AS orig_code, o.name AS orig_name,
-        t.dest_id, d.code AS dest_code, d.name AS dest_name, t.tot_qty, t.tot_qtyout, t.tot_qtyin
-        FROM {ENDS} WHERE t.isactive = 'Y' AND t.out_status = 2 AND t.in_status = 2""",
+    "transfer_completed": f"""SELECT id, docno, billdate, transfertype, orig_id, orig_code, orig_name, dest_id, dest_code, dest_name,
+        tot_qty, tot_qtyout, tot_qtyin FROM {ENDS} WHERE out_status = 2 AND in_status = 2""",
     "stock_overview": f"""SELECT count(*) AS total_rows, count(DISTINCT product_id) AS products, count(DISTINCT store_id) AS stores,
         count(*) FILTER (WHERE isactive = 'Y') AS active_rows, {big("sum(qty)")} AS total_qty,
         {big("sum(qtypurchaserem)")} AS total_on_order FROM src_report""",
@@ -822,43 +821,45 @@ ORACLES: dict[str, str] = {
     "onorder_distribution": f"""SELECT min(qtypurchaserem) AS min_qty, max(qtypurchaserem) AS max_qty,
         {rnd("sum(qtypurchaserem)", "count(*)", 2)} AS avg_qty, {dbl("median(qtypurchaserem)")} AS median_qty,
         {big("sum(qtypurchaserem)")} AS total_qty FROM src_report WHERE isactive = 'Y' AND qtypurchaserem > 0""",
-    "onorder_segments": share(
-        "src_report WHERE isactive = 'Y'", "1, 2",
-        f"{SEGMENT_NAME} AS segment, CAST({SEGMENT_NO} AS INTEGER) AS segment_no, count(*) AS cnt,"
-        f" {big('sum(qtypurchaserem)')} AS on_order_qty",
-    ),
-    "onorder_by_store": f"""SELECT s.code AS store_code, s.name AS store_name, {R_TYPE} AS store_type,
-        count(rp.product_id) AS sku_count, {big("sum(rp.qty)")} AS stock_qty, {big("sum(rp.qtypurchaserem)")} AS on_order_qty,
-        count(*) FILTER (WHERE rp.qtypurchaserem > 0) AS sku_with_on_order
-        FROM src_report rp LEFT JOIN src_store s ON rp.store_id = s.id WHERE rp.isactive = 'Y' GROUP BY s.code, s.name
-        ORDER BY sum(rp.qtypurchaserem) DESC NULLS LAST, s.code LIMIT 15""",
-    "onorder_top_products": f"""SELECT p.name AS product_code, p.value AS product_name, rp.qtypurchaserem AS on_order_qty,
-        rp.qty AS stock_qty, s.code AS store_code, s.name AS store_name
-        FROM {TOP_ROWS.format(n=20)} rp LEFT JOIN src_product p ON rp.product_id = p.id LEFT JOIN src_store s ON rp.store_id = s.id""",
+    "onorder_segments": f"SELECT *, {SEGMENT_NAMES}[segment_no + 1] AS segment FROM ("
+    + share(
+        "src_report WHERE isactive = 'Y'", "ALL",
+        f"CAST({SEGMENT_NO} AS INTEGER) AS segment_no, count(*) AS cnt, {big('sum(qtypurchaserem)')} AS on_order_qty",
+    )
+    + ")",
+    "onorder_by_store": f"""SELECT code AS store_code, name AS store_name, {R_TYPE} AS store_type, sku_count, stock_qty,
+        on_order_qty, sku_with_on_order
+        FROM (SELECT store_id, count(product_id) AS sku_count, {big("sum(qty)")} AS stock_qty,
+              {big("sum(qtypurchaserem)")} AS on_order_qty, count(*) FILTER (WHERE qtypurchaserem > 0) AS sku_with_on_order
+              FROM src_report WHERE isactive = 'Y' GROUP BY store_id)
+        LEFT JOIN (SELECT id AS store_id, code, name FROM src_store) USING (store_id)
+        ORDER BY on_order_qty DESC NULLS LAST, code LIMIT 15""",
+    "onorder_top_products": f"""SELECT product_code, product_name, qtypurchaserem AS on_order_qty, qty AS stock_qty, store_code,
+        store_name FROM {TOP_ROWS.format(n=20)} {NAMES}""",
     "stock_source_compare": " UNION ALL ".join(
         f"SELECT '{label}' AS table_name, count(*) AS total_rows, count(DISTINCT product_id) AS products,"
         f" count(DISTINCT store_id) AS stores, CAST(sum(qty) AS DOUBLE) AS total_qty FROM {cte} WHERE isactive = 'Y'"
         for label, cte in (("FA_STORAGE", "src_storage"), ("RP_SIMPLESTORAGE", "src_report"))
     ),
-    "stock_grain_match": """SELECT count(*) AS total_pairs,
-        count(*) FILTER (WHERE fa.product_id IS NOT NULL AND rp.product_id IS NOT NULL) AS in_both,
-        count(*) FILTER (WHERE fa.product_id IS NOT NULL AND rp.product_id IS NULL) AS left_only,
-        count(*) FILTER (WHERE fa.product_id IS NULL AND rp.product_id IS NOT NULL) AS right_only
-        FROM (SELECT DISTINCT product_id, store_id FROM src_storage WHERE isactive = 'Y') fa
-        FULL OUTER JOIN (SELECT DISTINCT product_id, store_id FROM src_report WHERE isactive = 'Y') rp
-        ON fa.product_id = rp.product_id AND fa.store_id = rp.store_id""",
-    "onorder_sample": f"""SELECT rp.product_id, p.name AS product_code, p.value AS product_name, rp.store_id, s.code AS store_code,
-        rp.qty AS stock_qty, rp.qtypurchaserem AS on_order_qty, rp.isactive
-        FROM {TOP_ROWS.format(n=10)} rp LEFT JOIN src_product p ON rp.product_id = p.id LEFT JOIN src_store s ON rp.store_id = s.id""",
-    "warehouse_onorder": f"""SELECT rp.product_id, p.name AS product_code, p.value AS product_name, {big("sum(rp.qty)")} AS stock_qty,
-        {big("sum(rp.qtypurchaserem)")} AS on_order_qty
-        FROM src_report rp LEFT JOIN src_product p ON rp.product_id = p.id LEFT JOIN src_store s ON rp.store_id = s.id
-        WHERE rp.isactive = 'Y' AND s.code = '001' GROUP BY rp.product_id, p.name, p.value HAVING sum(rp.qtypurchaserem) > 0""",
-    "stock_with_onorder": """SELECT fa.product_id, p.name AS product_code, fa.store_id, s.code AS store_code, fa.qty AS stock_qty,
-        coalesce(rp.qtypurchaserem, 0) AS on_order_qty, fa.qty + coalesce(rp.qtypurchaserem, 0) AS available_qty
-        FROM src_storage fa LEFT JOIN src_product p ON fa.product_id = p.id LEFT JOIN src_store s ON fa.store_id = s.id
-        LEFT JOIN src_report rp ON fa.product_id = rp.product_id AND fa.store_id = rp.store_id AND rp.isactive = 'Y'
-        WHERE fa.isactive = 'Y' AND s.code = '001'""",
+    "stock_grain_match": """SELECT n_left + n_right - n_both AS total_pairs, n_both AS in_both, n_left - n_both AS left_only,
+        n_right - n_both AS right_only FROM (SELECT (SELECT count(DISTINCT (product_id, store_id)) FROM src_storage
+        WHERE isactive = 'Y') AS n_left, (SELECT count(DISTINCT (product_id, store_id)) FROM src_report
+        WHERE isactive = 'Y') AS n_right, (SELECT count(*) FROM (SELECT product_id, store_id FROM src_storage
+        WHERE isactive = 'Y' INTERSECT SELECT product_id, store_id FROM src_report WHERE isactive = 'Y')) AS n_both)""",
+    "onorder_sample": f"""SELECT product_id, product_code, product_name, store_id, store_code, qty AS stock_qty,
+        qtypurchaserem AS on_order_qty, isactive FROM {TOP_ROWS.format(n=10)} {NAMES}""",
+    "warehouse_onorder": f"""SELECT product_id, product_code, product_name, stock_qty, on_order_qty
+        FROM (SELECT product_id, {big("sum(qty)")} AS stock_qty, {big("sum(qtypurchaserem)")} AS on_order_qty FROM src_report
+              WHERE isactive = 'Y' AND store_id IN (SELECT id FROM src_store WHERE code = '001') GROUP BY product_id)
+        LEFT JOIN (SELECT id AS product_id, name AS product_code, value AS product_name FROM src_product) USING (product_id)
+        WHERE on_order_qty > 0""",
+    "stock_with_onorder": """SELECT product_id, product_code, store_id, '001' AS store_code, qty AS stock_qty,
+        coalesce(rem, 0) AS on_order_qty, qty + coalesce(rem, 0) AS available_qty
+        FROM (SELECT product_id, store_id, qty FROM src_storage WHERE isactive = 'Y'
+              AND store_id IN (SELECT id FROM src_store WHERE code = '001'))
+        LEFT JOIN (SELECT id AS product_id, name AS product_code FROM src_product) USING (product_id)
+        LEFT JOIN (SELECT product_id, store_id, qtypurchaserem AS rem FROM src_report WHERE isactive = 'Y')
+             USING (product_id, store_id)""",
     "onorder_scalar_subquery": f"""SELECT product_id, {big("sum(qtypurchaserem)")} AS on_order_qty FROM src_report
         WHERE isactive = 'Y' AND store_id = (SELECT id FROM src_store WHERE code = '001') GROUP BY product_id""",
     "stock_scorecard": card(
