@@ -88,16 +88,19 @@ def purchase_receipt_compare(purchase: DataFrame) -> DataFrame:
     )
 
 
-def header_completion_class() -> Column:
-    """Receipt class of a header: received documents by quantity, then open ones, then those without quantity."""
-    ordered, received = _header_qty()
-    by_quantity = (
+def _by_quantity(ordered: Column, received: Column) -> Column:
+    return (
         F.when(received == ordered, L.RECEIPT_FULL)
         .when(received < ordered, L.RECEIPT_PARTIAL)
         .otherwise(L.RECEIPT_OVER)
     )
+
+
+def header_completion_class() -> Column:
+    """Receipt class of a header: received documents by quantity, then open ones, then those without quantity."""
+    ordered, received = _header_qty()
     return (
-        F.when((F.col("in_status") == 2) & (received > 0) & (ordered > 0), by_quantity)
+        F.when((F.col("in_status") == 2) & (received > 0) & (ordered > 0), _by_quantity(ordered, received))
         .when(F.col("in_status") == 1, L.RECEIPT_NONE)
         .when(ordered == 0, L.RECEIPT_NO_QTY)
         .otherwise(L.OTHER)
@@ -175,13 +178,12 @@ def purchase_item_stats(purchase_item: DataFrame) -> DataFrame:
 
 
 def item_completion_class() -> Column:
+    """Receipt class of a line, by quantity alone; a missing receipt counts as none."""
     ordered, received = _item_qty()
     return (
-        F.when((ordered > 0) & (received == ordered), L.RECEIPT_FULL)
-        .when((ordered > 0) & (received > 0) & (received < ordered), L.RECEIPT_PARTIAL)
-        .when((ordered > 0) & (received > ordered), L.RECEIPT_OVER)
-        .when((ordered > 0) & ((received == 0) | received.isNull()), L.RECEIPT_NONE)
-        .when(ordered == 0, L.RECEIPT_NO_QTY)
+        F.when(ordered == 0, L.RECEIPT_NO_QTY)
+        .when((ordered > 0) & (F.coalesce(received, F.lit(0)) == 0), L.RECEIPT_NONE)
+        .when((ordered > 0) & (received > 0), _by_quantity(ordered, received))
         .otherwise(L.OTHER)
     )
 

@@ -61,6 +61,44 @@ def test_nothing_runs_in_one_partition(spark, name):
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.fixture
+def eager_skew_handling(spark, no_broadcast):
+    """Skew thresholds scaled down to test data."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) if k == "spark.sql.shuffle.partitions" else None for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v else spark.conf.unset(k)
+
+
+def test_a_hot_order_is_split(spark, frame, eager_skew_handling):
+    """A third of all lines in one order: AQE splits its partition, and the result is that of an even spread."""
+    item = spark.range(60000, numPartitions=8).selectExpr(
+        "if(id % 3 = 0, 7, id % 20000) as retail_id", "cast(100 as bigint) as product_id", "id % 50 as sku_id",
+        "cast(1 as decimal(18,4)) as qty", "cast(2 as decimal(18,2)) as tot_amt_actual", "cast(3 as decimal(18,2)) as tot_amt_list",
+    )
+    retail = spark.range(20000).selectExpr(
+        "id", "20260110 as billdate", "2 + id % 2 as store_id", "cast(if(id % 5 = 4, -9, 9) as decimal(18,2)) as tot_amt_actual",
+        "2 as status", "'Y' as isactive",
+    )
+    store = frame([(2, "DS01", "N"), (3, "RT01", "Y")], "id bigint, code string, is_cloud string")
+    product = frame([(100, 134)], "id bigint, m_dim4_id bigint")
+    out = facts.sales_daily(retail, item, store, product, 20260101, 20260131)
+    rows = out.collect()
+    assert sum(r.sales_qty + r.return_qty for r in rows) == 60000
+    orders = item.filter("retail_id % 5 <> 4").selectExpr("retail_id % 2 + 2 as store_id", "retail_id", "sku_id").distinct()
+    counted = {(r.store_id, r.sku_id): r["count"] for r in orders.groupBy("store_id", "sku_id").count().collect()}
+    assert {(r.store_id, r.m_productalias_id): r.order_count for r in rows if r.order_count} == counted
+    assert "skew=true" in physical(out)
+
+
 def test_stock_and_sales_totals_join_without_another_shuffle(warehouse, no_broadcast):
     plan = physical(warehouse.health())
     keys = re.findall(r"Exchange hashpartitioning\(product_id#\d+L, (?:sku_id|m_productalias_id)#\d+L", plan)
