@@ -1,6 +1,6 @@
 """Retail source tables laid over the given test tables, so that every job runs on whole tables.
 
-``checks/oracle.py`` states the same mapping for the oracle engine. Column values are derived with plain expressions; the
+``shelfline_checks/oracle.py`` states the same mapping for the oracle engine. Column values are derived with plain expressions; the
 rules that make NULLs, inactive rows, negative lines and unknown codes give every branch of the jobs something to do.
 """
 

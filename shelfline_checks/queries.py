@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.adapter import AS_OF, Sources, view
+from shelfline_checks.adapter import AS_OF, Sources, view
 from shelfline.functions import date_key
 from shelfline.operators import dims, facts, health, purchase, quality, reports, stock, transfer
 from shelfline.plans import refresh

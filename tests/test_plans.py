@@ -6,9 +6,9 @@ import re
 
 import pytest
 
-from checks.queries import Warehouse
+from shelfline_checks.queries import Warehouse
 from shelfline.operators import facts, stock, transfer
-from checks.adapter import AS_OF
+from shelfline_checks.adapter import AS_OF
 
 FOLDER = "/root/testdata/sf0.001"
 

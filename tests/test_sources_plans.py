@@ -7,11 +7,11 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from checks.adapter import AS_OF, Sources
-from checks.queries import Warehouse
+from shelfline_checks.adapter import AS_OF, Sources
+from shelfline_checks.queries import Warehouse
 from shelfline.operators.reports import daily_report, sales_summary
 from shelfline.plans.conf import recommended_conf
-from shelfline.plans.pipeline import build_all, run_all
+from shelfline.plans.warehouse import build_all, run_all
 from shelfline.schema import align_schema, table_schema
 from shelfline.sources import readers, sinks
 
