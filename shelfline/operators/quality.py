@@ -54,6 +54,11 @@ def dq_dim_store(store: DataFrame, rules: RetailRules = RetailRules()) -> DataFr
     )
 
 
+def _main_products(product: DataFrame) -> Column:
+    """Number of main products, as a scalar subquery."""
+    return product.agg(count_when(F.col("is_main_product") == "Y")).scalar()
+
+
 def _main_stock(
     inventory: DataFrame, product: DataFrame, store: DataFrame, as_of, rules: RetailRules
 ) -> DataFrame:
@@ -162,10 +167,9 @@ def health_coverage(health: DataFrame, product: DataFrame, rules: RetailRules =
         count_when((stock > 0) | (sold > 0)).alias("with_stock_or_sales"),
         count_when((stock == 0) & (sold == 0)).alias("zero_both"),
         count_when(F.col("inventory_status") == L.STATUS_STOPPED).alias("stopped"),
-    ).withColumn("_one", F.lit(1))
-    main = product.agg(count_when(F.col("is_main_product") == "Y").alias("main_products")).withColumn("_one", F.lit(1))
-    return mart.join(main, "_one").select(
-        "total", "with_stock_or_sales", "zero_both", "stopped", "main_products",
+    )
+    return mart.select(
+        "total", "with_stock_or_sales", "zero_both", "stopped", _main_products(product).alias("main_products"),
         (F.col("total") - rules.expected_health_rows).alias("difference"),
         (F.col("with_stock_or_sales") - rules.expected_health_rows).alias("difference_filtered"),
     )
@@ -177,10 +181,9 @@ def inventory_coverage(
     """Main products with a stock row, stock rows by store, all main products."""
     found = _main_stock(inventory, product, store, as_of, rules).agg(
         F.count_distinct("product_id").alias("products_with_stock"), F.count(F.lit(1)).alias("stock_rows")
-    ).withColumn("_one", F.lit(1))
-    main = product.agg(count_when(F.col("is_main_product") == "Y").alias("main_products")).withColumn("_one", F.lit(1))
-    return found.join(main, "_one").select(
-        "products_with_stock", "stock_rows", "main_products",
+    )
+    return found.select(
+        "products_with_stock", "stock_rows", _main_products(product).alias("main_products"),
         F.abs(F.col("products_with_stock") - rules.expected_health_rows).alias("difference"),
         percent(
             F.abs(F.col("products_with_stock") - rules.expected_health_rows), F.lit(rules.expected_health_rows), 1
