@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from shelfline_checks.queries import Warehouse
+from shelfline_checks.queries import Warehouse, queries
 from shelfline.operators import facts, stock, transfer
 from shelfline_checks.adapter import AS_OF
 
@@ -123,3 +123,15 @@ def test_grain_match_needs_one_shuffle_per_row(warehouse):
 def test_coverage_is_lazy_and_unsorted(warehouse):
     plan = physical(facts.sales_coverage(warehouse.sales(), AS_OF, AS_OF))
     assert "rangepartitioning" not in plan
+
+
+def test_no_query_depends_on_broadcasts(spark, no_broadcast):
+    """With every table too large to broadcast: no cross or nested-loop joins, no Python operators, and the only forced
+    broadcast is the one row per slice of the running totals."""
+    forced = set()
+    for name, query in queries().items():
+        plan = physical(query(spark, FOLDER))
+        assert not re.search("CartesianProduct|NestedLoop|Python|InPandas", plan), name
+        if "BroadcastExchange" in plan:
+            forced.add(name)
+    assert forced == {"sabc_grade", "grade_summary", "export_health", "dq_health", "onorder_distribution"}
