@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup, token_counts
+from shelfline.llm import exact_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _read(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score_texts(docs, model)
+    held = F.coalesce(toxicity.remainder() == 1, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"))
 
