@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shelfline.llm import license_scan
+
 OP9 = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
@@ -10,5 +12,54 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x).lower() for x in r) + ")" for r in rows)
+
+
+OP8 = f"""
+WITH phrases(template, label, phrase, words) AS (
+    SELECT a, b, c, string_split(d, ' ')
+    FROM (VALUES {_values([(i, a, True, t) for i, (a, t) in enumerate(license_scan.PHRASES.items())] + [(100 + i, a, False, t) for i, (a, t) in enumerate(license_scan.NOTICES)])}) AS v(a, b, c, d)
+), template_grams AS (
+    SELECT template, label, phrase, len(words) AS length, p - 1 AS position, array_to_string(words[p:p + 2], ' ') AS gram
+    FROM phrases, unnest(range(1, len(words) - 1)) AS r(p)
+), texts AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+    FROM documents
+), votes AS (
+    SELECT DISTINCT r, template, label, phrase, length, position, a - 1 AS spot, a - 1 - position AS diagonal
+    FROM (SELECT r, a, array_to_string(words[a:a + 2], ' ') AS gram FROM texts, unnest(range(1, len(words) - 1)) AS s(a)) JOIN template_grams USING (gram)
+), marked AS (
+    SELECT *, CASE WHEN phrase OR ((diagonal - lag(diagonal) OVER w) <= {license_scan.NEAR}) IS NOT TRUE THEN 1 ELSE 0 END AS fresh
+    FROM (SELECT DISTINCT r, template, phrase, diagonal FROM votes) AS d WINDOW w AS (PARTITION BY r, template ORDER BY diagonal)
+), banded AS (
+    SELECT r, template, diagonal, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal) AS band FROM marked
+), bands AS (
+    SELECT r, template, label, phrase, length, band, count(DISTINCT position) AS grams, min(spot) AS first, max(spot) + {license_scan.K} AS stop,
+           len(list_distinct(flatten(list([position, position + 1, position + 2])))) / length AS share
+    FROM votes JOIN banded USING (r, template, diagonal) GROUP BY r, template, label, phrase, length, band
+), judged AS (
+    SELECT r, label, first, stop, phrase AND grams = length - {license_scan.K - 1} AS exact,
+           CASE WHEN phrase AND grams = length - {license_scan.K - 1} THEN 1.0
+                WHEN NOT phrase AND share >= {license_scan.COVER} AND stop - first <= length * {license_scan.STRETCH} THEN share END AS share
+    FROM bands
+), reached AS (
+    SELECT *, CASE WHEN first < max(stop) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh
+    FROM judged WHERE share IS NOT NULL WINDOW w AS (PARTITION BY r ORDER BY first, stop, label)
+), runs AS (
+    SELECT *, sum(fresh) OVER (PARTITION BY r ORDER BY first, stop, label ROWS UNBOUNDED PRECEDING) AS run FROM reached
+), best AS (
+    SELECT r, label, first, exact, share FROM runs QUALIFY share = max(share) OVER (PARTITION BY r, run)
+)
+SELECT any_value(doc_id) AS doc_id, any_value(len(words)) AS n_words, count(*) FILTER (exact) AS n_base,
+       min(first) FILTER (exact) AS first_word, max(first) FILTER (exact) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (share IS NOT NULL), '') AS labels,
+       coalesce(max(share), 0.0)::DOUBLE AS score
+FROM texts LEFT JOIN best USING (r) GROUP BY r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9}
+    return {"op8_license_scan": OP8, "op9_exact_dedup": OP9}
