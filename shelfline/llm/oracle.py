@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfline.llm import license_scan
+from shelfline.llm import license_scan, url_filter
 
 OP9 = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -16,6 +16,49 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x).lower() for x in r) + ")" for r in rows)
 
 
+def _op1() -> str:
+    """Rules as a table, then each order of the models as two CTEs."""
+    n, size = url_filter.ORDER, url_filter.SYMBOLS
+    orders = ["p0_ AS (SELECT 0 AS g, 1.0::DOUBLE / " + str(size) + " AS pa, 1.0::DOUBLE / " + str(size) + " AS pb)"]
+    for k in range(n + 1):
+        share = lambda c: f"CASE WHEN n{c} = 0 THEN l.p{c} ELSE (o.{c} + t{c} * l.p{c}) / (n{c} + t{c}) END AS p{c}"
+        orders.append(f"o{k + 1} AS (SELECT gram % {size ** (k + 1)} AS g, sum(a)::BIGINT AS a, sum(b)::BIGINT AS b FROM counts GROUP BY 1)")
+        orders.append(f"c{k + 1} AS (SELECT g // {size} AS x, sum(a)::BIGINT AS na, sum(b)::BIGINT AS nb, count(*) FILTER (a > 0) AS ta, count(*) FILTER (b > 0) AS tb FROM o{k + 1} GROUP BY 1)")
+        orders.append(f"p{k + 1}_ AS (SELECT o.g, {share('a')}, {share('b')} FROM o{k + 1} o JOIN c{k + 1} c ON c.x = o.g // {size} JOIN p{k}_ l ON l.g = o.g % {size**k})")
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
+    code = " + ".join(f"{size**j} * instr('{url_filter.LETTERS}', substring(padded, i - {j}, 1))" for j in range(n, -1, -1))
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH rules AS (SELECT * FROM (VALUES {rules}) AS v(verdict, rule_host, rule_path)), parsed AS (
+    SELECT row_number() OVER () AS r, page_id, {lower.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+           regexp_replace(regexp_replace({lower.format("regexp_extract(coalesce(url, ''), '(?s)^(?:.*?://)?(.*)$', 1)")}, '[0-9]+', '0', 'g'), '[^a-z0/.-]', '?', 'g') AS spelled
+    FROM pages
+), ruled AS (
+    SELECT r, page_id, host, path, spelled, rule_host || rule_path AS rule, verdict AS by_rule
+    FROM parsed LEFT JOIN rules ON (host = rule_host OR suffix(host, '.' || rule_host)) AND prefix(path, rule_path)
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(rule_host) + length(rule_path) DESC NULLS LAST) = 1
+), urls AS (
+    SELECT *, by_rule IS NOT NULL AND md5(spelled) < '{url_filter.HELD}' AS held, repeat(' ', {n}) || spelled || ' ' AS padded FROM ruled
+), grams AS (
+    SELECT r, by_rule, held, {code} AS gram FROM urls, unnest(range({n + 1}, length(padded) + 1)) AS s(i)
+), counts AS (
+    SELECT gram, count(*) FILTER (NOT held AND by_rule = 'allow') AS a, count(*) FILTER (NOT held AND by_rule = 'block') AS b FROM grams GROUP BY 1
+), {", ".join(orders)}, weights AS (
+    SELECT g AS gram, round((ln(pa) - ln(pb)) * {url_filter.UNIT})::BIGINT AS weight FROM p{n + 1}_
+), sums AS (
+    SELECT r, floor(sum(weight)::DOUBLE / count(*))::BIGINT AS score FROM grams JOIN weights USING (gram) GROUP BY 1
+), moments AS (
+    SELECT by_rule, count(*) AS n, sum(score)::DOUBLE / count(*) AS mean, sqrt(greatest(sum(score::HUGEINT * score)::DOUBLE / count(*) - (sum(score)::DOUBLE / count(*)) ^ 2, 0)) + 1 AS spread
+    FROM urls JOIN sums USING (r) WHERE held GROUP BY 1
+), cut AS (
+    SELECT coalesce((SELECT (a.mean * b.spread + b.mean * a.spread) / (a.spread + b.spread) FROM moments a, moments b WHERE a.by_rule = 'allow' AND b.by_rule = 'block'), 0.0) AS threshold
+)
+SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN score >= (SELECT threshold FROM cut) THEN 'allow' ELSE 'block' END) AS verdict, score
+FROM urls JOIN sums USING (r)
+"""
+
+
 OP8 = f"""
 WITH phrases(template, label, phrase, words) AS (
     SELECT a, b, c, string_split(d, ' ')
@@ -62,4 +105,4 @@ FROM texts LEFT JOIN best USING (r) GROUP BY r
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_license_scan": OP8, "op9_exact_dedup": OP9}
+    return {"op1_url_filter": _op1(), "op8_license_scan": OP8, "op9_exact_dedup": OP9}
