@@ -59,6 +59,38 @@ FROM urls JOIN sums USING (r)
 """
 
 
+OP3 = """
+WITH last AS (
+    SELECT conv_id, arg_max(turn, (turn, coalesce(text, ''))) AS turn, arg_max(coalesce(text, ''), (turn, coalesce(text, ''))) AS text
+    FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL GROUP BY 1
+), sides AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, 'good' AS side FROM conversations WHERE conv_id IS NOT NULL
+    UNION ALL
+    SELECT c.conv_id, c.turn, coalesce(c.role, ''), CASE WHEN c.role = 'assistant' AND c.turn = a.turn AND coalesce(c.text, '') = a.text AND b.text IS NOT NULL THEN b.text ELSE coalesce(c.text, '') END, 'bad'
+    FROM conversations c LEFT JOIN last a ON a.conv_id = c.conv_id LEFT JOIN last b ON b.conv_id = xor(c.conv_id, 1) WHERE c.conv_id IS NOT NULL
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn NULLS FIRST, role, text) AS place FROM sides
+), prefix AS (
+    SELECT conv_id, coalesce(min(least(g.place, b.place)) FILTER (g.text IS NULL OR b.text IS NULL OR g.role != b.role OR g.text != b.text), max(g.place) + 1) - 1 AS n_prefix
+    FROM (SELECT * FROM numbered WHERE side = 'good') g FULL JOIN (SELECT * FROM numbered WHERE side = 'bad') b USING (conv_id, place) GROUP BY 1
+), lines AS (
+    SELECT conv_id, n_prefix, side, place, role, length('<|' || role || '|>
+') AS head, length(text) + 1 AS body, '<|' || role || '|>
+' || text || '
+' AS line
+    FROM numbered JOIN prefix USING (conv_id)
+), placed AS (
+    SELECT *, sum(head + body) OVER (PARTITION BY conv_id, side, place > n_prefix ORDER BY place) - body AS first FROM lines
+)
+SELECT conv_id, n_prefix::BIGINT AS n_prefix,
+       coalesce(string_agg(line, '' ORDER BY place) FILTER (side = 'good' AND place <= n_prefix), '') AS prompt,
+       coalesce(string_agg(line, '' ORDER BY place) FILTER (side = 'good' AND place > n_prefix), '') AS chosen,
+       coalesce(string_agg(first || '-' || (first + body), ',' ORDER BY place) FILTER (side = 'good' AND place > n_prefix AND role = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg(line, '' ORDER BY place) FILTER (side = 'bad' AND place > n_prefix), '') AS rejected,
+       coalesce(string_agg(first || '-' || (first + body), ',' ORDER BY place) FILTER (side = 'bad' AND place > n_prefix AND role = 'assistant'), '') AS rejected_mask
+FROM placed GROUP BY conv_id, n_prefix
+"""
+
 OP8 = f"""
 WITH phrases(template, label, phrase, words) AS (
     SELECT a, b, c, string_split(d, ' ')
@@ -105,4 +137,4 @@ FROM texts LEFT JOIN best USING (r) GROUP BY r
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _op1(), "op8_license_scan": OP8, "op9_exact_dedup": OP9}
+    return {"op1_url_filter": _op1(), "op3_preference_format": OP3, "op8_license_scan": OP8, "op9_exact_dedup": OP9}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import decontaminate, exact_dedup, jaccard_join, license_scan, token_counts, toxicity, url_filter
+from shelfline.llm import best_fit, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, token_counts, toxicity, url_filter
+from shelfline.llm.common import ROW
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,14 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against itself with its last reply swapped; masks as text, first-end, comma-joined."""
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    pairs = chat_format.format_preferences(turns, chat_format.swapped_replies(turns))
+    spans = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["first"], x["end"])), ",")
+    return pairs.withColumn("chosen_mask", spans("chosen_mask")).withColumn("rejected_mask", spans("rejected_mask"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, _read(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -32,6 +41,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(_read(spark, sf_dir, "documents")).drop(ROW)
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "score", "first_word", "end_word", "seeds")
