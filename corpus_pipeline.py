@@ -5,8 +5,16 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup
+from shelfline.llm import best_fit, decontaminate, exact_dedup, jaccard_join, toxicity
+from shelfline.llm.common import ROW
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a toxicity score of 0.7 or more go; the model learns from the labels outside the held-out third."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score_texts(docs, model).filter(F.col("predicted") == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,11 +22,39 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_copies(docs)
 
 
-STAGES = [("exact_dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by 80 % common word shingles the row with the smallest doc_id stays."""
+    return jaccard_join.drop_near_copies(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy of a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all documents in bins of bytes: no bin has two of one source or two equal texts."""
+    return best_fit.pack(docs).drop(ROW)
+
+
+STAGES = [("toxicity", toxic), ("exact_dedup", exact), ("ngram_jaccard_join", near), ("benchmark_decontamination", clean), ("best_fit_packing", packed)]
+#: Segment scores, set distances, alignments and packing are beyond SQL; tests/llm holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; only the packing order of the last stage depends on the whole input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return reduce(lambda kept, stage: stage[1](spark, kept, sf_dir), STAGES, docs)
+    """All stages over the whole table `documents`, each written in the shared checkpoint folder and read again."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+    def step(docs: DataFrame, numbered: tuple[int, tuple]) -> DataFrame:
+        number, (name, function) = numbered
+        kept = function(spark, docs, sf_dir)
+        if number == len(STAGES):
+            return kept
+        target = f"{folder}/corpus_pipeline-{spark.sparkContext.applicationId}-{abs(hash((sf_dir, id(docs)))):x}/{number}_{name}.parquet"
+        kept.write.mode("overwrite").parquet(target)
+        return spark.read.parquet(target)
+
+    return reduce(step, enumerate(STAGES, 1), spark.read.parquet(f"{sf_dir}/documents.parquet"))
