@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import best_fit, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, token_counts, toxicity, url_filter
+from shelfline.llm import best_fit, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, suffix_dedup, token_counts, toxicity, url_filter
 from shelfline.llm.common import ROW
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents")).drop(ROW, "spans")
+
+
 def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation against itself with its last reply swapped; masks as text, first-end, comma-joined."""
     turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
