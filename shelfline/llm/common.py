@@ -54,6 +54,12 @@ def pieces(raw: np.ndarray, offsets: np.ndarray, limit: int = PIECE) -> Iterator
         first = end
 
 
+def each(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bytes, offsets) of every row by itself."""
+    for lo, hi in zip(offsets[:-1], offsets[1:], strict=True):
+        yield raw[lo:hi], np.array([0, hi - lo])
+
+
 def table(seed: int, size: int = 256) -> np.ndarray:
     """Fixed random 64-bit odd numbers."""
     return np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 63, size, np.uint64) * np.uint64(2) + np.uint64(1)

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import ROW, grams, keyed, pieces, utf8, words
+from shelfline.llm.common import ROW, each, grams, keyed, pieces, utf8, words
 
-#: Words of a seed; the share of an item's seeds that is used, the rarest in the corpus first.
-SEED, RAREST = 3, 0.5
+#: Words of a seed. A seed is common, and left out, if it occurs over FACTOR times as often in the corpus as the item's median
+#: seed, and BASE times more; so the seeds of a much copied item still count.
+SEED, FACTOR, BASE = 3, 4, 16
 #: Scores of the alignment by words, and the least share of an item's perfect score that counts as a copy.
 MATCH, MISMATCH, GAP = 2, -1, 1
 COPY = 0.5
@@ -32,7 +33,7 @@ def item_grams(items: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for item, (_, _, part, edges) in zip(batch.column("item_id").to_pylist(), pieces(*utf8(batch.column("text")), 1), strict=True):
+            for item, (part, edges) in zip(batch.column("item_id").to_pylist(), each(*utf8(batch.column("text"))), strict=True):
                 _, _, hashed, firsts = words(part, edges, INSIDE)
                 found, at = grams(hashed, firsts, SEED)
                 rows += [{"item_id": item, "length": len(hashed), "hashes": hashed.tobytes(), "gram": int(g), "place": int(p)} for g, p in zip(found.view(np.int64), at, strict=True)]
@@ -96,8 +97,8 @@ def passages(hits: DataFrame, seeds: DataFrame) -> DataFrame:
     """(row id, item_id, length, hashes, first, end, seeds): stretches of a text in which seeds of one item lie close together."""
     counts = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     by_item = W.partitionBy("item_id")
-    rare = seeds.join(counts, "gram").withColumn("rank", F.row_number().over(by_item.orderBy("n", "gram", "place")))
-    rare = rare.withColumn("all", F.count(F.lit(1)).over(by_item)).filter(F.col("rank") <= F.ceil(F.col("all") * RAREST))
+    rare = seeds.join(counts, "gram").withColumn("usual", F.median("n").over(by_item)).filter(F.col("n") <= FACTOR * F.col("usual") + BASE)
+    rare = rare.withColumn("all", F.count(F.lit(1)).over(by_item))
     met = hits.join(rare.select("item_id", "length", "hashes", "gram", "place", "all"), "gram")
     of = W.partitionBy(ROW, "item_id").orderBy("at", "place")
     met = met.withColumn("fresh", F.when(F.col("at") - F.lag("at").over(of) <= F.col("length"), 0).otherwise(1)).withColumn("run", F.sum("fresh").over(of))
@@ -113,8 +114,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
     Words are runs of a-z (A-Z lower-cased), 0-9 and non-ASCII characters. Edited and paraphrased copies score the share of the
     item's perfect alignment that is left. NULL texts and items are empty; items of fewer than SEED words are never found, as
-    nothing tells them from chance. Of items whose seeds are frequent the rarest half still counts, so a much copied item is
-    found everywhere. Repeated rows are judged each; empty tables give no rows.
+    nothing tells them from chance. Repeated rows are judged each; empty tables give no rows.
     """
     base = keyed(docs, id_col, text_col)
     seeds = item_grams(items.select(F.col(item_col).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text")).distinct())
@@ -125,10 +125,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         schema = pa.schema([(ROW, pa.int64()), ("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int64()), ("end_word", pa.int64()), ("seeds", pa.int64())])
         for batch in batches:
             rows, left, right = [], [], []
-            texts = pieces(*utf8(batch.column("text")), 1)
-            for row, doc, each, (_, _, part, edges) in zip(batch.column(ROW).to_pylist(), batch.column("doc_id").to_pylist(), batch.column("found").to_pylist(), texts, strict=True):
+            texts = each(*utf8(batch.column("text")))
+            for row, doc, wanted, (part, edges) in zip(batch.column(ROW).to_pylist(), batch.column("doc_id").to_pylist(), batch.column("found").to_pylist(), texts, strict=True):
                 hashed = words(part, edges, INSIDE)[2]
-                for p in each:
+                for p in wanted:
                     slack = len(p["hashes"]) // 32
                     lo = max(0, p["first"] - slack)
                     rows.append((row, doc, p["item_id"], lo, p["seeds"]))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import BYTE, INVERSE, ROW, checkpointed, keyed, mixed, pieces, powers, prefix_hash, utf8
+from shelfline.llm.common import BYTE, INVERSE, ROW, checkpointed, each, keyed, mixed, pieces, powers, prefix_hash, utf8
 
 #: Bytes of a string that counts as repeated, of an anchor, and windows that share a core.
 LENGTH, ANCHOR, STEP = 100, 32, 18
@@ -233,10 +233,10 @@ def core_pieces(base: DataFrame, places: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            texts = pieces(*utf8(batch.column("text")), 1)
-            for row, doc, each, (_, _, part, _) in zip(batch.column(ROW).to_pylist(), batch.column("doc_id").to_pylist(), batch.column("places").to_pylist(), texts, strict=True):
+            texts = each(*utf8(batch.column("text")))
+            for row, doc, wanted, (part, _) in zip(batch.column(ROW).to_pylist(), batch.column("doc_id").to_pylist(), batch.column("places").to_pylist(), texts, strict=True):
                 text = part.tobytes()
-                for p in each:
+                for p in wanted:
                     at, end = p["core"], p["core"] + CORE
                     core = int.from_bytes(hashlib.blake2b(text[at:end], digest_size=8).digest(), "little", signed=True)
                     out.append((core, text[p["first"] : at], text[end : p["end"]], doc, row, at))
@@ -355,9 +355,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             out = []
-            texts = pieces(*utf8(batch.column("text")), 1)
+            texts = each(*utf8(batch.column("text")))
             lists = batch.column("spans")
-            for i, (_, _, part, _) in enumerate(texts):
+            for i, (part, _) in enumerate(texts):
                 runs = np.zeros((0, 2), np.int64)
                 if lists[i].is_valid:
                     flat = lists[i].values
