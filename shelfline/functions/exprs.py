@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 def as_date(value: date | str | int) -> date:
     """A day given as date, ``YYYY-MM-DD`` or ``YYYYMMDD``."""
+    if isinstance(value, datetime):
+        return value.date()
     if isinstance(value, date):
         return value
     text = str(value)

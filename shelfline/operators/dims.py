@@ -20,6 +20,11 @@ def _active(df: DataFrame) -> DataFrame:
     return df.filter(F.col("isactive") == "Y")
 
 
+def _one_per_id(lookup: DataFrame, key: str, **columns: str) -> DataFrame:
+    """A lookup as (key, columns) with one row per id, so that it multiplies nothing and falls away where nobody reads it."""
+    return lookup.groupBy(F.col("id").alias(key)).agg(*[F.max(c).alias(name) for name, c in columns.items()])
+
+
 def dim_product(product: DataFrame, dim: DataFrame, rules: RetailRules = RetailRules()) -> DataFrame:
     """Active products with brand, category, property and series names and the main-product flag.
 
@@ -29,7 +34,7 @@ def dim_product(product: DataFrame, dim: DataFrame, rules: RetailRules = RetailR
     for column, name in (
         ("m_dim1_id", "brand"), ("m_dim4_id", "category"), ("m_dim5_id", "property"), ("m_dim6_id", "series"),
     ):
-        lookup = dim.select(F.col("id").alias(f"{name}_key"), F.col("attribname").alias(f"{name}_name"))
+        lookup = _one_per_id(dim, f"{name}_key", **{f"{name}_name": "attribname"})
         out = out.join(lookup, F.col(column) == F.col(f"{name}_key"), "left")
 
     def id_or_zero(column: str):
@@ -63,7 +68,7 @@ def dim_product_attr(product: DataFrame, alias: DataFrame, attr: DataFrame) -> D
     """Distinct (product, colour, size) of active products, taken from their first active SKU; missing values become ''."""
     # min_by keeps one candidate per product and task before the shuffle, so a product with very many SKUs stays cheap.
     first_sku = _active(alias).groupBy("product_id").agg(F.min_by("attr_id", "id").alias("attr_id"))
-    looks = attr.select(F.col("id").alias("attr_id"), "value1", "value2")
+    looks = _one_per_id(attr, "attr_id", value1="value1", value2="value2")
     first_look = first_sku.join(looks, "attr_id", "left").select("product_id", "value1", "value2")
     return (
         _active(product)
@@ -80,7 +85,7 @@ def dim_product_attr(product: DataFrame, alias: DataFrame, attr: DataFrame) -> D
 
 def dim_sku(alias: DataFrame, attr: DataFrame) -> DataFrame:
     """Active SKUs with colour and size."""
-    looks = attr.select(F.col("id").alias("as_id"), "value1", "value2")
+    looks = _one_per_id(attr, "as_id", value1="value1", value2="value2")
     return (
         _active(alias)
         .join(looks, F.col("attr_id") == F.col("as_id"), "left")
@@ -98,7 +103,7 @@ def dim_sku(alias: DataFrame, attr: DataFrame) -> DataFrame:
 
 def dim_store(store: DataFrame, area: DataFrame, rules: RetailRules = RetailRules()) -> DataFrame:
     """Active stores with area name and the type read from the store code (codes are case-sensitive)."""
-    areas = area.select(F.col("id").alias("ar_id"), F.col("name").alias("area_name"))
+    areas = _one_per_id(area, "ar_id", area_name="name")
     code = F.col("code")
     store_type = (
         F.when(code == rules.main_warehouse, L.STORE_MAIN)

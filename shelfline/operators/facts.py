@@ -27,6 +27,44 @@ def _scoped_stores(store: DataFrame, scope) -> DataFrame:
     )
 
 
+def _headers(retail: DataFrame, stores: DataFrame, lo, hi, rules: RetailRules) -> DataFrame:
+    """Submitted receipts of the stores with a bill date in [lo, hi] and the sign of their amount."""
+    return (
+        retail.filter(
+            (F.col("isactive") == "Y")
+            & (F.col("status") == rules.submitted_status)
+            & F.col("billdate").between(date_key(lo), date_key(hi))
+        )
+        .join(stores.select("store_id"), "store_id", "left_semi")
+        .select(
+            F.col("id").alias("retail_id"),
+            F.col("billdate").alias("date_id"),
+            "store_id",
+            F.signum(F.col("tot_amt_actual").cast("double")).alias("sign"),
+        )
+    )
+
+
+def sale_orders(
+    retail: DataFrame, item: DataFrame, store: DataFrame, product: DataFrame,
+    lo: date | str | int, hi: date | str | int, rules: RetailRules = RetailRules(),
+) -> DataFrame:
+    """The products of every sale order behind ``sales_daily``: distinct (date_id, store_code, product_id, retail_id).
+
+    An order has one day and one store, so its counts add up over both, but not over products, SKUs or categories.
+    """
+    stores = _scoped_stores(store, rules.sales_scope)
+    sales = _headers(retail, stores, lo, hi, rules).filter(F.col("sign") > 0)
+    lines = item.filter(F.col("sku_id").isNotNull()).select("retail_id", "product_id")
+    return (
+        lines.join(_main_products(product, rules), "product_id", "left_semi")
+        .join(sales, "retail_id")
+        .join(stores, "store_id")
+        .select(F.col("date_id").cast("int").alias("date_id"), "store_code", "product_id", "retail_id")
+        .distinct()
+    )
+
+
 def sales_daily(
     retail: DataFrame, item: DataFrame, store: DataFrame, product: DataFrame,
     lo: date | str | int, hi: date | str | int, rules: RetailRules = RetailRules(),
@@ -44,20 +82,7 @@ def sales_daily(
     and so forbid AQE to split an order that holds a large share of all lines.
     """
     stores = _scoped_stores(store, rules.sales_scope)
-    headers = (
-        retail.filter(
-            (F.col("isactive") == "Y")
-            & (F.col("status") == rules.submitted_status)
-            & F.col("billdate").between(date_key(lo), date_key(hi))
-        )
-        .join(stores.select("store_id"), "store_id", "left_semi")
-        .select(
-            F.col("id").alias("retail_id"),
-            F.col("billdate").alias("date_id"),
-            "store_id",
-            F.signum(F.col("tot_amt_actual").cast("double")).alias("sign"),
-        )
-    )
+    headers = _headers(retail, stores, lo, hi, rules)
     lines = item.filter(F.col("sku_id").isNotNull()).select(
         "retail_id",
         "product_id",

@@ -6,23 +6,16 @@ columns, each slice runs its own window, and every slice is shifted by the total
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the checkpoint folder of the session; only a local session without one gets a scratch folder."""
+    """Use the checkpoint folder of the session; where none is set, one in its warehouse, which all executors share as well."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="shelfline-checkpoint-")
-    context.setCheckpointDir(shared)
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
 
 
 def running_totals(

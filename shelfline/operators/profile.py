@@ -85,8 +85,8 @@ def fill_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def monthly(df: DataFrame, day_key: str, totals: Mapping[str, Column], months: int = 12) -> DataFrame:
-    """Totals per month of a YYYYMMDD column for the latest months; missing and zero dates are left out.
+def monthly(df: DataFrame, day_key: str, totals: Mapping[str, Column], months: int | None = None) -> DataFrame:
+    """Totals per month of a YYYYMMDD column, of all months or the latest; missing and zero dates are left out.
 
     ``totals`` are counts and sums. They are taken per day first, on the plain integer, so the month is worked out once
     per day and not once per document.
@@ -96,23 +96,23 @@ def monthly(df: DataFrame, day_key: str, totals: Mapping[str, Column], months: i
         .groupBy(day_key)
         .agg(*[total.alias(name) for name, total in totals.items()])
     )
-    return (
+    by_month = (
         per_day.groupBy(month_of(F.col(day_key)).alias("month"))
         .agg(*[F.sum(name).alias(name) for name in totals])
         .orderBy(F.col("month").desc_nulls_last())
-        .limit(months)
     )
+    return by_month if months is None else by_month.limit(months)
 
 
-def top_by(df: DataFrame, key: str, aggregates: Sequence[Column], rank_by: str, limit: int) -> DataFrame:
-    """Top groups by one aggregate, nulls last, ties by key."""
-    return (
+def top_by(df: DataFrame, key: str, aggregates: Sequence[Column], rank_by: str, limit: int | None) -> DataFrame:
+    """All groups, or the top ones, by one aggregate, nulls last, ties by key."""
+    ranked = (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(*aggregates)
         .orderBy(F.col(rank_by).desc_nulls_last(), F.col(key).asc())
-        .limit(limit)
     )
+    return ranked if limit is None else ranked.limit(limit)
 
 
 def header_item_consistency(

@@ -125,7 +125,7 @@ def purchase_completion(purchase: DataFrame) -> DataFrame:
     )
 
 
-def purchase_monthly(purchase: DataFrame, months: int = 12) -> DataFrame:
+def purchase_monthly(purchase: DataFrame, months: int | None = None) -> DataFrame:
     ordered, received = _header_qty()
     totals = {
         "receipts": F.count(F.lit(1)),
@@ -137,7 +137,7 @@ def purchase_monthly(purchase: DataFrame, months: int = 12) -> DataFrame:
     return monthly(active(purchase), "datein", totals, months)
 
 
-def _top_receivers(purchase: DataFrame, key: str, limit: int) -> DataFrame:
+def _top_receivers(purchase: DataFrame, key: str, limit: int | None) -> DataFrame:
     ordered, received = _header_qty()
     return top_by(
         active(purchase),
@@ -154,11 +154,11 @@ def _top_receivers(purchase: DataFrame, key: str, limit: int) -> DataFrame:
     )
 
 
-def purchase_by_supplier(purchase: DataFrame, limit: int = 10) -> DataFrame:
+def purchase_by_supplier(purchase: DataFrame, limit: int | None = None) -> DataFrame:
     return _top_receivers(purchase, "supplier_id", limit)
 
 
-def purchase_by_store(purchase: DataFrame, limit: int = 10) -> DataFrame:
+def purchase_by_store(purchase: DataFrame, limit: int | None = None) -> DataFrame:
     return _top_receivers(purchase, "store_id", limit)
 
 

@@ -2,8 +2,8 @@
 
 Only the column lists of these two tables are published; the formulas are this library's:
 average order value = sales / orders, return rate = returns / sales, discount rate = sales / list amount,
-growth = (now - then) / then, all rates in percent. ``order_count`` adds the orders of the fact rows, so an order with
-several SKUs counts once per SKU.
+growth = (now - then) / then, all rates in percent. Orders are counted from ``facts.sale_orders``, so an order with several
+SKUs counts once in every row it belongs to.
 """
 
 from __future__ import annotations
@@ -20,14 +20,21 @@ def _with_channel(sales: DataFrame, channel: DataFrame) -> DataFrame:
     return sales.join(channels, "store_code", "left")
 
 
-def daily_report(sales: DataFrame, channel: DataFrame) -> DataFrame:
+def daily_report(sales: DataFrame, channel: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per day x channel with net values, rates, last year's same day and the previous day.
 
     Instead of joining the daily totals to themselves twice, each total is sent to the days it is a comparison for and
     one grouping brings the three figures together. 29 February compares with 28 February of the year before.
     """
-    measures = ["sales_amount", "sales_amount_list", "sales_qty", "return_amount", "return_qty", "order_count"]
-    per_store = sales.groupBy("date_id", "store_code").agg(*[F.sum(c).alias(c) for c in measures])
+    summed = ["sales_amount", "sales_amount_list", "sales_qty", "return_amount", "return_qty"]
+    measures = [*summed, "order_count"]
+    counted = orders.groupBy("date_id", "store_code").agg(F.count_distinct("retail_id").alias("order_count"))
+    per_store = (
+        sales.groupBy("date_id", "store_code")
+        .agg(*[F.sum(c).alias(c) for c in summed])
+        .join(counted, ["date_id", "store_code"], "left")
+        .withColumn("order_count", F.coalesce("order_count", F.lit(0)))
+    )
     daily = (
         _with_channel(per_store, channel)
         .groupBy(key_to_date(F.col("date_id")).alias("day"), "channel_id", "channel_name")
@@ -78,14 +85,15 @@ def daily_report(sales: DataFrame, channel: DataFrame) -> DataFrame:
     )
 
 
-def sales_summary(sales: DataFrame, product: DataFrame, channel: DataFrame) -> DataFrame:
+def sales_summary(sales: DataFrame, product: DataFrame, channel: DataFrame, orders: DataFrame) -> DataFrame:
     """Sales per period x channel x category for days, weeks (from Monday) and months, with active SKUs.
 
     Every fact row is laid out for its three periods and summed per SKU, with partial sums before the one large shuffle;
-    a second grouping on that counts the SKUs that sold, so no distinct aggregate is needed.
+    a second grouping on that counts the SKUs that sold, so no distinct aggregate is needed. Orders are made distinct per
+    day, store and category, after which they add up over days and stores.
     """
     categories = product.select("product_id", "category_id", "category_name")
-    measures = ["sales_amount", "sales_qty", "return_amount", "return_qty", "order_count"]
+    measures = ["sales_amount", "sales_qty", "return_amount", "return_qty"]
     facts = sales.select("date_id", "store_code", "product_id", "m_productalias_id", *measures).join(
         categories, "product_id", "left"
     )
@@ -103,10 +111,23 @@ def sales_summary(sales: DataFrame, product: DataFrame, channel: DataFrame) -> D
         .groupBy(*period, "m_productalias_id")
         .agg(*[F.sum(c).alias(c) for c in measures])
     )
+    counted = (
+        orders.join(categories, "product_id", "left")
+        .groupBy("date_id", "store_code", "category_id", "category_name")
+        .agg(F.count_distinct("retail_id").alias("order_count"))
+    )
+    per_period = (
+        _with_channel(counted, channel)
+        .select("*", F.inline(grains))
+        .groupBy(*period)
+        .agg(F.sum("order_count").alias("order_count"))
+    )
+    # Channel and category may be NULL, so orders and money meet by grouping, not by a join.
+    both = per_sku.withColumn("order_count", F.lit(0).cast("long")).unionByName(per_period, allowMissingColumns=True)
     return (
-        per_sku.groupBy(*period)
+        both.groupBy(*period)
         .agg(
-            *[F.sum(c).alias(c) for c in measures],
+            *[F.sum(c).alias(c) for c in [*measures, "order_count"]],
             F.count(F.when(F.col("sales_qty") > 0, F.lit(1))).alias("sku_count"),
         )
         .withColumn("net_amount", F.col("sales_amount") - F.col("return_amount"))

@@ -234,7 +234,8 @@ def stock_with_onorder(
 ) -> DataFrame:
     """Stock rows of the main warehouse with on-order quantity and availability including it.
 
-    Only active report rows may match; stock rows without a match stay, with 0 on order.
+    Only active report rows may match; stock rows without a match stay, with 0 on order, and come last. The SKU ends the
+    sort key, so the rows of one product can be split.
     """
     main = store.filter(F.col("code") == rules.main_warehouse).select(
         F.col("id").alias("store_id"), F.col("code").alias("store_code")
@@ -242,6 +243,7 @@ def stock_with_onorder(
     incoming = active(report).select("product_id", "store_id", _on_order().alias("on_order"))
     at_main = incoming.join(main.select("store_id"), "store_id", "left_semi")
     on_order = F.coalesce("on_order", F.lit(0))
+    row_key = [c for c in ("sku_id",) if c in storage.columns]
     return (
         active(storage)
         .join(main, "store_id")
@@ -249,9 +251,10 @@ def stock_with_onorder(
         .join(_product_names(product), "product_id", "left")
         .select(
             "product_id", "product_code", "store_id", "store_code", F.col("qty").alias("stock_qty"),
-            on_order.alias("on_order_qty"), (F.col("qty") + on_order).alias("available_qty"),
+            on_order.alias("on_order_qty"), (F.col("qty") + on_order).alias("available_qty"), "on_order", *row_key,
         )
-        .orderBy(F.col("on_order_qty").desc(), "product_id")
+        .orderBy(F.col("on_order").desc_nulls_last(), "product_id", *row_key)
+        .drop("on_order", *row_key)
     )
 
 

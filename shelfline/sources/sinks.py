@@ -51,7 +51,7 @@ def replace_days(df: DataFrame, path: str, lo, hi, column: str = "date_id", on_e
     Days that have rows are overwritten by dynamic partition overwrite; days of the range that have none any more are
     dropped afterwards, so nothing stale survives. An empty input leaves the range as it is (``on_empty="keep"``) or
     clears it (``"clear"``). Running the same call again gives the same table, which is also the way to recover from
-    a failure between the two steps.
+    a failure between the two steps; a reader in between can see new days beside stale ones.
 
     The rebalance hint lets AQE split a day that is much larger than the others over several tasks and files. Row count
     and days come from observed metrics of the write itself, so the input is computed once.

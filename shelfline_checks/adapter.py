@@ -201,32 +201,32 @@ class Sources:
 
     @view
     def storage(self) -> DataFrame:
-        """Open lines are stock."""
-        return self.table("lineitem").filter("l_linestatus = 'O'").selectExpr(
+        """Every line is a stock row; only those of open lines are active."""
+        return self.table("lineitem").selectExpr(
             "l_suppkey % 25 as store_id",
             "l_partkey as product_id",
             SKU,
             """cast(case when l_quantity = 49 then null when l_suppkey % 4 = 0 then l_quantity when l_suppkey % 4 = 1 then 0
                when l_suppkey % 4 = 2 then l_quantity % 5 else l_quantity % 3 end as bigint) as qty""",
             "if(l_returnflag = 'N', cast(l_quantity as bigint), null) as qtypurchaserem",
-            "if(l_linenumber = 7 and l_returnflag = 'A', 'N', 'Y') as isactive",
+            "if(l_linestatus = 'O' and not (l_linenumber = 7 and l_returnflag = 'A'), 'Y', 'N') as isactive",
         )
 
     @view
     def stock_report(self) -> DataFrame:
-        """Accepted and new lines per product x store: shares some keys with the stock, not all of them."""
+        """All lines per product x store; rows without an accepted or new line are inactive, so keys of either side stay alone."""
         return (
             self.table("lineitem")
-            .filter("l_returnflag in ('N', 'A')")
             .groupBy(F.expr("l_partkey as product_id"), F.expr("l_suppkey % 25 as store_id"))
             .agg(
-                F.expr("sum(cast(l_quantity as bigint)) as qty"),
+                F.expr("sum(if(l_returnflag in ('N', 'A'), cast(l_quantity as bigint), 0)) as qty"),
+                F.expr("count_if(l_returnflag in ('N', 'A')) as lines"),
                 F.expr(
                     "sum(if(l_returnflag = 'N', cast(if(l_linenumber = 7, -l_quantity, l_quantity) as bigint), null))"
                     " as qtypurchaserem"
                 ),
             )
-            .selectExpr("*", "if(qty = 13, 'N', 'Y') as isactive")
+            .selectExpr("product_id", "store_id", "qty", "qtypurchaserem", "if(qty = 13 or lines = 0, 'N', 'Y') as isactive")
         )
 
     # -- purchases and transfers ---------------------------------------------------------------------------------

@@ -8,12 +8,20 @@ from __future__ import annotations
 
 import re
 
+from shelfline import rules as L
+
 AS_OF, AS_OF_KEY = "DATE '2001-08-01'", 20010801
 D30, D7, D1 = 20010702, 20010725, 20010731
 LO, HI = 20010601, 20010715
 EXPECTED = 2508
 
 
+def by_code(code: str, main: str, prefixes: list[tuple[str, str]], other: str) -> str:
+    """The class of a store by its code: the main warehouse, then the first prefix that fits."""
+    cases = "".join(f" WHEN {code} LIKE '{prefix}%' THEN '{label}'" for prefix, label in prefixes)
+    return f"CASE WHEN {code} = '001' THEN '{main}'{cases} ELSE '{other}' END"
+
+
 def rnd(n: str, d: str, k: int) -> str:
     """n / d rounded half away from zero to k digits, as DOUBLE; n and d are integer expressions."""
     n, d = f"CAST({n} AS HUGEINT)", f"CAST({d} AS HUGEINT)"
@@ -83,7 +91,7 @@ def status_case(stock: str, sold: str, labels: list[str]) -> str:
     )
 
 
-STATUS = ["'紧急缺货'", "'需补货'", "'正常'", "'库存过高'", "'滞销'", "'停售'"]
+STATUS = [f"'{label}'" for label in L.STATUS_ORDER]
 PRIORITY = ["1", "2", "3", "4", "5", "6"]
 
 
@@ -98,8 +106,8 @@ def suggest(stock: str, sold: str, ret: str, rem: str) -> str:
 def trend(sold: str, short: str) -> str:
     v = rnd(f"30 * ({short})", f"7 * ({sold})", 2)
     return (
-        f"CASE WHEN {sold} = 0 THEN '无销售' WHEN {v} >= 1.3 THEN '快速上升' WHEN {v} >= 1.0 THEN '稳定'"
-        f" WHEN {v} >= 0.7 THEN '降温' ELSE '快速下滑' END"
+        f"CASE WHEN {sold} = 0 THEN '{L.TREND_NONE}' WHEN {v} >= 1.3 THEN '{L.TREND_UP}' WHEN {v} >= 1.0 THEN '{L.TREND_STABLE}'"
+        f" WHEN {v} >= 0.7 THEN '{L.TREND_COOLING}' ELSE '{L.TREND_DOWN}' END"
     )
 
 
@@ -194,15 +202,15 @@ CTES: dict[str, str] = {
                 WHEN l_suppkey % 4 = 1 THEN 0 WHEN l_suppkey % 4 = 2 THEN CAST(l_quantity AS BIGINT) % 5
                 ELSE CAST(l_quantity AS BIGINT) % 3 END AS qty,
            CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) END AS qtypurchaserem,
-           CASE WHEN l_linenumber = 7 AND l_returnflag = 'A' THEN 'N' ELSE 'Y' END AS isactive
-    FROM lineitem WHERE l_linestatus = 'O'""",
+           CASE WHEN l_linestatus <> 'O' OR (l_linenumber = 7 AND l_returnflag = 'A') THEN 'N' ELSE 'Y' END AS isactive
+    FROM lineitem""",
     "src_report": """
-    SELECT product_id, store_id, qty, qtypurchaserem, CASE WHEN qty = 13 THEN 'N' ELSE 'Y' END AS isactive
+    SELECT product_id, store_id, coalesce(qty, 0) AS qty, qtypurchaserem, CASE WHEN qty IS NULL OR qty = 13 THEN 'N' ELSE 'Y' END AS isactive
     FROM (SELECT l_partkey AS product_id, l_suppkey % 25 AS store_id,
-                 CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty,
+                 CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (WHERE l_returnflag IN ('N', 'A')) AS BIGINT) AS qty,
                  CAST(sum(CASE WHEN l_returnflag = 'N' AND l_linenumber = 7 THEN -CAST(l_quantity AS BIGINT)
                                WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) END) AS BIGINT) AS qtypurchaserem
-          FROM lineitem WHERE l_returnflag IN ('N', 'A') GROUP BY l_partkey, l_suppkey % 25)""",
+          FROM lineitem GROUP BY l_partkey, l_suppkey % 25)""",
     "src_purchase": f"""
     SELECT o_orderkey AS id, {key("o_orderdate")} AS billdate,
            CASE WHEN {pending("5")} THEN NULL WHEN {pending("4")} THEN 0
@@ -281,12 +289,12 @@ CTES: dict[str, str] = {
            coalesce(value2, '') AS sku_size, isactive AS is_active, creationdate AS created_at
     FROM (SELECT * FROM src_alias WHERE isactive = 'Y')
     LEFT JOIN (SELECT id AS attr_id, value1, value2 FROM src_attr) USING (attr_id)""",
-    "dim_store": """
+    "dim_store": f"""
     SELECT id AS store_id, code AS store_code, name AS store_name, coalesce(area_id, 0) AS area_id,
            coalesce(area_name, '未知区域') AS area_name, coalesce(is_warehouse, 0) AS is_warehouse,
            coalesce(is_store, 0) AS is_store, coalesce(is_cloud, 'N') AS is_cloud_store,
            coalesce(is_center, 'N') AS is_center,
-           coalesce(if(code = '001', '总仓', map {'DS': '电商', 'RT': '门店', 'CS': '测试'}[substr(code, 1, 2)]), '功能仓')
+           {by_code("code", L.STORE_MAIN, [("DS", L.STORE_ECOMMERCE), ("RT", L.STORE_SHOP), ("CS", L.STORE_TEST)], L.STORE_FUNCTIONAL)}
                AS store_type,
            isactive AS is_active
     FROM (SELECT * FROM src_store WHERE isactive = 'Y')
@@ -413,7 +421,7 @@ def top_receivers(column: str) -> str:
         {big("sum(tot_qtyin)")} AS received_qty, {pct("sum(tot_qtyin)", "sum(tot_qty)")} AS completion_pct,
         CAST(CAST(sum(tot_amtin_actual) AS DECIMAL(18,2)) AS DOUBLE) AS received_amount
         FROM src_purchase WHERE isactive = 'Y' AND {column} IS NOT NULL GROUP BY {column}
-        ORDER BY sum(tot_amtin_actual) DESC NULLS LAST, {column} LIMIT 10"""
+        ORDER BY sum(tot_amtin_actual) DESC NULLS LAST, {column}"""
 
 
 def top_end(column: str, moved: str) -> str:
@@ -427,8 +435,7 @@ def top_end(column: str, moved: str) -> str:
 
 
 def flow_class(code: str) -> str:
-    prefix = "map {'DS': '电商(DS%)', 'RT': '门店(RT%)'}"
-    return f"coalesce(if({code} = '001', '总仓(001)', {prefix}[substr({code}, 1, 2)]), '其他')"
+    return by_code(code, L.FLOW_MAIN, [("DS", L.FLOW_ECOMMERCE), ("RT", L.FLOW_SHOP)], L.OTHER)
 
 
 ENDS = """(SELECT * FROM src_transfer WHERE isactive = 'Y')
@@ -474,27 +481,39 @@ T_SUMS = (
     f"count(*) AS documents, {big('sum(tot_qty)')} AS total_qty, {big('sum(tot_qtyout)')} AS total_out,"
     f" {big('sum(tot_qtyin)')} AS total_in, CAST(CAST(sum(tot_amtqty_list) AS DECIMAL(20,2)) AS DOUBLE) AS total_amount"
 )
-R_TYPE = "coalesce(if(code = '001', '总仓', map {'DS': '电商', 'RT': '门店'}[substr(code, 1, 2)]), '其他')"
+R_TYPE = by_code("code", L.STORE_MAIN, [("DS", L.STORE_ECOMMERCE), ("RT", L.STORE_SHOP)], L.OTHER)
 SEGMENT_NO = (
-    "CASE WHEN coalesce(qtypurchaserem, 0) = 0 THEN 0 WHEN qtypurchaserem < 0 THEN 7 ELSE 1"
-    + "".join(f" + CAST(qtypurchaserem > {high} AS INTEGER)" for high in (10, 50, 100, 500, 1000))
-    + " END"
+    "CASE WHEN qtypurchaserem IS NULL OR qtypurchaserem = 0 THEN 0 WHEN qtypurchaserem BETWEEN 1 AND 10 THEN 1"
+    " WHEN qtypurchaserem BETWEEN 11 AND 50 THEN 2 WHEN qtypurchaserem BETWEEN 51 AND 100 THEN 3"
+    " WHEN qtypurchaserem BETWEEN 101 AND 500 THEN 4 WHEN qtypurchaserem BETWEEN 501 AND 1000 THEN 5"
+    " WHEN qtypurchaserem > 1000 THEN 6 ELSE 7 END"
 )
-SEGMENT_NAMES = "['无欠数', '1-10件', '11-50件', '51-100件', '101-500件', '501-1000件', '>1000件', '负数(异常)']"
+SEGMENT_NAMES = str([L.ONORDER_NONE, *(label for label, _, _ in L.ONORDER_RANGES), L.ONORDER_NEGATIVE])
 TOP_ROWS = """(SELECT * FROM src_report WHERE isactive = 'Y' AND qtypurchaserem > 0
     ORDER BY qtypurchaserem DESC, product_id, store_id LIMIT {n})"""
 NAMES = """LEFT JOIN (SELECT id AS product_id, name AS product_code, value AS product_name FROM src_product) USING (product_id)
     LEFT JOIN (SELECT id AS store_id, code AS store_code, name AS store_name FROM src_store) USING (store_id)"""
-BY_QUANTITY = "['部分入库', '完全入库', '超量入库'][2 + sign({got} - {ordered})]"
+BY_QUANTITY = (
+    f"CASE WHEN {{got}} < {{ordered}} THEN '{L.RECEIPT_PARTIAL}' WHEN {{got}} = {{ordered}} THEN '{L.RECEIPT_FULL}'"
+    f" WHEN {{got}} > {{ordered}} THEN '{L.RECEIPT_OVER}' END"
+)
 H_CLASS = (
     f"CASE WHEN in_status = 2 AND tot_qtyin > 0 AND tot_qty > 0 THEN {BY_QUANTITY.format(got='tot_qtyin', ordered='tot_qty')}"
-    " WHEN in_status = 1 THEN '未入库' WHEN tot_qty = 0 THEN '无采购数量' ELSE '其他' END"
+    f" WHEN in_status = 1 THEN '{L.RECEIPT_NONE}' WHEN tot_qty = 0 THEN '{L.RECEIPT_NO_QTY}' ELSE '{L.OTHER}' END"
 )
 I_CLASS = (
-    "CASE WHEN qty = 0 THEN '无采购数量' WHEN qty > 0 AND coalesce(qtyin, 0) = 0 THEN '未入库'"
-    f" WHEN qty > 0 AND qtyin > 0 THEN {BY_QUANTITY.format(got='qtyin', ordered='qty')} ELSE '其他' END"
+    f"CASE WHEN qty = 0 THEN '{L.RECEIPT_NO_QTY}' WHEN qty > 0 AND coalesce(qtyin, 0) = 0 THEN '{L.RECEIPT_NONE}'"
+    f" WHEN qty > 0 AND qtyin > 0 THEN {BY_QUANTITY.format(got='qtyin', ordered='qty')} ELSE '{L.OTHER}' END"
 )
-MEASURES = ("sales_amount", "sales_qty", "return_amount", "return_qty", "order_count")
+MEASURES = ("sales_amount", "sales_qty", "return_amount", "return_qty")
+
+
+def period_orders(grain: str, start: str) -> str:
+    """Distinct sale orders per period, channel and category, from the receipts and their lines."""
+    return f"""SELECT '{grain}' AS granularity, CAST({start} AS DATE) AS report_date, c.channel_id, p.category_id, p.category_name,
+        count(DISTINCT o.receipt) AS order_count
+        FROM (SELECT *, strptime(CAST(date_id AS VARCHAR), '%Y%m%d') AS day FROM order_lines) o
+        LEFT JOIN dim_channel c ON o.store_code = c.store_code LEFT JOIN dim_product p ON o.product_id = p.product_id GROUP BY ALL"""
 
 
 def period_rows(grain: str, start: str) -> str:
@@ -540,7 +559,7 @@ ORACLES: dict[str, str] = {
     "sales_daily_net": f"""SELECT {FACT_DOUBLES}, sales_qty - return_qty AS net_qty,
         CAST(CAST(sales_amount - return_amount AS DECIMAL(18,2)) AS DOUBLE) AS net_amount FROM dws_sales""",
     "replace_date_range": f"""SELECT {FACT_DOUBLES} FROM (SELECT * FROM dws_sales WHERE date_id < {LO} OR date_id > {HI}
-        UNION ALL SELECT * FROM dws_sales_range WHERE order_count > 0)""",
+        UNION ALL SELECT * REPLACE (sales_qty + 1 AS sales_qty) FROM dws_sales_range)""",
     "replace_snapshot": f"""SELECT * REPLACE ({D1} AS date_id) FROM dws_inventory
         UNION ALL SELECT * REPLACE (qty + qtypurchaserem AS qty) FROM dws_inventory""",
     "sales_coverage": f"""SELECT {D30} AS start_date, {D1} AS end_date, CAST(30 AS BIGINT) AS days_expected,
@@ -548,7 +567,7 @@ ORACLES: dict[str, str] = {
         count(DISTINCT date_id) < 30 AS needs_backfill FROM dws_sales WHERE date_id BETWEEN {D30} AND {D1}""",
     "sales_missing_dates": f"""SELECT {key("d")} AS date_id, d AS date_value FROM (SELECT CAST(unnest(generate_series(
         DATE '1995-01-01', {AS_OF}, INTERVAL 1 DAY)) AS DATE) AS d)
-        WHERE {key("d")} NOT IN (SELECT date_id FROM dws_sales WHERE store_code = 'DS01')""",
+        WHERE {key("d")} NOT IN (SELECT date_id FROM dws_sales)""",
     "backfill_sales": f"SELECT {FACT_DOUBLES} FROM dws_sales",
     "inventory_health": f"SELECT {MART_DOUBLES.replace('* REPLACE (', '* REPLACE (CAST(price_list AS DOUBLE) AS price_list, ')} FROM health",
     "stock_totals": "SELECT * FROM stock_side",
@@ -614,13 +633,17 @@ ORACLES: dict[str, str] = {
         {dbl("CAST(sum(sales_amount) AS DECIMAL(18,2))")} AS sales_amount, {big("sum(sales_qty)")} AS sales_qty,
         {dbl("CAST(sum(return_amount) AS DECIMAL(18,2))")} AS return_amount, {big("sum(return_qty)")} AS return_qty,
         {dbl("CAST(sum(sales_amount) - sum(return_amount) AS DECIMAL(18,2))")} AS net_amount,
-        {big("sum(order_count)")} AS order_count, count(*) FILTER (WHERE sales_qty > 0) AS sku_count,
-        {rnd(cents("sum(sales_amount)"), "100 * sum(order_count)", 2)} AS avg_price
+        {big("coalesce(any_value(order_count), 0)")} AS order_count, count(*) FILTER (WHERE sales_qty > 0) AS sku_count,
+        {rnd(cents("sum(sales_amount)"), "100 * coalesce(any_value(order_count), 0)", 2)} AS avg_price
         FROM (SELECT report_date, granularity, channel_id, channel_name, category_id, category_name, m_productalias_id,
               {", ".join(f"sum({m}) AS {m}" for m in MEASURES)}
               FROM ({period_rows("day", "day")} UNION ALL {period_rows("week", "date_trunc('week', day)")}
                     UNION ALL {period_rows("month", "date_trunc('month', day)")})
-              GROUP BY ALL)
+              GROUP BY ALL) f
+        LEFT JOIN (SELECT granularity AS g, report_date AS d, channel_id AS ch, category_id AS ca, order_count FROM (
+              {period_orders("day", "day")} UNION ALL {period_orders("week", "date_trunc('week', day)")}
+              UNION ALL {period_orders("month", "date_trunc('month', day)")})) o
+             ON g = f.granularity AND d = f.report_date AND ch IS NOT DISTINCT FROM f.channel_id AND ca IS NOT DISTINCT FROM f.category_id
         GROUP BY report_date, granularity, channel_id, channel_name, category_id, category_name""",
     "dq_dim_product": """SELECT *, CASE WHEN null_code > 0 OR null_name > 0 OR null_category > 0 THEN 'WARNING' ELSE 'PASS' END
         AS status FROM (SELECT count(*) AS total, count(*) FILTER (WHERE is_main_product = 'Y') AS main_products,
@@ -732,7 +755,7 @@ ORACLES: dict[str, str] = {
     "purchase_monthly": f"""SELECT {month("datein")} AS month, count(*) AS receipts, {big("sum(tot_qty)")} AS ordered_qty,
         {big("sum(tot_qtyin)")} AS received_qty, {dbl("CAST(sum(tot_amt_actual) AS DECIMAL(18,2))")} AS ordered_amount,
         {dbl("CAST(sum(tot_amtin_actual) AS DECIMAL(18,2))")} AS received_amount
-        FROM src_purchase WHERE isactive = 'Y' AND datein IS NOT NULL AND datein > 0 GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
+        FROM src_purchase WHERE isactive = 'Y' AND datein IS NOT NULL AND datein > 0 GROUP BY 1 ORDER BY 1 DESC""",
     "purchase_by_supplier": top_receivers("supplier_id"),
     "purchase_by_store": top_receivers("store_id"),
     "purchase_item_stats": f"""SELECT count(*) AS total_rows, count(*) FILTER (WHERE qtyin > 0) AS with_qty,
@@ -791,8 +814,8 @@ ORACLES: dict[str, str] = {
         WHERE isactive = 'Y' AND billdate IS NOT NULL AND billdate > 0 GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
     "transfer_cloud": f"SELECT {T_SUMS} FROM src_transfer WHERE isactive = 'Y' AND transfertype = 'EOR'",
     "transfer_cloud_direction": flows(
-        "if(coalesce(orig_cloud = 'Y', false), '云仓', '非云仓') || '→' || if(coalesce(dest_cloud = 'Y', false), '云仓', '非云仓')"
-        " AS direction"
+        f"CASE WHEN orig_cloud = 'Y' AND dest_cloud = 'Y' THEN '{L.CLOUD_TO_CLOUD}' WHEN orig_cloud = 'Y' THEN '{L.CLOUD_TO_OTHER}'"
+        f" WHEN dest_cloud = 'Y' THEN '{L.OTHER_TO_CLOUD}' ELSE '{L.OTHER_TO_OTHER}' END AS direction"
     ),
     "transfer_scorecard": card(
         "src_transfer",
@@ -883,9 +906,19 @@ CTES["per_day"] = """
     SELECT CAST(strptime(CAST(date_id AS VARCHAR), '%Y%m%d') AS DATE) AS day, c.channel_id, c.channel_name,
            CAST(sum(sales_amount) AS DECIMAL(18,2)) AS sales_amount, CAST(sum(sales_amount_list) AS DECIMAL(18,2)) AS listed,
            CAST(sum(sales_qty) AS BIGINT) AS sales_qty, CAST(sum(return_amount) AS DECIMAL(18,2)) AS return_amount,
-           CAST(sum(return_qty) AS BIGINT) AS return_qty, CAST(sum(order_count) AS BIGINT) AS order_count
+           CAST(sum(return_qty) AS BIGINT) AS return_qty, coalesce(any_value(orders), 0) AS order_count
     FROM dws_sales f LEFT JOIN dim_channel c ON f.store_code = c.store_code
+    LEFT JOIN (SELECT o.date_id AS order_day, h.channel_id AS order_channel, count(DISTINCT receipt) AS orders
+               FROM order_lines o LEFT JOIN dim_channel h ON o.store_code = h.store_code GROUP BY 1, 2)
+         ON order_day = date_id AND order_channel IS NOT DISTINCT FROM c.channel_id
     GROUP BY 1, c.channel_id, c.channel_name"""
+CTES["order_lines"] = f"""
+    SELECT DISTINCT billdate AS date_id, coalesce(code, '') AS store_code, product_id, receipt
+    FROM (SELECT id AS receipt, billdate, store_id FROM src_retail
+          WHERE isactive = 'Y' AND status = 2 AND tot_amt_actual > 0 AND billdate BETWEEN 19950101 AND {AS_OF_KEY})
+    JOIN (SELECT retail_id AS receipt, product_id FROM src_item
+          WHERE sku_id IS NOT NULL AND product_id IN (SELECT id FROM src_product WHERE m_dim4_id IN {MAIN})) USING (receipt)
+    JOIN (SELECT id AS store_id, code FROM src_store WHERE {SALES_SCOPE}) USING (store_id)"""
 
 
 def oracle_sql() -> dict[str, str]:

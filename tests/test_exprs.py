@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ def one(df):
 
 
 def test_dates_in_any_form():
-    for value in (date(2026, 3, 5), "2026-03-05", "20260305", 20260305):
+    for value in (date(2026, 3, 5), datetime(2026, 3, 5, 17, 30), "2026-03-05", "20260305", 20260305):
         assert as_date(value) == date(2026, 3, 5)
         assert date_key(value) == 20260305
 

@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from shelfline_checks import oracle, queries
 
 FOLDER = "/root/testdata/sf0.001"
 GIVEN = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

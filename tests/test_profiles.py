@@ -181,6 +181,15 @@ def test_stock_with_onorder_keeps_unmatched(frame, stores):
     assert values(stock.warehouse_onorder(report, product, stores), "product_id", "product_code", "on_order_qty") == {(1, "P1", D("4"))}
 
 
+def test_stock_with_onorder_puts_unmatched_last(frame, stores):
+    storage = frame([(p, 1, 5, s, "Y") for p, s in ((1, 12), (1, 11), (2, 20), (3, 30))], "product_id bigint, store_id bigint, qty bigint, sku_id bigint, isactive string")
+    report = frame([(1, 1, 0, D("4"), "Y"), (3, 1, 0, D("-2"), "Y")], REPORT)
+    product = frame([], "id bigint, name string, value string")
+    out = stock.stock_with_onorder(storage, report, product, stores)
+    assert out.columns[-1] == "available_qty"
+    assert [(r.product_id, r.on_order_qty) for r in out.collect()] == [(1, D("4")), (1, D("4")), (3, D("-2")), (2, D("0"))]
+
+
 def test_candidates_and_scorecard_without_the_column(frame):
     with_it = frame([(1, 1, 1, D("4"), "Y"), (1, 1, 1, None, "Y")], REPORT)
     without = frame([(1, "Y")], "id bigint, isactive string")

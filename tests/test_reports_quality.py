@@ -12,6 +12,7 @@ D = Decimal
 SALES = """date_id int, store_id bigint, store_code string, is_cloud_store string, product_id bigint, m_productalias_id bigint,
     sales_qty bigint, sales_amount decimal(18,2), sales_amount_list decimal(18,2), return_qty bigint,
     return_amount decimal(18,2), order_count bigint"""
+ORDERS = "date_id int, store_code string, product_id bigint, retail_id bigint"
 CHANNEL = "channel_id int, channel_name string, store_code string"
 
 
@@ -32,7 +33,9 @@ def test_daily_report_compares_days(frame, channel):
         ],
         SALES,
     )
-    rows = {(r.report_date, r.channel_id): r for r in reports.daily_report(sales, channel).collect()}
+    orders = frame([(20230228, "DS01", 1, 1), (20240228, "DS01", 1, 2), (20240229, "DS01", 1, 3), (20240229, "DS01", 2, 3), (20240229, "DS01", 1, 4), (20240229, "DS02", 1, 5)], ORDERS)
+    rows = {(r.report_date, r.channel_id): r for r in reports.daily_report(sales, channel, orders).collect()}
+    assert {k: r.order_count for k, r in rows.items() if k[0] == date(2024, 2, 29)} == {(date(2024, 2, 29), 1): 2, (date(2024, 2, 29), 2): 1, (date(2024, 2, 29), None): 0}
     assert len(rows) == 6
     leap = rows[date(2024, 2, 29), 1]
     assert (leap.sales_amount_yoy, leap.yoy_growth) == (D("80.00"), D("25.00"))  # 28 February the year before
@@ -51,11 +54,12 @@ def test_sales_summary_grains(frame, channel):
         SALES,
     )
     product = frame([(1, 134, "rings")], "product_id bigint, category_id bigint, category_name string")
-    out = reports.sales_summary(sales, product, channel)
+    orders = frame([(20240129, "DS01", 1, 1), (20240131, "DS01", 1, 2), (20240201, "DS01", 1, 3)], ORDERS)
+    out = reports.sales_summary(sales, product, channel, orders)
     assert values(out, "granularity", "report_date", "sales_amount", "sku_count", "order_count") == {
         ("day", date(2024, 1, 29), D("100.00"), 1, 1), ("day", date(2024, 1, 31), D("100.00"), 1, 1),
-        ("day", date(2024, 2, 1), D("50.00"), 1, 2), ("week", date(2024, 1, 29), D("250.00"), 2, 4),
-        ("month", date(2024, 1, 1), D("200.00"), 1, 2), ("month", date(2024, 2, 1), D("50.00"), 1, 2),
+        ("day", date(2024, 2, 1), D("50.00"), 1, 1), ("week", date(2024, 1, 29), D("250.00"), 2, 3),
+        ("month", date(2024, 1, 1), D("200.00"), 1, 2), ("month", date(2024, 2, 1), D("50.00"), 1, 1),
     }
 
 

@@ -73,8 +73,8 @@ def test_results_have_the_table_columns(spark):
     results = {
         "dws_sales_daily": w.sales(), "dws_inventory_daily": w.inventory(), "ads_inventory_health": w.graded(),
         "dim_channel": w.dim_channel(), "dim_product_attr": w.dim_product_attr(), "dim_sku": w.dim_sku(),
-        "ads_daily_report": daily_report(w.sales(), w.dim_channel()),
-        "ads_sales_summary": sales_summary(w.sales(), w.dim_product(), w.dim_channel()),
+        "ads_daily_report": daily_report(w.sales(), w.dim_channel(), w.orders()),
+        "ads_sales_summary": sales_summary(w.sales(), w.dim_product(), w.dim_channel(), w.orders()),
     }
     for name, df in results.items():
         schema = table_schema(name)
