@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import best_fit, decontaminate, exact_dedup, jaccard_join, toxicity
-from shelfline.llm.common import ROW
+from shelfline.llm.common import ROW, shared_folder
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,17 +45,15 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table `documents`, each written in the shared checkpoint folder and read again."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = f"{shared_folder(spark)}/corpus_pipeline-{uuid4().hex}"
 
     def step(docs: DataFrame, numbered: tuple[int, tuple]) -> DataFrame:
         number, (name, function) = numbered
         kept = function(spark, docs, sf_dir)
         if number == len(STAGES):
             return kept
-        target = f"{folder}/corpus_pipeline-{spark.sparkContext.applicationId}-{abs(hash((sf_dir, id(docs)))):x}/{number}_{name}.parquet"
-        kept.write.mode("overwrite").parquet(target)
+        target = f"{folder}/{number}_{name}.parquet"
+        kept.write.parquet(target)
         return spark.read.parquet(target)
 
     return reduce(step, enumerate(STAGES, 1), spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW = "__llm_row"
@@ -24,16 +24,18 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder of spark.checkpoint.dir, so that lost executors cost no recomputation of it."""
+    """Cut the lineage in the shared folder, so that lost executors cost no recomputation of it."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where the session has none, a folder of its warehouse, which all executors share as well."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the offset of each row, with the end; NULL is empty."""
     if isinstance(column, pa.ChunkedArray):
