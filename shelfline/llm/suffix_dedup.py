@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import BYTE, INVERSE, ROW, checkpointed, each, keyed, mixed, pieces, powers, prefix_hash, utf8
+from shelfline.llm.common import BYTE, GRAM, INVERSE, ROW, checkpointed, each, keyed, mixed, pieces, powers, prefix_hash, utf8
 
 #: Bytes of a string that counts as repeated, of an anchor, and windows that share a core.
 LENGTH, ANCHOR, STEP = 100, 32, 18
@@ -145,7 +145,34 @@ def _fragments(part: np.ndarray, edges: np.ndarray) -> dict[str, np.ndarray] | N
     return {"row": r, "start": begin - edges[r], "windows": end - begin + 1, "lead": at - begin, "anchor": hashes[at], "content": _gram(sums, begin, end - begin + LENGTH), "cores": cores}
 
 
-FRAGMENTS = f"anchor long, content long, doc_id long, `{ROW}` long, start long, windows short, lead short, cores long"
+FRAGMENTS = f"anchor long, content long, doc_id long, `{ROW}` long, start long, windows short, lead short, cores long, known boolean"
+
+
+def _batch_fragments(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    """The fragments of one batch. Of equal ones all but the first are known to be covered: they get keys of their own, so a
+    passage of any number of places sends one fragment per batch to the task of its anchor."""
+    ids, docs = batch.column(ROW).to_numpy(), batch.column("doc_id")
+    found = []
+    for lo, origin, part, edges in _parts(*utf8(batch.column("text"))):
+        if (f := _fragments(part, edges)) is not None:
+            f["row"], f["start"] = lo + f["row"], f["start"] + origin
+            found.append(f)
+    if not found:
+        return None
+    f = {c: np.concatenate([x[c] for x in found]) for c in found[0]}
+    rank = docs.fill_null(-(1 << 63)).to_numpy()
+    place = np.arange(len(f["row"]))
+    if (rank[1:] < rank[:-1]).any():
+        place = np.lexsort((f["start"], ids[f["row"]], rank[f["row"]]))
+    key = mixed(f["anchor"] + f["content"] * GRAM[0])
+    order = place[np.argsort(key[place], kind="stable")]
+    known = np.zeros(len(order), bool)
+    known[order[1:]] = key[order[1:]] == key[order[:-1]]
+    own = mixed(ids[f["row"]].astype(np.uint64) * GRAM[1] + f["start"].astype(np.uint64))
+    f["anchor"], f["content"] = np.where(known, own, f["anchor"]), np.where(known, np.uint64(0), f["content"])
+    f["cores"] = np.where(known, np.uint64(0), f["cores"])
+    columns = [f["anchor"].view(np.int64), f["content"].view(np.int64), docs.take(pa.array(f["row"])), ids[f["row"]], f["start"], f["windows"].astype(np.int16), f["lead"].astype(np.int16), f["cores"].view(np.int64), known]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "content", "doc_id", ROW, "start", "windows", "lead", "cores", "known"])
 
 
 def fragments(base: DataFrame) -> DataFrame:
@@ -153,14 +180,8 @@ def fragments(base: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, docs = batch.column(ROW).to_numpy(), batch.column("doc_id")
-            for lo, origin, part, edges in _parts(*utf8(batch.column("text"))):
-                if (f := _fragments(part, edges)) is not None:
-                    at = lo + f["row"]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(f["anchor"].view(np.int64)), pa.array(f["content"].view(np.int64)), docs.take(pa.array(at)), pa.array(ids[at]), pa.array(f["start"] + origin), pa.array(f["windows"].astype(np.int16)), pa.array(f["lead"].astype(np.int16)), pa.array(f["cores"].view(np.int64))],
-                        ["anchor", "content", "doc_id", ROW, "start", "windows", "lead", "cores"],
-                    )
+            if (out := _batch_fragments(batch)) is not None:
+                yield out
 
     return base.mapInArrow(scan, FRAGMENTS)
 
@@ -195,10 +216,11 @@ def met_fragments(rows: DataFrame) -> DataFrame:
             if not new_anchor[0] and waiting is not None and per_run[0] > 1:
                 yield pa.RecordBatch.from_arrays([*(waiting.column(c) for c in names), pa.array([False])], [*names, "covered"])
                 waiting = None
-            pick = np.flatnonzero(~new_kind | several)
+            covered = ~new_kind | batch.column("known").to_numpy(zero_copy_only=False)
+            pick = np.flatnonzero(covered | several)
             if len(pick):
                 some = batch.take(pa.array(pick))
-                yield pa.RecordBatch.from_arrays([*(some.column(c) for c in names), pa.array(~new_kind[pick])], [*names, "covered"])
+                yield pa.RecordBatch.from_arrays([*(some.column(c) for c in names), pa.array(covered[pick])], [*names, "covered"])
             kinds = int(min(per_run[run[-1]], 2))
             starts = np.flatnonzero(new_anchor)
             if kinds > 1:
