@@ -8,11 +8,13 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.functions import as_date, date_key
-from shelfline.operators.dims import dim_product, dim_product_attr, dim_sku, dim_store
-from shelfline.operators.facts import inventory_daily, sales_daily
+from shelfline.operators.dims import calendar_days, dim_category, dim_channel, dim_date, dim_product, dim_product_attr, dim_sku, dim_store
+from shelfline.operators.facts import inventory_daily, sale_orders, sales_daily
 from shelfline.operators.health import graded_health
+from shelfline.operators.reports import daily_report, sales_summary
 from shelfline.plans.refresh import days_to_load
 from shelfline.rules import RetailRules
+from shelfline.schema import align_schema, table_schema
 from shelfline.sources.sinks import overwrite_table, replace_days, replace_snapshot, stamp
 
 
@@ -41,13 +43,52 @@ def build_all(t: Mapping[str, DataFrame], as_of, rules: RetailRules = RetailRule
     return out
 
 
+def aligned(df: DataFrame, table: str) -> DataFrame:
+    """The rows with load stamps, in the published columns of the table; columns that are new to it come last."""
+    return align_schema(stamp(df, table), table_schema(table))
+
+
+def backfill(
+    t: Mapping[str, DataFrame], root: str, lo, hi, rules: RetailRules = RetailRules()
+) -> int:
+    """Compute the stored sales of the days [lo, hi] again from the sources, late rows included; the rows written."""
+    fresh = sales_daily(t["retail"], t["item"], t["store"], t["product"], lo, hi, rules)
+    path = f"{root.rstrip('/')}/dws_sales_daily"
+    return replace_days(aligned(fresh, "dws_sales_daily"), path, date_key(lo), date_key(hi))
+
+
+def run_reports(
+    spark: SparkSession, t: Mapping[str, DataFrame], root: str, lo, hi, rules: RetailRules = RetailRules()
+) -> dict[str, DataFrame]:
+    """Store the calendar, category and channel dimensions and both reports over the stored sales of [lo, hi]."""
+    root = root.rstrip("/")
+    sales = spark.read.option("mergeSchema", "true").parquet(f"{root}/dws_sales_daily")
+    sales = sales.filter(sales["date_id"].between(date_key(lo), date_key(hi)))
+    orders = sale_orders(t["retail"], t["item"], t["store"], t["product"], lo, hi, rules)
+    channel = dim_channel(t["channel_map"], t["store"])
+    product = spark.read.parquet(f"{root}/dim_product")
+    tables = {
+        "dim_date": dim_date(calendar_days(spark, lo, hi)),
+        "dim_category": dim_category(t["product"], t["dim"]),
+        "dim_channel": channel,
+        "ads_daily_report": daily_report(sales, channel, orders),
+        "ads_sales_summary": sales_summary(sales, product, channel, orders),
+    }
+    for table, df in tables.items():
+        overwrite_table(aligned(df, table), f"{root}/{table}")
+    return {table: spark.read.parquet(f"{root}/{table}") for table in tables}
+
+
 def run_all(
-    spark: SparkSession, t: Mapping[str, DataFrame], root: str, as_of, rules: RetailRules = RetailRules()
+    spark: SparkSession, t: Mapping[str, DataFrame], root: str, as_of, rules: RetailRules = RetailRules(),
+    days: tuple | None = None,
 ) -> dict[str, DataFrame]:
     """Refresh the stored warehouse below ``root`` for one day and return its tables as read back.
 
     Tables are written layer by layer and read back, so the mart starts from pruned day partitions instead of the
-    sources. Facts are partitioned by ``date_id``, the mart by ``snapshot_date``.
+    sources. Facts are partitioned by ``date_id``, the mart by ``snapshot_date``. ``days`` = (first, last) chooses the
+    sales days to load; without it they are the day itself, or the look-back window where stored days are missing. Every
+    table is brought to its published columns before it is written, and parts of different age are merged on reading.
     """
     root = root.rstrip("/")
 
@@ -55,28 +96,27 @@ def run_all(
         return f"{root}/{table}"
 
     def stored(table: str) -> DataFrame:
-        return spark.read.parquet(path(table))
+        return spark.read.option("mergeSchema", "true").parquet(path(table))
 
     for table, df in build_dims(t, rules).items():
         # Products and stores are replaced whatever arrives; an empty SKU extract keeps the stored SKUs.
         known_skus = table == "dim_sku" and _exists(spark, path(table))
-        overwrite_table(stamp(df, table), path(table), "keep" if known_skus else "replace")
+        overwrite_table(aligned(df, table), path(table), "keep" if known_skus else "replace")
 
     sales_path = path("dws_sales_daily")
     known = stored("dws_sales_daily") if _exists(spark, sales_path) else None
-    lo, hi = days_to_load(known, as_of, rules)
-    fresh = sales_daily(t["retail"], t["item"], t["store"], t["product"], lo, hi, rules)
-    replace_days(stamp(fresh, "dws_sales_daily"), sales_path, lo, hi)
+    lo, hi = days or days_to_load(known, as_of, rules)
+    backfill(t, root, lo, hi, rules)
 
     snapshot = inventory_daily(t["storage"], t["store"], t["product"], as_of, rules)
-    replace_snapshot(stamp(snapshot, "dws_inventory_daily"), path("dws_inventory_daily"), date_key(as_of))
+    replace_snapshot(aligned(snapshot, "dws_inventory_daily"), path("dws_inventory_daily"), date_key(as_of))
 
     health = graded_health(
         stored("dws_inventory_daily"), stored("dws_sales_daily"), stored("dim_product"), stored("dim_sku"),
         stored("dim_store"), as_of, rules,
     )
     replace_snapshot(
-        stamp(health, "ads_inventory_health"), path("ads_inventory_health"), as_date(as_of), "snapshot_date", "clear"
+        aligned(health, "ads_inventory_health"), path("ads_inventory_health"), as_date(as_of), "snapshot_date", "clear"
     )
     names = [
         "dim_product", "dim_product_attr", "dim_sku", "dim_store", "dws_sales_daily", "dws_inventory_daily",

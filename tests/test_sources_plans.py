@@ -11,7 +11,8 @@ from shelfline_checks.adapter import AS_OF, Sources
 from shelfline_checks.queries import Warehouse
 from shelfline.operators.reports import daily_report, sales_summary
 from shelfline.plans.conf import recommended_conf
-from shelfline.plans.warehouse import build_all, run_all
+from shelfline.operators.facts import sales_daily
+from shelfline.plans.warehouse import backfill, build_all, run_all, run_reports
 from shelfline.schema import align_schema, table_schema
 from shelfline.sources import readers, sinks
 
@@ -144,6 +145,36 @@ def test_run_all_equals_build_all(spark, tmp_path):
     assert values(earlier["ads_inventory_health"], "snapshot_date") == {(AS_OF,), (date(2001, 7, 31),)}
 
 
+def test_late_rows_are_loaded_by_range(spark, tmp_path):
+    t = Sources(spark, FOLDER).all_sources()
+    late = F.col("billdate").between(20010701, 20010703) & (F.col("id") % 2 == 0)
+    root = str(tmp_path)
+    run_all(spark, t | {"retail": t["retail"].filter(~late)}, root, AS_OF)
+    before = values(spark.read.parquet(f"{root}/dws_sales_daily").select("date_id", "store_id", "m_productalias_id", "sales_qty", "return_qty"))
+    assert backfill(t, root, 20010701, 20010703) >= 0
+    after = values(spark.read.parquet(f"{root}/dws_sales_daily").select("date_id", "store_id", "m_productalias_id", "sales_qty", "return_qty"))
+    want = sales_daily(t["retail"], t["item"], t["store"], t["product"], 20010702, AS_OF)
+    inside = {r for r in after if r[0] >= 20010702}
+    assert inside == values(want.select("date_id", "store_id", "m_productalias_id", "sales_qty", "return_qty"))
+    assert {r for r in before if r[0] > 20010703} == {r for r in after if r[0] > 20010703}
+
+
+def test_old_tables_gain_columns(spark, tmp_path):
+    t = Sources(spark, FOLDER).all_sources()
+    root = str(tmp_path)
+    run_all(spark, t, root, date(2001, 7, 31))
+    old = spark.read.parquet(f"{root}/ads_inventory_health")
+    kept = old.drop("sales_trend")
+    spark.createDataFrame(kept.collect(), kept.schema).write.mode("overwrite").partitionBy("snapshot_date").parquet(f"{root}/ads_inventory_health")
+    now = run_all(spark, t, root, AS_OF)["ads_inventory_health"]
+    assert values(now.filter("sales_trend IS NULL"), "snapshot_date") == {(date(2001, 7, 31),)}
+    assert now.filter("sales_trend IS NOT NULL").count() > 0
+    t["channel_map"] = Sources(spark, FOLDER).channel_map()
+    reports = run_reports(spark, t, root, 20010702, AS_OF)
+    assert set(reports) == {"dim_date", "dim_category", "dim_channel", "ads_daily_report", "ads_sales_summary"}
+    assert reports["dim_date"].count() == 31
+
+
 def test_health_reads_pruned_days(spark, tmp_path):
     """The stored facts are read by day partition."""
     path = str(tmp_path / "dws")
