@@ -205,8 +205,9 @@ def dq_rules(
     """The four published rules, one row each (completeness: one per table): checked, violations, pct, status.
 
     completeness: keys are never NULL; consistency: header amounts and line amounts of active headers differ by less
-    than 0.1 %; timeliness: the newest sales day is yesterday or later; accuracy: turnover below 0 or above 1000 days
-    is flagged.
+    than 0.1 %, in total, and document by document, where errors cannot cancel out; timeliness: the newest sales day is
+    yesterday or later; accuracy: turnover below 0 or above 1000 days is flagged. Both sales rules come from one
+    aggregate if ``keyed`` names the same facts.
     """
     shape = ["rule", "subject", "checked", "violations", "pct", "status"]
 
@@ -215,18 +216,23 @@ def dq_rules(
             "status", _pass_unless(F.col("violations") > 0, bad)
         )
 
-    checks = []
+    checks, sales_key = [], None
     for table, (df, key) in keyed.items():
+        if df is sales:
+            sales_key = (table, key)
+            continue
         counts = df.agg(F.count(F.lit(1)).alias("checked"), count_when(F.col(key).isNull()).alias("violations"))
         counts = counts.withColumn("pct", percent(F.col("checked") - F.col("violations"), F.col("checked")))
         checks.append(rule(counts, "completeness", f"{table}.{key}", "FAIL").select(*shape))
 
     headers = retail.filter(F.col("isactive") == "Y").select(F.col("id").alias("retail_id"), "tot_amt_actual")
     lines = item.groupBy("retail_id").agg(F.sum("tot_amt_actual").alias("line_amount"))
+    own = F.abs(F.col("tot_amt_actual") - F.coalesce("line_amount", F.lit(0)))
     gap = (
         headers.join(lines, "retail_id", "left")
         .agg(
             F.count(F.lit(1)).alias("checked"),
+            count_when((own > 0) & (own * 1000 >= F.abs("tot_amt_actual"))).alias("documents"),
             F.sum("tot_amt_actual").alias("header_sum"),
             F.coalesce(F.sum("line_amount"), F.lit(0)).alias("line_sum"),
         )
@@ -236,14 +242,40 @@ def dq_rules(
             (F.abs(F.col("header_sum") - F.col("line_sum")) * 1000 >= F.abs("header_sum")).cast("long"),
         )
     )
-    checks.append(rule(gap, "consistency", "sales amount: header vs lines", "WARNING").select(*shape))
-
-    late = sales.agg(F.count(F.lit(1)).alias("checked"), F.max("date_id").alias("newest")).select(
-        "checked",
-        (F.coalesce("newest", F.lit(0)) < date_key(as_date(as_of) - timedelta(days=1))).cast("long").alias("violations"),
-        F.lit(None).cast("decimal(20,2)").alias("pct"),
-    )
-    checks.append(rule(late, "timeliness", "dws_sales_daily.date_id", "WARNING").select(*shape))
+    entries = [
+        F.struct(
+            F.lit("consistency").alias("rule"), F.lit("sales amount: header vs lines").alias("subject"), "checked",
+            "violations", "pct", _pass_unless(F.col("violations") > 0, "WARNING").alias("status"),
+        ),
+        F.struct(
+            F.lit("document_consistency").alias("rule"), F.lit("sales amount: header vs lines").alias("subject"), "checked",
+            F.col("documents").alias("violations"),
+            percent(F.col("checked") - F.col("documents"), F.col("checked"), 2).alias("pct"),
+            _pass_unless(F.col("documents") > 0, "WARNING").alias("status"),
+        ),
+    ]
+    checks.append(gap.select(F.inline(F.array(*entries))).select(*shape))
+
+    nulls = F.lit(0).cast("long") if sales_key is None else count_when(F.col(sales_key[1]).isNull())
+    facts = sales.agg(F.count(F.lit(1)).alias("checked"), F.max("date_id").alias("newest"), nulls.alias("nulls"))
+    late = F.coalesce("newest", F.lit(0)) < date_key(as_date(as_of) - timedelta(days=1))
+    filled = percent(F.col("checked") - F.col("nulls"), F.col("checked"))
+    entries = [
+        F.struct(
+            F.lit("timeliness").alias("rule"), F.lit("dws_sales_daily.date_id").alias("subject"), "checked",
+            late.cast("long").alias("violations"), F.lit(None).cast("decimal(20,2)").alias("pct"),
+            _pass_unless(late, "WARNING").alias("status"),
+        )
+    ]
+    if sales_key is not None:
+        entries.append(
+            F.struct(
+                F.lit("completeness").alias("rule"), F.lit(".".join(sales_key)).alias("subject"), "checked",
+                F.col("nulls").alias("violations"), filled.cast("decimal(20,2)").alias("pct"),
+                _pass_unless(F.col("nulls") > 0, "FAIL").alias("status"),
+            )
+        )
+    checks.append(facts.select(F.inline(F.array(*entries))).select(*shape))
 
     odd = health.agg(
         F.count(F.lit(1)).alias("checked"),

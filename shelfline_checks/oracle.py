@@ -706,6 +706,11 @@ ORACLES: dict[str, str] = {
         {pct(cents("abs(h - l)"), cents("abs(h)"))}, CASE WHEN 1000 * abs(h - l) >= abs(h) THEN 'WARNING' ELSE 'PASS' END
         FROM (SELECT count(*) AS n, sum(tot_amt_actual) AS h, sum(coalesce(x, 0)) AS l FROM src_retail LEFT JOIN
         (SELECT retail_id, sum(tot_amt_actual) AS x FROM src_item GROUP BY retail_id) ON retail_id = id WHERE isactive = 'Y')
+        UNION ALL SELECT 'document_consistency', 'sales amount: header vs lines', n, bad, {pct("(n - bad)", "n")},
+        CASE WHEN bad > 0 THEN 'WARNING' ELSE 'PASS' END FROM (
+        SELECT count(*) AS n, count(*) FILTER (WHERE h <> l AND 1000 * abs(h - l) >= abs(h)) AS bad
+        FROM (SELECT tot_amt_actual AS h, coalesce(x, 0) AS l FROM src_retail LEFT JOIN
+        (SELECT retail_id, sum(tot_amt_actual) AS x FROM src_item GROUP BY retail_id) ON retail_id = id WHERE isactive = 'Y'))
         UNION ALL SELECT 'timeliness', 'dws_sales_daily.date_id', count(*), CAST(coalesce(max(date_id), 0) < {D1} AS BIGINT),
         NULL, CASE WHEN coalesce(max(date_id), 0) < {D1} THEN 'WARNING' ELSE 'PASS' END FROM dws_sales_recent
         UNION ALL SELECT 'accuracy', 'ads_inventory_health.turnover_days', count(*),

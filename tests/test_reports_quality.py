@@ -124,8 +124,10 @@ def test_rules(frame):
 
     fine = run("999.01", 20260228)
     assert fine["completeness"] == (1, "FAIL") and fine["accuracy"] == (2, "WARNING")
+    assert fine["document_consistency"] == (0, "PASS")
     assert fine["consistency"] == (0, "PASS") and fine["timeliness"] == (0, "PASS")
     off = run("999.00", 20260227)
+    assert off["document_consistency"] == (1, "WARNING")
     assert off["consistency"] == (1, "WARNING") and off["timeliness"] == (1, "WARNING")
 
 
