@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import reduce, wraps
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import best_fit, decontaminate, exact_dedup, jaccard_join, toxicity
-from shelfline.llm.common import ROW, shared_folder
+from shelfline.llm.common import ROW, shared_folder, ship
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,22 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return best_fit.pack(docs).drop(ROW)
 
 
-STAGES = [("toxicity", toxic), ("exact_dedup", exact), ("ngram_jaccard_join", near), ("benchmark_decontamination", clean), ("best_fit_packing", packed)]
+def _stage(name: str, function: Callable) -> tuple[str, Callable]:
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, docs, sf_dir)
+
+    return name, run_stage
+
+
+STAGES = [
+    _stage("toxicity", toxic),
+    _stage("exact_dedup", exact),
+    _stage("ngram_jaccard_join", near),
+    _stage("benchmark_decontamination", clean),
+    _stage("best_fit_packing", packed),
+]
 #: Segment scores, set distances, alignments and packing are beyond SQL; tests/llm holds each stage against a brute-force version.
 ORACLE_SQL = None
 

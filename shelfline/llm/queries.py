@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import best_fit, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, suffix_dedup, token_counts, toxicity, url_filter
-from shelfline.llm.common import ROW
+from shelfline.llm.common import ROW, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
