@@ -145,12 +145,12 @@ def _fragments(part: np.ndarray, edges: np.ndarray) -> dict[str, np.ndarray] | N
     return {"row": r, "start": begin - edges[r], "windows": end - begin + 1, "lead": at - begin, "anchor": hashes[at], "content": _gram(sums, begin, end - begin + LENGTH), "cores": cores}
 
 
-FRAGMENTS = f"anchor long, content long, doc_id long, `{ROW}` long, start long, windows short, lead short, cores long, known boolean"
+FRAGMENTS = f"anchor long, content long, doc_id long, `{ROW}` long, start long, windows short, lead short, cores long"
 
 
 def _batch_fragments(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     """The fragments of one batch. Of equal ones all but the first are known to be covered: they get keys of their own, so a
-    passage of any number of places sends one fragment per batch to the task of its anchor."""
+    passage of any number of places sends one fragment per batch to the task of its anchor. Their windows are counted negative."""
     ids, docs = batch.column(ROW).to_numpy(), batch.column("doc_id")
     found = []
     for lo, origin, part, edges in _parts(*utf8(batch.column("text"))):
@@ -168,11 +168,11 @@ def _batch_fragments(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     order = place[np.argsort(key[place], kind="stable")]
     known = np.zeros(len(order), bool)
     known[order[1:]] = key[order[1:]] == key[order[:-1]]
-    own = mixed(ids[f["row"]].astype(np.uint64) * GRAM[1] + f["start"].astype(np.uint64))
+    own = (ids[f["row"]].astype(np.uint64) << np.uint64(24)) + f["start"].astype(np.uint64)
     f["anchor"], f["content"] = np.where(known, own, f["anchor"]), np.where(known, np.uint64(0), f["content"])
     f["cores"] = np.where(known, np.uint64(0), f["cores"])
-    columns = [f["anchor"].view(np.int64), f["content"].view(np.int64), docs.take(pa.array(f["row"])), ids[f["row"]], f["start"], f["windows"].astype(np.int16), f["lead"].astype(np.int16), f["cores"].view(np.int64), known]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "content", "doc_id", ROW, "start", "windows", "lead", "cores", "known"])
+    columns = [f["anchor"].view(np.int64), f["content"].view(np.int64), docs.take(pa.array(f["row"])), ids[f["row"]], f["start"], np.where(known, -f["windows"], f["windows"]).astype(np.int16), f["lead"].astype(np.int16), f["cores"].view(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "content", "doc_id", ROW, "start", "windows", "lead", "cores"])
 
 
 def fragments(base: DataFrame) -> DataFrame:
@@ -216,7 +216,7 @@ def met_fragments(rows: DataFrame) -> DataFrame:
             if not new_anchor[0] and waiting is not None and per_run[0] > 1:
                 yield pa.RecordBatch.from_arrays([*(waiting.column(c) for c in names), pa.array([False])], [*names, "covered"])
                 waiting = None
-            covered = ~new_kind | batch.column("known").to_numpy(zero_copy_only=False)
+            covered = ~new_kind | (batch.column("windows").to_numpy() < 0)
             pick = np.flatnonzero(covered | several)
             if len(pick):
                 some = batch.take(pa.array(pick))
@@ -369,7 +369,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     base = keyed(docs, id_col, text_col)
     met = checkpointed(met_fragments(fragments(base)))
-    whole = met.filter("covered").select(ROW, F.col("start").alias("first"), (F.col("start") + F.col("windows") + (LENGTH - 1)).alias("end"))
+    whole = met.filter("covered").select(ROW, F.col("start").alias("first"), (F.col("start") + F.abs("windows") + (LENGTH - 1)).alias("end"))
     inner = covered_in_cores(checkpointed(core_pieces(base, shared_cores(met))))
     spans = whole.union(inner).groupBy(ROW).agg(F.collect_list(F.struct("first", "end")).alias("spans"))
 
