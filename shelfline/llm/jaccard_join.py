@@ -266,14 +266,15 @@ def _edges(part: pd.DataFrame) -> pd.DataFrame:
 def region_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Edges (a, b) that connect exactly what links inside the regions (pivot, key, members); sets holds (key, shingles).
 
-    A region of up to REGION members is joined in one task. In a larger one every member is measured against the pivot where it
-    lies; the ball around the pivot needs no more. What is outside is dealt into blocks, and each block meets the whole region
-    in blocks, so no task holds more than two blocks and no pair is written out.
+    A region of up to REGION members is joined in one task. In a larger one every member is measured against the centre where it
+    lies; the ball around the centre needs no more. The centre is the least member: the pivot, unless that has left its own region.
+    What is outside is dealt into blocks, and each block meets the whole region in blocks, so no task holds more than two blocks
+    and no pair is written out.
     """
     small = members.filter(F.col("members") <= REGION).select("pivot", "key").join(sets, "key")
     links = small.groupBy("pivot").applyInPandas(lambda key, part: _edges(part), "a long, b long")
     large = members.filter(F.col("members") > REGION)
-    centre = sets.select(F.col("key").alias("pivot"), F.col("shingles").alias("centre"))
+    centre = large.groupBy("pivot").agg(F.min("key").alias("middle")).join(sets.select(F.col("key").alias("middle"), F.col("shingles").alias("centre")), "middle")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,12 +283,12 @@ def region_links(members: DataFrame, sets: DataFrame) -> DataFrame:
                 a, b = np.frombuffer(s.as_py(), np.uint64), np.frombuffer(c.as_py(), np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 near.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("key"), pa.array(near, pa.bool_())], ["pivot", "key", "near"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("pivot", "middle", "key")), pa.array(near, pa.bool_())], ["pivot", "middle", "key", "near"])
 
     # The few distinct centres come first, so that the many members of one are split by the adaptive join.
-    measured = large.join(centre.join(large.select("pivot").distinct(), "pivot", "left_semi"), "pivot").join(sets, "key")
-    measured = checkpointed(measured.select("pivot", "key", "shingles", "centre").mapInArrow(measure, "pivot long, key long, near boolean"))
-    ball = measured.filter("near AND key != pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    measured = large.join(centre, "pivot").join(sets, "key")
+    measured = checkpointed(measured.select("pivot", "middle", "key", "shingles", "centre").mapInArrow(measure, "pivot long, middle long, key long, near boolean"))
+    ball = measured.filter("near AND key != middle").select(F.col("key").alias("a"), F.col("middle").alias("b"))
     counted = measured.groupBy("pivot").agg(F.count_if(~F.col("near")).alias("outside"), F.count(F.lit(1)).alias("members")).filter("outside > 0")
     blocks = counted.select("pivot", F.ceil(F.col("outside") / REGION).alias("rows"), F.ceil(F.col("members") / REGION).alias("columns"))
     dealt = measured.join(blocks, "pivot").withColumn("hash", F.xxhash64("key"))

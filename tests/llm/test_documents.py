@@ -192,6 +192,22 @@ def test_chains_of_near_copies(spark, tmp_path, monkeypatch, region):
     assert 4 < len(set(got.values())) < 100
 
 
+@pytest.mark.parametrize("region", [2000, 7])
+def test_region_whose_pivot_has_left(spark, tmp_path, monkeypatch, region):
+    """A long text has the least key and shares a passage with short near copies, too little of it to stay in the region."""
+    import numpy as np
+
+    monkeypatch.setattr(jaccard_join, "REGION", region)
+    passage = prose(300, 60)
+    key = lambda t: jaccard_join.set_key(next(jaccard_join.shingle_sets(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))))
+    short = [f"{passage} tail{i}" for i in range(20)]
+    long = next(t for t in (f"{passage} {prose(400 + i, 3000)}" for i in range(1000)) if key(t) < min(map(key, short)))
+    rows = [*enumerate(short), (100, long)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.linked_components(spark.read.parquet(str(tmp_path / "t"))).collect()}
+    assert got == {**dict.fromkeys(range(20), 0), 100: 100}
+
+
 def test_linked_sets_share_prefixes():
     rnd = random.Random(8)
     for _ in range(2000):
