@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.common import ROW, each, grams, keyed, pieces, utf8, words
 
-#: Words of a seed. A seed is common, and left out, if it occurs over FACTOR times as often in the corpus as the item's median
-#: seed, and BASE times more; so the seeds of a much copied item still count.
-SEED, FACTOR, BASE = 3, 4, 16
+#: Words of a seed. Every seed counts, common ones too: an edited copy may have kept no other.
+SEED = 3
+#: Cells of passages that are aligned at once.
+CELLS = 1 << 18
 #: Scores of the alignment by words, and the least share of an item's perfect score that counts as a copy.
 MATCH, MISMATCH, GAP = 2, -1, 1
 COPY = 0.5
@@ -69,9 +70,12 @@ def aligned(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.nda
     All pairs advance together, one item word at a time; gaps along the passage are a running maximum.
     """
     best, end = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
-    order = sorted(range(len(items)), key=lambda i: (len(items[i]), len(passages[i])))
-    for lo in range(0, len(order), 256):
+    order = sorted(range(len(items)), key=lambda i: (len(passages[i]), len(items[i])))
+    lo = 0
+    while lo < len(order):
         rows = order[lo : lo + 256]
+        rows = [i for n, i in enumerate(rows, 1) if n == 1 or n * len(passages[i]) <= CELLS]
+        lo += len(rows)
         wide, long = max(len(passages[i]) for i in rows), max(len(items[i]) for i in rows)
         text, item = np.zeros((len(rows), wide), np.uint64), np.zeros((len(rows), long), np.uint64)
         for r, i in enumerate(rows):
@@ -95,25 +99,24 @@ def aligned(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.nda
 
 def passages(hits: DataFrame, seeds: DataFrame) -> DataFrame:
     """(row id, item_id, length, hashes, first, end, seeds): stretches of a text in which seeds of one item lie close together."""
-    counts = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    by_item = W.partitionBy("item_id")
-    rare = seeds.join(counts, "gram").withColumn("usual", F.median("n").over(by_item)).filter(F.col("n") <= FACTOR * F.col("usual") + BASE)
-    rare = rare.withColumn("all", F.count(F.lit(1)).over(by_item))
-    met = hits.join(rare.select("item_id", "length", "hashes", "gram", "place", "all"), "gram")
-    of = W.partitionBy(ROW, "item_id").orderBy("at", "place")
+    known = seeds.withColumn("body", F.xxhash64("hashes"))  # tells texts of one item id apart
+    met = hits.join(known.select("item_id", "body", "length", "gram", "place"), "gram")
+    of = W.partitionBy(ROW, "item_id", "body").orderBy("at", "place")
     met = met.withColumn("fresh", F.when(F.col("at") - F.lag("at").over(of) <= F.col("length"), 0).otherwise(1)).withColumn("run", F.sum("fresh").over(of))
-    found = met.groupBy(ROW, "item_id", "length", "hashes", "all", "run").agg(
+    found = met.groupBy(ROW, "item_id", "body", "length", "run").agg(
         F.min(F.col("at") - F.col("place")).alias("first"), F.max(F.col("at") - F.col("place") + F.col("length")).alias("end"), F.countDistinct("place").alias("seeds")
     )
-    # One seed is enough only for an item of few seeds.
-    return found.filter((F.col("seeds") >= 2) | (F.col("all") < 6)).drop("all", "run")
+    return found.join(known.select("item_id", "body", "hashes").distinct(), ["item_id", "body"]).drop("body", "run")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(row id, doc_id, item_id, score, first_word, end_word, seeds): each text that holds a copy of an item, with its best passage.
 
     Words are runs of a-z (A-Z lower-cased), 0-9 and non-ASCII characters. Edited and paraphrased copies score the share of the
-    item's perfect alignment that is left. NULL texts and items are empty; items of fewer than SEED words are never found, as
+    item's perfect alignment that is left. Every stretch that holds a seed of the item, however common, is aligned with as much
+    text around it as a copy can stretch to, unless too few of the item's words occur there for any alignment to be a copy; a copy
+    with no SEED words of the item left in a row is not found. first_word and end_word bound the alignment, seeds counts the item's
+    seeds in the stretch. NULL texts and items are empty; items of fewer than SEED words are never found, as
     nothing tells them from chance. Repeated rows are judged each; empty tables give no rows.
     """
     base = keyed(docs, id_col, text_col)
@@ -121,6 +124,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     found = passages(seed_hits(base, seeds), seeds)
     per_row = found.groupBy(ROW).agg(F.collect_list(F.struct("item_id", "hashes", "first", "end", "seeds")).alias("found"))
 
+    def least(item: np.ndarray) -> float:
+        return SHORT_COPY if len(item) < SHORT else COPY
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(ROW, pa.int64()), ("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int64()), ("end_word", pa.int64()), ("seeds", pa.int64())])
         for batch in batches:
@@ -129,20 +135,28 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
             for row, doc, wanted, (part, edges) in zip(batch.column(ROW).to_pylist(), batch.column("doc_id").to_pylist(), batch.column("found").to_pylist(), texts, strict=True):
                 hashed = words(part, edges, INSIDE)[2]
                 for p in wanted:
-                    slack = len(p["hashes"]) // 32
-                    lo = max(0, p["first"] - slack)
-                    rows.append((row, doc, p["item_id"], lo, p["seeds"]))
-                    left.append(np.frombuffer(p["hashes"], np.uint64))
-                    right.append(hashed[lo : p["end"] + slack])
+                    item = np.frombuffer(p["hashes"], np.uint64)
+                    # A copy has at most as many words put in as the item has: more cost what COPY leaves.
+                    lo = max(0, p["first"] - len(item))
+                    passage = hashed[lo : p["end"] + len(item)]
+                    # Words that occur nowhere in the passage cannot match, so this share bounds the score.
+                    if np.isin(item, passage).sum() >= least(item) * len(item):
+                        rows.append((row, doc, p["item_id"], lo, p["seeds"]))
+                        left.append(item)
+                        right.append(passage)
             best, end = aligned(left, right)
             share = best / np.array([MATCH * len(x) for x in left], float)
-            least = np.array([SHORT_COPY if len(x) < SHORT else COPY for x in left])
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(schema.names, (row, doc, item, float(share[i]), lo, lo + int(end[i]), n), strict=True)) for i, (row, doc, item, lo, n) in enumerate(rows) if share[i] >= least[i]], schema
-            )
+            copies = [i for i in range(len(rows)) if share[i] >= least(left[i])]
+            # The best alignment of what ends there, read backwards, ends where it begins.
+            _, back = aligned([left[i][::-1] for i in copies], [right[i][: end[i]][::-1] for i in copies])
+            out = []
+            for i, n in zip(copies, back.tolist(), strict=True):
+                row, doc, item_id, lo, found_seeds = rows[i]
+                out.append(dict(zip(schema.names, (row, doc, item_id, float(share[i]), lo + int(end[i]) - n, lo + int(end[i]), found_seeds), strict=True)))
+            yield pa.RecordBatch.from_pylist(out, schema)
 
     scored = base.join(per_row, ROW).mapInArrow(score, f"`{ROW}` long, doc_id long, item_id long, score double, first_word long, end_word long, seeds long")
-    best = F.row_number().over(W.partitionBy(ROW, "item_id").orderBy(F.desc("score"), "first_word"))
+    best = F.row_number().over(W.partitionBy(ROW, "item_id").orderBy(F.desc("score"), "first_word", F.desc("seeds")))
     return scored.withColumn("best", best).filter("best = 1").drop("best")
 
 

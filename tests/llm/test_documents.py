@@ -303,6 +303,39 @@ def test_contamination(spark, docs, empty):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_copies_with_common_seeds(spark):
+    """Short items edited by changing, adding and leaving out words, their 3-grams common, against alignment with the whole text."""
+    rnd = random.Random(12)
+    items = {i: [f"i{i}w{j}" for j in range(20)] for i in range(8)}
+    texts = []
+    for i, item in items.items():
+        texts += [" ".join(item[j : j + 3]) + f" f{rnd.random()}" for j in (range(0, 20, 4) if i % 2 else range(0, 16, 4)) for _ in range(40)]
+        edits = [[f"x{i}y{j}" if j % 4 == 3 else w for j, w in enumerate(item)]]
+        for _ in range(40):
+            share = rnd.uniform(0.1, 0.4)
+            copy = []
+            for w in item:
+                copy += rnd.choice([[f"n{rnd.random()}"], [w, f"n{rnd.random()}"], []]) if rnd.random() < share else [w]
+            edits.append(copy)
+        noise = lambda: [f"z{rnd.randrange(10**9)}" for _ in range(rnd.randint(0, 60))]
+        texts += [" ".join([*noise(), *copy, *noise()]) for copy in edits]
+    split = lambda t: re.findall("[a-z0-9]+", t)
+    want = {}
+    for n, text in enumerate(texts):
+        words = split(text)
+        grams = {tuple(words[a : a + 3]) for a in range(len(words) - 2)}
+        for i, item in items.items():
+            share = alignment(item, words) / (2 * len(item)) if set(item) & set(words) else 0
+            if share >= decontaminate.COPY and any(tuple(item[a : a + 3]) in grams for a in range(18)):
+                want[n, i] = share
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(frame, bench).collect()}
+    assert {k: r["score"] for k, r in got.items()} == want and len(want) > 200
+    for (n, i), r in got.items():
+        assert alignment(items[i], split(texts[n])[r["first_word"] : r["end_word"]]) == want[n, i] * 40
+
+
 # toxicity
 
 
