@@ -300,7 +300,9 @@ def region_links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: row id, doc_id, n_shingles, component_id (the smallest doc_id that links reach).
+    """One row per input row: row id, doc_id, n_shingles, component_id (the smallest doc_id that links reach), root.
+
+    The root is a key of the component that no other has, also where doc_ids repeat or are NULL; empty texts have none.
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased. NULL text is empty; empty sets link to nothing, equal
     sets always do. A row without doc_id links like any other but never names a component, unless alone: then it is NULL. An
@@ -321,15 +323,16 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sets = checkpointed(base.join(wanted, ROW, "left_semi").select("text").mapInArrow(collect, "key long, shingles binary"))
     roots = components(region_links(members, sets))
     rooted = by_key.join(roots, F.col("node") == F.col("key"), "left").select("key", "least_id", F.coalesce("root", "key").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select("key", "component_id")
-    return table.join(named, "key", "left").select(ROW, "doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select("key", "component_id", "root")
+    return table.join(named, "key", "left").select(ROW, "doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` without near copies: of each component that with the smallest doc_id stays, of rows repeating it one."""
+    """The rows of `docs` without near copies: of each component the row with the smallest doc_id stays, the first where it repeats.
+
+    Rows without doc_id come last. Empty texts link to nothing, so they stay.
+    """
     found = linked_components(docs, id_col, text_col)
-    first = F.row_number().over(W.partitionBy("component_id", "doc_id").orderBy(ROW)) == 1
-    named = found.filter("doc_id = component_id").withColumn("first", first)
-    # Empty texts link to nothing, and rows without doc_id that are alone stay as well.
-    stays = named.filter("first OR n_shingles = 0").select(ROW).union(found.filter("component_id IS NULL").select(ROW))
+    first = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first"))
+    stays = first.select(f"first.{ROW}").union(found.filter("root IS NULL").select(ROW))
     return docs.withColumn(ROW, F.monotonically_increasing_id()).join(stays, ROW, "left_semi").drop(ROW)

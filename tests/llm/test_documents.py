@@ -173,6 +173,16 @@ def test_components(docs, given, empty):
     assert jaccard_join.drop_near_copies(docs).columns == docs.columns
 
 
+def test_one_row_of_each_component_stays(spark, tmp_path):
+    """Components are told apart by themselves, not by a doc_id that repeats or is NULL."""
+    a, b, c = prose(500, 80), prose(501, 80), prose(502, 80)
+    near = lambda t: f"{t} tail"
+    rows = [(1, a), (2, near(a)), (1, b), (3, near(b)), (None, c), (None, near(c)), (None, c), (4, ""), (4, None), (None, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    kept = [tuple(r) for r in jaccard_join.drop_near_copies(spark.read.parquet(str(tmp_path / "t"))).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(1, a), (1, b), (None, c), (4, ""), (4, None), (None, "")]))
+
+
 @pytest.mark.parametrize("region", [2000, 7])
 def test_chains_of_near_copies(spark, tmp_path, monkeypatch, region):
     """Groups at every distance around the threshold; 7: regions are dealt out in blocks."""
