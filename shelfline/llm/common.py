@@ -93,6 +93,8 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 BYTE = table(1)
 GRAM = table(2, 64)
+#: Masks that keep the first 0 to 8 bytes of a little-endian word.
+KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -132,6 +134,26 @@ def lowered() -> np.ndarray:
     return out
 
 
+def span_hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of bytes, none of them empty.
+
+    Every 8 bytes are mixed with their place before they are added up, so no difference of two spans cancels out by its form, as
+    it does in polynomials modulo 2^64. Spans of equal length up to 8 bytes never collide.
+    """
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw
+    eights = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+    length = end - start
+    parts = (length + 7) // 8
+    first = np.cumsum(parts) - parts
+    place = np.arange(int(parts.sum())) - np.repeat(first, parts)
+    left = np.repeat(length, parts) - 8 * place
+    chunks = eights[np.repeat(start, parts) + 8 * place] & KEEP[np.minimum(left, 8)]
+    terms = mixed(chunks ^ mixed(place.astype(np.uint64) + np.uint64(1)))
+    sums = np.add.reduceat(terms, first) if len(first) else np.zeros(0, np.uint64)
+    return mixed(sums + length.astype(np.uint64) * np.uint64(BASE))
+
+
 def words(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words are runs of bytes for which `inside` holds, A-Z lower-cased; they end with their row.
 
@@ -146,9 +168,7 @@ def words(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.
     begins[at] |= flags[1:-1][at]
     ends[at - 1] |= flags[1:-1][at - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    sums = prefix_hash(BYTE[lowered()][raw])
-    hashed = mixed((sums[end] - sums[start]) * powers(INVERSE, len(raw) + 1)[start])
-    return start, end, hashed, np.searchsorted(start, offsets)
+    return start, end, span_hash(lowered()[raw], start, end), np.searchsorted(start, offsets)
 
 
 def grams(hashed: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
