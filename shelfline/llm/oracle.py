@@ -136,5 +136,50 @@ FROM texts LEFT JOIN best USING (r) GROUP BY r
 """
 
 
+OP11 = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), counts AS (
+    SELECT lang, w[i:i + k - 1] AS phrase, k, count(*) AS a
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, (VALUES (1), (2), (3), (4), (5)) AS v(k)) GROUP BY 1, 2, 3
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY 1
+), frequent AS (
+    SELECT * FROM counts WHERE a >= 100
+), covered AS (
+    SELECT DISTINCT c.lang, c.phrase
+    FROM (SELECT lang, a, phrase[i:i + j - 1] AS phrase FROM frequent, unnest(range(2, k)) AS s(j), unnest(range(1, k - j + 2)) AS t(i)) AS x JOIN frequent c ON c.lang = x.lang AND c.phrase = x.phrase AND x.a >= c.a
+), cuts AS (
+    SELECT f.lang, f.phrase, f.a, c AS cut, l.a AS l, r.a AS r, n, (1000::HUGEINT * f.a * n // (l.a::HUGEINT * r.a))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, k)) AS c FROM frequent WHERE k > 1) f
+    JOIN frequent l ON l.lang = f.lang AND l.phrase = f.phrase[1:c] JOIN frequent r ON r.lang = f.lang AND r.phrase = f.phrase[c + 1:f.k] JOIN totals t ON t.lang = f.lang
+    WHERE NOT EXISTS (SELECT 1 FROM covered v WHERE v.lang = f.lang AND v.phrase = f.phrase)
+), scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score
+FROM scored QUALIFY rank <= 2000
+"""
+
+OP13 = """
+WITH rows AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+    SELECT q.r AS q, q.vec_id AS anchor_id, p.r, p.vec_id, q.label = p.label AS same, list_dot_product(q.v, p.v)::BIGINT AS score
+    FROM rows q JOIN rows p ON p.r != q.r WHERE q.vec_id % 100 = 0
+), positives AS (
+    SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id, r) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, (row_number() OVER (PARTITION BY p.q, p.r ORDER BY n.score DESC, n.vec_id, n.r))::INTEGER AS rank, n.vec_id AS negative_id,
+       p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.q = p.q AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": _op1(), "op3_preference_format": OP3, "op8_license_scan": OP8, "op9_exact_dedup": OP9}
+    return {"op1_url_filter": _op1(), "op3_preference_format": OP3, "op8_license_scan": OP8, "op9_exact_dedup": OP9, "op11_phrase_mining": OP11, "op13_hard_negatives": OP13}

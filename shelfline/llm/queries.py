@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import best_fit, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, suffix_dedup, token_counts, toxicity, url_filter
+from shelfline.llm import best_fit, chat_format, decontaminate, exact_dedup, hard_negatives, html_blocks, jaccard_join, license_scan, phrase_mining, suffix_dedup, token_counts, toxicity, url_filter
 from shelfline.llm.common import ROW, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,5 +69,23 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language, of phrases that occur 100 times or more."""
+    found = phrase_mining.mine_phrases(_read(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by the tree fitted on the labelled pages built in."""
+    return html_blocks.extract_text(_read(spark, sf_dir, "pages"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five negatives for each of the five positives of every hundredth vector; every seventh vector first gets the next label."""
+    rows = _read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(rows.select("vec_id", "embedding", label.alias("label")), F.col("id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}

@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df = queries.queries()[name](spark, FOLDER)
     result = duck.execute(oracle.oracle_sql()[name])
@@ -25,4 +25,4 @@ def test_query(spark, name):
 
 def test_every_operator_has_a_query():
     names = list(queries.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
