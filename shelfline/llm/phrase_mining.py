@@ -4,10 +4,11 @@ Nodes are runs of four words, edges runs of five; an edge joins its first four w
 Counts of shorter runs follow from the flow: a run of k words occurs as often as the runs of k + 1 words that begin with it, and
 once more for each piece that ends with it.
 
-Two passes over the texts. The first fills a fixed number of counters with adjacent word pairs. A pair whose counter stays below
-`min_count` is surely rare, so no phrase of that count holds it and the second pass ends the piece there; pairs that share a
-counter only leave more edges, never fewer. The second pass emits at each word the longest run that starts there, five words or up
-to the end of its piece: the former are edges, the latter the corrections for piece ends. Runs are words themselves, not hashes.
+Two passes over the texts. The first fills a fixed number of counters with words and adjacent pairs of words. One whose counter stays
+below `min_count` is surely rare, so no phrase of that count holds it: the second pass ends the piece at such a pair, and such words
+only add to the number of all words. What shares a counter only leaves more runs, never fewer. The second pass emits at each word
+the longest run that starts there, five words or up to the end of its piece: the former are edges, the latter the corrections for
+piece ends. Runs are words themselves, not hashes.
 
 A node whose only edge in and only edge out have its own weight is inside a path without branches. Such paths are compacted by
 pointer doubling; nodes inside are never results, for the edge that holds them weighs the same.
@@ -31,7 +32,7 @@ from pyspark.sql.window import Window
 from shelfline.llm.common import GRAM, checkpointed, lowered, mixed, pieces, utf8, words
 
 EDGE = 5
-#: Counters of adjacent pairs, of which the driver gets one bit each; more make the second pass read fewer rare runs.
+#: Counters of words and adjacent pairs, of which the driver gets one bit each; more make the second pass read fewer rare runs.
 SLOTS = 1 << 22
 BLOCK = 1 << 10
 #: Bytes of text whose runs a task sums at once.
@@ -55,11 +56,13 @@ class Tokens:
         self.linked = np.zeros(len(row), bool)
         self.linked[:-1] = (row[:-1] == row[1:]) & (stops[self.end[:-1]] == stops[self.start[1:]])
 
-    def slots(self, seeds: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-        """Words that another one follows, and the counter of each such pair."""
-        at = np.flatnonzero(self.linked)
-        pair = mixed(self.hashed[at] * GRAM[0] + self.hashed[at + 1] * GRAM[1] + seeds[self.lang[at]])
-        return at, (pair & np.uint64(count - 1)).astype(np.int64)
+    def slots(self, seeds: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The counter of each word, the words that another one follows, and the counter of each such pair."""
+        at, seed = np.flatnonzero(self.linked), seeds[self.lang]
+        word = self.hashed * GRAM[0] + seed
+        pair = self.hashed[at] * GRAM[1] + self.hashed[at + 1] * GRAM[2] + seed[at]
+        counter = lambda x: (mixed(x) & np.uint64(count - 1)).astype(np.int64)
+        return counter(word), at, counter(pair)
 
     def spelled(self) -> tuple[pa.Array, np.ndarray]:
         """The different words, A-Z lower-cased, and the number of each word among them."""
@@ -79,8 +82,8 @@ def tokens(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, Tokens
         yield names, seeds, Tokens(raw, offsets, number[first:end])
 
 
-def frequent_pairs(docs: DataFrame, min_count: int, slots: int = SLOTS) -> bytes:
-    """One bit for each counter of adjacent pairs: whether it reaches min_count over all rows of (lang, text)."""
+def frequent_slots(docs: DataFrame, min_count: int, slots: int = SLOTS) -> bytes:
+    """One bit for each counter of words and adjacent pairs: whether it reaches min_count over all rows of (lang, text)."""
     block = min(BLOCK, slots)
     small = np.min_scalar_type(min_count)
 
@@ -88,7 +91,8 @@ def frequent_pairs(docs: DataFrame, min_count: int, slots: int = SLOTS) -> bytes
         counts = np.zeros(slots, small)
         for batch in batches:
             for _, seeds, found in tokens(batch):
-                more = np.bincount(found.slots(seeds, slots)[1], minlength=slots)
+                word, _, pair = found.slots(seeds, slots)
+                more = np.bincount(word, minlength=slots) + np.bincount(pair, minlength=slots)
                 counts = np.minimum(more + counts, min_count).astype(small)
         blocks = counts.reshape(-1, block)
         used = np.flatnonzero(blocks.any(axis=1))
@@ -110,20 +114,28 @@ def frequent_pairs(docs: DataFrame, min_count: int, slots: int = SLOTS) -> bytes
 
 
 def runs(docs: DataFrame, frequent: bytes, slots: int = SLOTS) -> DataFrame:
-    """(lang, phrase, k, n): the longest run of up to EDGE words from each word on; k < EDGE where a piece or frequent pairs end."""
+    """(lang, phrase, k, n): the longest run of up to EDGE words from each word on; k < EDGE where a piece or frequent pairs end.
+
+    Rare words come together as one empty phrase with k = 1.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(frequent, np.uint8)).astype(bool)
         for batch in batches:
             for names, seeds, found in tokens(batch):
                 spelling, word = found.spelled()
-                at, slot = found.slots(seeds, slots)
+                own, at, pair = found.slots(seeds, slots)
+                common = bits[own]
                 follows = np.zeros(len(word) + EDGE, bool)
-                follows[at] = bits[slot]
+                follows[at] = bits[pair] & common[at] & common[at + 1]
+                for lang, n in enumerate(np.bincount(found.lang[~common], minlength=len(names)).tolist()):
+                    if n:
+                        yield pa.RecordBatch.from_arrays([names.take(pa.array([lang])).cast(pa.string()), pa.array([""]), pa.array([1], pa.int32()), pa.array([n])], ["lang", "phrase", "k", "n"])
                 longest = np.ones(len(word), np.int64)
                 for k in range(1, EDGE):
                     longest[(longest == k) & follows[k - 1 : k - 1 + len(word)]] = k + 1
-                place, code = np.arange(len(word)), found.lang.astype(np.int64)
+                place = np.flatnonzero(common)
+                code = found.lang[place].astype(np.int64)
                 for k in range(1, EDGE + 1):
                     code = np.unique(code * len(spelling) + word[place + k - 1], return_inverse=True)[1]
                     ends = longest[place] == k
@@ -153,7 +165,7 @@ def flow(counted: DataFrame) -> list[DataFrame]:
     level = counted.filter(F.col("k") == EDGE).select("lang", "phrase", F.col("n").alias("a"))
     levels = [level]
     for k in range(EDGE - 1, 0, -1):
-        ends = counted.filter(F.col("k") == k).select("lang", "phrase", F.col("n").alias("a"))
+        ends = counted.filter((F.col("k") == k) & (F.col("phrase") != "")).select("lang", "phrase", F.col("n").alias("a"))
         through = level.select("lang", first_words(F.col("phrase"), k).alias("phrase"), "a")
         level = through.unionByName(ends).groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
         levels.insert(0, level)
@@ -190,7 +202,7 @@ def mine_phrases(docs: DataFrame, min_count: int = 100, top: int = 2000, slots:
     the passage without branches that a phrase of EDGE words lies in, NULL for shorter ones. Counts are exact up to 10^17.
     """
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    counted = checkpointed(runs(texts, frequent_pairs(texts, min_count, slots), slots))
+    counted = checkpointed(runs(texts, frequent_slots(texts, min_count, slots), slots))
     levels = flow(counted)
     kept = [x.filter(F.col("a") >= min_count).withColumn("k", F.lit(k)) for k, x in enumerate(levels, 1)]
     known = kept[0]

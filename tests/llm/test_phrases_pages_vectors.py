@@ -54,10 +54,10 @@ def test_phrases_of_nothing(spark):
     assert phrase_mining.mine_phrases(spark.createDataFrame([], "text string, lang string")).count() == 0
 
 
-def test_rare_pairs_never_hide_frequent_ones(spark):
+def test_rare_runs_never_hide_frequent_ones(spark):
     rows = [(f"w{i} w{i + 1}", "en") for i in range(40) for _ in range(1 + i % 5)]
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
-    bits = phrase_mining.frequent_pairs(docs, 3, 1 << 14)
+    bits = phrase_mining.frequent_slots(docs, 3, 1 << 14)
     kept = {r["phrase"]: r["n"] for r in phrase_mining.runs(docs, bits, 1 << 14).filter("k > 1").collect()}
     assert {p: n for p, n in kept.items() if n >= 3} == {f"w{i} w{i + 1}": 1 + i % 5 for i in range(40) if 1 + i % 5 >= 3}
 
@@ -67,7 +67,7 @@ def test_unary_paths(spark):
     middle = "m1 m2 m3 m4 m5 m6"
     rows = [(f"a1 a2 {middle} a3 a4", "en")] * 3 + [(f"b1 b2 {middle} b3 b4", "en")] * 2
     docs = spark.createDataFrame(rows, "text string, lang string")
-    counted = phrase_mining.runs(docs, phrase_mining.frequent_pairs(docs, 1, 64), 64)
+    counted = phrase_mining.runs(docs, phrase_mining.frequent_slots(docs, 1, 64), 64)
     levels = phrase_mining.flow(counted)
     paths = phrase_mining.unary_paths(levels[4], levels[3]).collect()
     by_head = defaultdict(dict)
