@@ -4,11 +4,11 @@ Nodes are runs of four words, edges runs of five; an edge joins its first four w
 Counts of shorter runs follow from the flow: a run of k words occurs as often as the runs of k + 1 words that begin with it, and
 once more for each piece that ends with it.
 
-Two passes over the texts. The first fills a fixed number of counters with words and adjacent pairs of words. One whose counter stays
-below `min_count` is surely rare, so no phrase of that count holds it: the second pass ends the piece at such a pair, and such words
-only add to the number of all words. What shares a counter only leaves more runs, never fewer. The second pass emits at each word
-the longest run that starts there, five words or up to the end of its piece: the former are edges, the latter the corrections for
-piece ends. Runs are words themselves, not hashes.
+Two passes over the texts. The first fills a fixed number of counters with words and with adjacent pairs and triples of words. One whose
+counter stays below `min_count` is surely rare, so no phrase of that count holds it: the second pass ends the piece inside such pairs
+and triples, and such words only add to the number of all words. What shares a counter only leaves more runs, never fewer. The second
+pass emits at each word the longest run that starts there, five words or up to the end of its piece: the former are edges, the latter
+the corrections for piece ends. Runs are words themselves, not hashes.
 
 A node whose only edge in and only edge out have its own weight is inside a path without branches. Such paths are compacted by
 pointer doubling; nodes inside are never results, for the edge that holds them weighs the same.
@@ -32,9 +32,13 @@ from pyspark.sql.window import Window
 from shelfline.llm.common import GRAM, checkpointed, lowered, mixed, pieces, utf8, words
 
 EDGE = 5
-#: Counters of words and adjacent pairs, of which the driver gets one bit each; more make the second pass read fewer rare runs.
+#: Runs of so many words are counted before any run is emitted.
+COUNTED = 3
+#: Counters of words, pairs and triples, of which the driver gets one bit each; more make the second pass read fewer rare runs.
 SLOTS = 1 << 22
-BLOCK = 1 << 10
+BLOCK = 1 << 14
+#: Groups in which the tasks' counters are added up first.
+MERGED = 8
 #: Bytes of text whose runs a task sums at once.
 SHARE = 8 << 20
 SPACE = np.zeros(256, bool)
@@ -56,13 +60,16 @@ class Tokens:
         self.linked = np.zeros(len(row), bool)
         self.linked[:-1] = (row[:-1] == row[1:]) & (stops[self.end[:-1]] == stops[self.start[1:]])
 
-    def slots(self, seeds: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The counter of each word, the words that another one follows, and the counter of each such pair."""
-        at, seed = np.flatnonzero(self.linked), seeds[self.lang]
-        word = self.hashed * GRAM[0] + seed
-        pair = self.hashed[at] * GRAM[1] + self.hashed[at + 1] * GRAM[2] + seed[at]
-        counter = lambda x: (mixed(x) & np.uint64(count - 1)).astype(np.int64)
-        return counter(word), at, counter(pair)
+    def slots(self, seeds: np.ndarray, count: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For runs of one, two and three words: the words that one starts with, and its counter."""
+        seed, found = seeds[self.lang], []
+        for k in range(1, COUNTED + 1):
+            at = np.flatnonzero(np.logical_and.reduce([self.linked[j : len(seed) - k + 1 + j] for j in range(k - 1)])) if k > 1 else np.arange(len(seed))
+            total = seed[at] + np.uint64(k)
+            for j in range(k):
+                total = total + self.hashed[at + j] * GRAM[j]
+            found.append((at, (mixed(total) & np.uint64(count - 1)).astype(np.int64)))
+        return found
 
     def spelled(self) -> tuple[pa.Array, np.ndarray]:
         """The different words, A-Z lower-cased, and the number of each word among them."""
@@ -83,7 +90,7 @@ def tokens(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, Tokens
 
 
 def frequent_slots(docs: DataFrame, min_count: int, slots: int = SLOTS) -> bytes:
-    """One bit for each counter of words and adjacent pairs: whether it reaches min_count over all rows of (lang, text)."""
+    """One bit for each counter of words, pairs and triples: whether it reaches min_count over all rows of (lang, text)."""
     block = min(BLOCK, slots)
     small = np.min_scalar_type(min_count)
 
@@ -91,9 +98,9 @@ def frequent_slots(docs: DataFrame, min_count: int, slots: int = SLOTS) -> bytes
         counts = np.zeros(slots, small)
         for batch in batches:
             for _, seeds, found in tokens(batch):
-                word, _, pair = found.slots(seeds, slots)
-                more = np.bincount(word, minlength=slots) + np.bincount(pair, minlength=slots)
-                counts = np.minimum(more + counts, min_count).astype(small)
+                for _, slot in found.slots(seeds, slots):
+                    which, n = np.unique(slot, return_counts=True)
+                    counts[which] = np.minimum(n + counts[which], min_count)
         blocks = counts.reshape(-1, block)
         used = np.flatnonzero(blocks.any(axis=1))
         if len(used):
@@ -105,7 +112,7 @@ def frequent_slots(docs: DataFrame, min_count: int, slots: int = SLOTS) -> bytes
             sums = np.minimum(sums + np.frombuffer(x.as_buffer(), small), min_count)
         return pa.table({"block": table.column("block")[:1].cast(pa.int64()), "counts": pa.array([sums.astype(small).tobytes()], pa.binary())})
 
-    parts = docs.mapInArrow(count, "block long, counts binary").withColumn("part", F.spark_partition_id() % 64)
+    parts = docs.mapInArrow(count, "block long, counts binary").withColumn("part", F.spark_partition_id() % MERGED)
     merged = parts.groupBy("block", "part").applyInArrow(total, "block long, counts binary").groupBy("block").applyInArrow(total, "block long, counts binary")
     bits = np.zeros((slots // block, block), bool)
     for row in merged.collect():  # slots / block rows at most, none longer than a block
@@ -124,16 +131,20 @@ def runs(docs: DataFrame, frequent: bytes, slots: int = SLOTS) -> DataFrame:
         for batch in batches:
             for names, seeds, found in tokens(batch):
                 spelling, word = found.spelled()
-                own, at, pair = found.slots(seeds, slots)
-                common = bits[own]
-                follows = np.zeros(len(word) + EDGE, bool)
-                follows[at] = bits[pair] & common[at] & common[at + 1]
+                reach = []  # words from which on the run of 1, 2, 3 is frequent
+                for at, slot in found.slots(seeds, slots):
+                    reach.append(np.zeros(len(word) + EDGE, bool))
+                    reach[-1][at] = bits[slot]
+                    if len(reach) > 1:
+                        reach[-1][:-1] &= reach[-2][:-1] & reach[-2][1:]
+                common = reach[0][: len(word)]
                 for lang, n in enumerate(np.bincount(found.lang[~common], minlength=len(names)).tolist()):
                     if n:
                         yield pa.RecordBatch.from_arrays([names.take(pa.array([lang])).cast(pa.string()), pa.array([""]), pa.array([1], pa.int32()), pa.array([n])], ["lang", "phrase", "k", "n"])
                 longest = np.ones(len(word), np.int64)
-                for k in range(1, EDGE):
-                    longest[(longest == k) & follows[k - 1 : k - 1 + len(word)]] = k + 1
+                for k in range(2, EDGE + 1):
+                    held = reach[min(k, COUNTED) - 1]
+                    longest[(longest == k - 1) & held[max(0, k - COUNTED) :][: len(word)]] = k
                 place = np.flatnonzero(common)
                 code = found.lang[place].astype(np.int64)
                 for k in range(1, EDGE + 1):
