@@ -35,7 +35,7 @@ EDGE = 5
 #: Runs of so many words are counted before any run is emitted.
 COUNTED = 3
 #: Counters of words, pairs and triples, of which the driver gets one bit each; more make the second pass read fewer rare runs.
-SLOTS = 1 << 22
+SLOTS = 1 << 24
 BLOCK = 1 << 14
 #: Groups in which the tasks' counters are added up first.
 MERGED = 8
@@ -104,20 +104,26 @@ def frequent_slots(docs: DataFrame, min_count: int, slots: int = SLOTS) -> bytes
         blocks = counts.reshape(-1, block)
         used = np.flatnonzero(blocks.any(axis=1))
         if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([blocks[b].tobytes() for b in used], pa.binary())], ["block", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([zlib.compress(blocks[b], 1) for b in used], pa.binary())], ["block", "counts"])
 
-    def total(table: pa.Table) -> pa.Table:
+    def total(table: pa.Table) -> np.ndarray:
         sums = np.zeros(block, np.int64)
         for x in table.column("counts"):
-            sums = np.minimum(sums + np.frombuffer(x.as_buffer(), small), min_count)
-        return pa.table({"block": table.column("block")[:1].cast(pa.int64()), "counts": pa.array([sums.astype(small).tobytes()], pa.binary())})
+            sums = np.minimum(sums + np.frombuffer(zlib.decompress(x.as_buffer()), small), min_count)
+        return sums.astype(small)
+
+    def added(table: pa.Table) -> pa.Table:
+        return pa.table({"block": table.column("block")[:1], "counts": pa.array([zlib.compress(total(table), 1)], pa.binary())})
+
+    def judged(table: pa.Table) -> pa.Table:
+        return pa.table({"block": table.column("block")[:1], "bits": pa.array([np.packbits(total(table) >= min_count).tobytes()], pa.binary())})
 
     parts = docs.mapInArrow(count, "block long, counts binary").withColumn("part", F.spark_partition_id() % MERGED)
-    merged = parts.groupBy("block", "part").applyInArrow(total, "block long, counts binary").groupBy("block").applyInArrow(total, "block long, counts binary")
-    bits = np.zeros((slots // block, block), bool)
-    for row in merged.collect():  # slots / block rows at most, none longer than a block
-        bits[row["block"]] = np.frombuffer(row["counts"], small) >= min_count
-    return np.packbits(bits.ravel()).tobytes()
+    merged = parts.groupBy("block", "part").applyInArrow(added, "block long, counts binary").groupBy("block").applyInArrow(judged, "block long, bits binary")
+    bits = np.zeros((slots // block, block // 8), np.uint8)
+    for row in merged.collect():  # slots / block rows at most, slots / 8 bytes in all
+        bits[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.tobytes()
 
 
 def runs(docs: DataFrame, frequent: bytes, slots: int = SLOTS) -> DataFrame:
