@@ -4,11 +4,11 @@ Nodes are runs of four words, edges runs of five; an edge joins its first four w
 Counts of shorter runs follow from the flow: a run of k words occurs as often as the runs of k + 1 words that begin with it, and
 once more for each piece that ends with it.
 
-Two passes over the texts. The first fills a fixed number of counters with words and with adjacent pairs and triples of words. One whose
-counter stays below `min_count` is surely rare, so no phrase of that count holds it: the second pass ends the piece inside such pairs
-and triples, and such words only add to the number of all words. What shares a counter only leaves more runs, never fewer. The second
-pass emits at each word the longest run that starts there, five words or up to the end of its piece: the former are edges, the latter
-the corrections for piece ends. Runs are words themselves, not hashes.
+Two passes over the texts. The first fills a fixed number of counters with adjacent pairs and triples of words. One whose counter stays
+below `min_count` is surely rare, so no phrase of that count holds it, and the second pass ends the piece inside such pairs and
+triples. What shares a counter only leaves more runs, never fewer. The second pass emits at each word the longest run that starts
+there, five words or up to the end of its piece: the former are edges, the latter the corrections for piece ends. Runs are words
+themselves, not hashes.
 
 A node whose only edge in and only edge out have its own weight is inside a path without branches. Such paths are compacted by
 pointer doubling; nodes inside are never results, for the edge that holds them weighs the same.
@@ -32,15 +32,17 @@ from pyspark.sql.window import Window
 from shelfline.llm.common import GRAM, checkpointed, lowered, mixed, pieces, utf8, words
 
 EDGE = 5
-#: Runs of so many words are counted before any run is emitted.
+#: Runs of up to so many words are counted before any run is emitted.
 COUNTED = 3
-#: Counters of words, pairs and triples, of which the driver gets one bit each; more make the second pass read fewer rare runs.
+#: Counters of pairs and triples, of which the driver gets one bit each; more make the second pass read fewer rare runs.
 SLOTS = 1 << 24
 BLOCK = 1 << 14
 #: Groups in which the tasks' counters are added up first.
 MERGED = 8
 #: Bytes of text whose runs a task sums at once.
 SHARE = 8 << 20
+#: Runs that a task holds before it sums them, or hands them on where half as many are left.
+HELD = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09]] = True
 STOP = np.zeros(256, bool)
@@ -61,10 +63,10 @@ class Tokens:
         self.linked[:-1] = (row[:-1] == row[1:]) & (stops[self.end[:-1]] == stops[self.start[1:]])
 
     def slots(self, seeds: np.ndarray, count: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For runs of one, two and three words: the words that one starts with, and its counter."""
+        """For runs of two and three words: the words that one starts with, and its counter."""
         seed, found = seeds[self.lang], []
-        for k in range(1, COUNTED + 1):
-            at = np.flatnonzero(np.logical_and.reduce([self.linked[j : len(seed) - k + 1 + j] for j in range(k - 1)])) if k > 1 else np.arange(len(seed))
+        for k in range(2, COUNTED + 1):
+            at = np.flatnonzero(np.logical_and.reduce([self.linked[j : max(0, len(seed) - k + 1) + j] for j in range(k - 1)]))
             total = seed[at] + np.uint64(k)
             for j in range(k):
                 total = total + self.hashed[at + j] * GRAM[j]
@@ -90,7 +92,7 @@ def tokens(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, Tokens
 
 
 def frequent_slots(docs: DataFrame, min_count: int, slots: int = SLOTS) -> bytes:
-    """One bit for each counter of words, pairs and triples: whether it reaches min_count over all rows of (lang, text)."""
+    """One bit for each counter of pairs and triples: whether it reaches min_count over all rows of (lang, text)."""
     block = min(BLOCK, slots)
     small = np.min_scalar_type(min_count)
 
@@ -127,43 +129,50 @@ def frequent_slots(docs: DataFrame, min_count: int, slots: int = SLOTS) -> bytes
 
 
 def runs(docs: DataFrame, frequent: bytes, slots: int = SLOTS) -> DataFrame:
-    """(lang, phrase, k, n): the longest run of up to EDGE words from each word on; k < EDGE where a piece or frequent pairs end.
-
-    Rare words come together as one empty phrase with k = 1.
-    """
+    """(lang, phrase, k, n): the longest run of up to EDGE words from each word on; k < EDGE where a piece or frequent triples end."""
+
+    names = ["lang", "phrase", "k", "n"]
+
+    def found_in(langs: pa.Array, seeds: np.ndarray, found: Tokens, bits: np.ndarray) -> Iterator[pa.Table]:
+        spelling, word = found.spelled()
+        reach = [np.ones(len(word) + EDGE, bool)]  # words from which on the run of 1, 2, 3 may be frequent
+        for at, slot in found.slots(seeds, slots):
+            own = np.zeros(len(word) + EDGE, bool)
+            own[at] = bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1
+            own[:-1] &= reach[-1][:-1] & reach[-1][1:]
+            reach.append(own)
+        longest = np.ones(len(word), np.int64)
+        for k in range(2, EDGE + 1):
+            held = reach[min(k, COUNTED) - 1]
+            longest[(longest == k - 1) & held[max(0, k - COUNTED) :][: len(word)]] = k
+        place, code = np.arange(len(word)), found.lang.astype(np.int64)
+        for k in range(1, EDGE + 1):
+            code = np.unique(code * len(spelling) + word[place + k - 1], return_inverse=True)[1]
+            ends = longest[place] == k
+            _, first, n = np.unique(code[ends], return_index=True, return_counts=True)
+            if len(first):
+                where = place[ends][first]
+                spelt = [spelling.take(pa.array(word[where + j])) for j in range(k)]
+                phrase = pc.binary_join_element_wise(*spelt, pa.scalar(" ", pa.large_string())) if k > 1 else spelt[0]
+                lang = langs.take(pa.array(found.lang[where]))
+                yield pa.table([lang.cast(pa.string()), phrase.cast(pa.string()), pa.array(np.full(len(n), k, np.int32)), pa.array(n)], names)
+            place, code = place[~ends], code[~ends]
+
+    def summed(parts: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(parts).group_by(names[:3], use_threads=False).aggregate([("n", "sum")]).rename_columns(names)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(frequent, np.uint8)).astype(bool)
+        bits = np.frombuffer(frequent, np.uint8)
+        held: list[pa.Table] = []
         for batch in batches:
-            for names, seeds, found in tokens(batch):
-                spelling, word = found.spelled()
-                reach = []  # words from which on the run of 1, 2, 3 is frequent
-                for at, slot in found.slots(seeds, slots):
-                    reach.append(np.zeros(len(word) + EDGE, bool))
-                    reach[-1][at] = bits[slot]
-                    if len(reach) > 1:
-                        reach[-1][:-1] &= reach[-2][:-1] & reach[-2][1:]
-                common = reach[0][: len(word)]
-                for lang, n in enumerate(np.bincount(found.lang[~common], minlength=len(names)).tolist()):
-                    if n:
-                        yield pa.RecordBatch.from_arrays([names.take(pa.array([lang])).cast(pa.string()), pa.array([""]), pa.array([1], pa.int32()), pa.array([n])], ["lang", "phrase", "k", "n"])
-                longest = np.ones(len(word), np.int64)
-                for k in range(2, EDGE + 1):
-                    held = reach[min(k, COUNTED) - 1]
-                    longest[(longest == k - 1) & held[max(0, k - COUNTED) :][: len(word)]] = k
-                place = np.flatnonzero(common)
-                code = found.lang[place].astype(np.int64)
-                for k in range(1, EDGE + 1):
-                    code = np.unique(code * len(spelling) + word[place + k - 1], return_inverse=True)[1]
-                    ends = longest[place] == k
-                    _, first, n = np.unique(code[ends], return_index=True, return_counts=True)
-                    if len(first):
-                        where = place[ends][first]
-                        spelt = [spelling.take(pa.array(word[where + j])) for j in range(k)]
-                        phrase = pc.binary_join_element_wise(*spelt, pa.scalar(" ", pa.large_string())) if k > 1 else spelt[0]
-                        lang = names.take(pa.array(found.lang[where]))
-                        yield pa.RecordBatch.from_arrays([lang.cast(pa.string()), phrase.cast(pa.string()), pa.array(np.full(len(n), k, np.int32)), pa.array(n)], ["lang", "phrase", "k", "n"])
-                    place, code = place[~ends], code[~ends]
+            for piece in tokens(batch):
+                held += found_in(*piece, bits)
+                if sum(t.num_rows for t in held) >= HELD:
+                    held = [summed(held)]
+                    if held[0].num_rows >= HELD // 2:
+                        yield from held.pop().to_batches(1 << 16)
+        if held:
+            yield from summed(held).to_batches(1 << 16)
 
     return docs.mapInArrow(scan, "lang string, phrase string, k int, n long").groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
 
@@ -182,7 +191,7 @@ def flow(counted: DataFrame) -> list[DataFrame]:
     level = counted.filter(F.col("k") == EDGE).select("lang", "phrase", F.col("n").alias("a"))
     levels = [level]
     for k in range(EDGE - 1, 0, -1):
-        ends = counted.filter((F.col("k") == k) & (F.col("phrase") != "")).select("lang", "phrase", F.col("n").alias("a"))
+        ends = counted.filter(F.col("k") == k).select("lang", "phrase", F.col("n").alias("a"))
         through = level.select("lang", first_words(F.col("phrase"), k).alias("phrase"), "a")
         level = through.unionByName(ends).groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
         levels.insert(0, level)
