@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline import rules as L
 from shelfline.functions import as_date, count_when, date_key, money, percent, position_in, ratio, sum_when
-from shelfline.operators.prefix import running_totals
+from shelfline.operators.prefix import sliced_totals
 from shelfline.rules import RetailRules
 
 EXPORT_COLUMNS = (
@@ -114,33 +114,23 @@ def suggest_qty(df: DataFrame, rules: RetailRules = RetailRules()) -> DataFrame:
     )
 
 
-def inventory_health(
-    inventory: DataFrame, sales: DataFrame, product: DataFrame, sku: DataFrame, store: DataFrame, as_of,
-    rules: RetailRules = RetailRules(),
+def health_measures(
+    inventory: DataFrame, sales: DataFrame, store: DataFrame, as_of, rules: RetailRules = RetailRules()
 ) -> DataFrame:
-    """Health rows of main products in stock scope, before grading.
+    """Keys and measures of all products in stock scope, before names and grades.
 
     Stock and sales are each reduced to product x SKU first, so their join needs no further shuffle and meets every key
-    once; product and SKU names are joined on that reduced set.
+    once.
     """
     stock = stock_totals(inventory, store, as_of, rules)
     sold = sales_totals(sales, store, as_of, rules)
-    products = product.filter(F.col("is_main_product") == "Y").select(
-        "product_id", "product_code", "product_name", "category_id", "category_name", "property_id", "property_name",
-        "series_id", "series_name", "price_list",
-    )
-    skus = sku.select("sku_id", "sku_barcode", F.col("sku_color").alias("color"), F.col("sku_size").alias("size"))
-    joined = (
-        stock.join(sold, ["product_id", "sku_id"], "left").join(products, "product_id").join(skus, "sku_id", "left")
-    )
+    joined = stock.join(sold, ["product_id", "sku_id"], "left")
 
     def whole(name: str) -> Column:
         return F.coalesce(name, F.lit(0)).cast("long").alias(name)
 
     base = joined.select(
-        F.lit(as_date(as_of)).alias("snapshot_date"),
-        "product_id", "sku_id", "sku_barcode", "color", "size", "product_code", "product_name", "category_id",
-        "category_name", "property_id", "property_name", "series_id", "series_name", "price_list",
+        "product_id", "sku_id",
         whole("total_qty"), whole("warehouse_qty"), whole("cloud_qty"), whole("purchase_rem_qty"),
         whole("sales_qty_30d"),
         money(F.col("sales_amt_30d")).alias("sales_amt_30d"),
@@ -150,6 +140,28 @@ def inventory_health(
     return suggest_qty(stock_status(turnover_metrics(base, rules), rules), rules)
 
 
+def with_names(measures: DataFrame, product: DataFrame, sku: DataFrame, as_of) -> DataFrame:
+    """Rows of main products with the snapshot day, product and SKU names before the measures."""
+    names = [
+        "product_code", "product_name", "category_id", "category_name", "property_id", "property_name", "series_id", "series_name",
+        "price_list",
+    ]
+    products = product.filter(F.col("is_main_product") == "Y").select("product_id", *names)
+    skus = sku.select("sku_id", "sku_barcode", F.col("sku_color").alias("color"), F.col("sku_size").alias("size"))
+    return measures.join(products, "product_id").join(skus, "sku_id", "left").select(
+        F.lit(as_date(as_of)).alias("snapshot_date"), "product_id", "sku_id", "sku_barcode", "color", "size", *names,
+        *[c for c in measures.columns if c not in ("product_id", "sku_id")],
+    )
+
+
+def inventory_health(
+    inventory: DataFrame, sales: DataFrame, product: DataFrame, sku: DataFrame, store: DataFrame, as_of,
+    rules: RetailRules = RetailRules(),
+) -> DataFrame:
+    """Health rows of main products in stock scope, before grading; names are joined on the reduced set."""
+    return with_names(health_measures(inventory, sales, store, as_of, rules), product, sku, as_of)
+
+
 def sabc_grade(
     df: DataFrame, amount: str = "sales_amt_30d", key: tuple[str, ...] = ("sku_id", "product_id"),
     rules: RetailRules = RetailRules(), slices: int | None = None,
@@ -158,9 +170,9 @@ def sabc_grade(
 
     S looks at the cumulative share *before* the row, A and B at the share *including* it. Rows without an amount are C.
     """
-    order = [F.col(amount).desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in key]]
     ready = df.withColumn(amount, F.coalesce(amount, F.lit(0)))
-    ranked = running_totals(ready, order, amount, "_cum", "sales_rank", "_total", slices)
+    order = [-F.col(amount), *[c for k in key for c in (F.col(k).isNull(), F.col(k))]]
+    ranked = sliced_totals(ready, order, amount, "_cum", "sales_rank", "_total", slices)
     s_cut, a_cut, b_cut = (F.lit(cut) for cut in rules.grade_cuts)
     value, cum, total = F.col(amount), F.col("_cum"), F.col("_total")
     grade = (
@@ -193,8 +205,11 @@ def graded_health(
     inventory: DataFrame, sales: DataFrame, product: DataFrame, sku: DataFrame, store: DataFrame, as_of,
     rules: RetailRules = RetailRules(),
 ) -> DataFrame:
-    """The finished mart rows: health, grade and trend in one pass."""
-    return sales_trend(sabc_grade(inventory_health(inventory, sales, product, sku, store, as_of, rules), rules=rules), rules)
+    """The finished mart rows: health, grade and trend in one pass. Only keys and measures are ranked; names come after."""
+    main = product.filter(F.col("is_main_product") == "Y").select("product_id")
+    measures = health_measures(inventory, sales, store, as_of, rules).join(main, "product_id", "left_semi")
+    graded = sabc_grade(measures, rules=rules)
+    return with_names(sales_trend(graded, rules), product, sku, as_of)
 
 
 def status_summary(health: DataFrame) -> DataFrame:

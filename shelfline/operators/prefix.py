@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfline.functions import over_shared
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the checkpoint folder of the session; where none is set, one in its warehouse, which all executors share as well."""
@@ -21,7 +23,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def running_totals(
     df: DataFrame, order: list[Column], value: str, running: str, rank: str, total: str, slices: int | None = None
 ) -> DataFrame:
-    """Add the running sum of ``value`` (this row included), the 1-based rank and the grand total, in ``order``.
+    """Add the running sum of ``value`` (this row included), the 1-based rank and the grand total, in any ``order``.
+
+    Jobs use ``sliced_totals``, which needs no checkpoint; this one takes sort expressions of every kind.
 
     ``order`` must identify a row; then every slice is bounded however often a single leading value repeats. The sliced
     rows are checkpointed because the slice bounds are sampled: both uses below have to see the same slices, also after
@@ -61,13 +65,58 @@ def running_totals(
     )
 
 
+#: Rows of the sample behind each slice bound.
+SAMPLED = 32
+
+
+def sliced_totals(
+    df: DataFrame, ascending: list[Column], value: str, running: str, rank: str, total: str, slices: int | None = None
+) -> DataFrame:
+    """As ``running_totals``, for rows in ascending order of NULL-free columns; lazy, and without a checkpoint.
+
+    The slice bounds are quantiles of a sample that depends on the rows alone: those of the smallest hashes. The rows are
+    computed once and shared by three readers (bounds, slice totals, windows), and move once more to the task of their
+    slice. As the bounds are one value of the plan, a recomputed task cuts its rows as the first one did. ``slices`` is
+    the number of shuffle partitions by default; per slice one row leaves, so the offsets are broadcast.
+    """
+    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(ascending)]))
+    names = ", ".join(f"s.`{c}`" for c in df.columns)
+    return over_shared(
+        keyed,
+        f"""
+        , sampled AS (
+            SELECT sort_array(collect_list(_key)) AS keys
+            FROM (SELECT _key FROM shared ORDER BY xxhash64(_key), _key LIMIT {SAMPLED * n})
+        ), cuts AS (
+            SELECT transform(sequence(1, {n}), i -> get(keys, cast(size(keys) * i div {n} AS int) - 1)) AS bounds FROM sampled
+        ), sliced AS (
+            SELECT *, size(filter(_bounds, b -> b < _key)) AS _slice FROM (SELECT *, (SELECT bounds FROM cuts) AS _bounds FROM shared)
+        ), parts AS (
+            SELECT _slice, sum(`{value}`) AS _sum, count(*) AS _rows FROM sliced GROUP BY _slice
+        ), offsets AS (
+            SELECT _slice, coalesce(sum(_sum) OVER before, 0) AS _sum_before, coalesce(sum(_rows) OVER before, 0) AS _rows_before,
+                   sum(_sum) OVER () AS _all
+            FROM parts WINDOW before AS (ORDER BY _slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY _slice ORDER BY _key) AS _local_rank,
+                   sum(`{value}`) OVER (PARTITION BY _slice ORDER BY _key ROWS UNBOUNDED PRECEDING) AS _local_sum
+            FROM sliced
+        )
+        SELECT /*+ BROADCAST(o) */ {names}, coalesce(_local_sum, 0) + _sum_before AS `{running}`,
+               cast(_local_rank + _rows_before AS bigint) AS `{rank}`, _all AS `{total}`
+        FROM ranked s JOIN offsets o ON o._slice = s._slice
+        """,
+    )
+
+
 def ranked_counts(df: DataFrame, value: str) -> DataFrame:
     """Distinct non-null values as ``v`` with their count ``n``, the count up to and including them and of all rows.
 
     A value that fills a third of the table is one row here, counted before the shuffle.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    return running_totals(counted, [F.col("v").asc()], "n", "upto", "position", "rows")
+    return sliced_totals(counted, [F.col("v")], "n", "upto", "position", "rows")
 
 
 def median_of_counts() -> Column:

@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions import as_date, date_key
+from shelfline.functions import as_date, date_key, over_shared
 from shelfline.operators.facts import sales_coverage, sales_daily
 from shelfline.rules import RetailRules
 
@@ -17,16 +17,24 @@ def replace_range(
 ) -> DataFrame:
     """The table after deleting the days [lo, hi] and inserting ``new`` rows of that range.
 
-    If ``new`` has no row in the range, the old rows stay unless ``on_empty="clear"``. The test for emptiness is an
-    EXISTS subquery of the same plan, so nothing runs until the result is used; it evaluates ``new`` a second time. To
-    replace days of a stored table use ``sources.sinks.replace_days``, which evaluates it once.
+    If ``new`` has no row in the range, the old rows stay unless ``on_empty="clear"``. The test for emptiness is part of
+    the same plan, so nothing runs until the result is used, and it shares one evaluation of ``new`` with the new rows. To
+    replace days of a stored table use ``sources.sinks.replace_days``.
     """
     if on_empty not in ("keep", "clear"):
         raise ValueError(f"on_empty must be 'keep' or 'clear', not {on_empty!r}")
     incoming = new.filter(F.col(column).between(lo, hi))
-    outside = ~F.col(column).between(lo, hi)
-    kept = existing.filter(outside | ~incoming.exists()) if on_empty == "keep" else existing.filter(outside)
-    return kept.unionByName(incoming)
+    outside = existing.filter(~F.col(column).between(lo, hi))
+    if on_empty == "clear":
+        return outside.unionByName(incoming)
+    inside = existing.filter(F.col(column).between(lo, hi))
+    names = ", ".join(f"`{c}`" for c in existing.columns)
+    replaced = over_shared(
+        incoming.select(*existing.columns),
+        f"SELECT {names} FROM shared UNION ALL SELECT {names} FROM {{inside}} WHERE NOT EXISTS (SELECT 1 FROM shared)",
+        inside=inside,
+    )
+    return outside.unionByName(replaced)
 
 
 def replace_snapshot(

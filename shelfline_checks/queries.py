@@ -74,7 +74,9 @@ class Warehouse(Sources):
 
     @view
     def graded(self) -> DataFrame:
-        return health.sales_trend(health.sabc_grade(self.health()))
+        return health.graded_health(
+            self.inventory(), self.recent_sales(), self.dim_product(), self.dim_sku(), self.dim_store(), AS_OF
+        )
 
 
 def _sku_window(w: Warehouse) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfline.operators import health
-from shelfline.operators.prefix import exact_median, running_totals
+from shelfline.operators.prefix import exact_median, running_totals, sliced_totals
 
 AS_OF = date(2026, 3, 5)
 INVENTORY = "date_id int, store_id bigint, product_id bigint, m_productalias_id bigint, qty bigint, qtypurchaserem bigint"
@@ -134,6 +134,28 @@ def test_running_totals_equal_the_plain_window(frame, slices):
     assert ranks == list(range(1, 401))
 
 
+@pytest.mark.parametrize("slices", [1, 2, 7, None])
+def test_sliced_totals_equal_the_plain_window(frame, slices):
+    """A third of the rows share the first amount and a tenth of the SKUs are NULL."""
+    rows = [(None if i % 10 == 9 else i, i, D(0) if i % 3 == 0 else D((i * 7919) % 101)) for i in range(400)]
+    df = frame(rows, "sku_id bigint, product_id bigint, amt decimal(18,2)").repartition(3)
+    got = sliced_totals(df, [-F.col("amt"), F.col("sku_id").isNull(), F.col("sku_id"), F.col("product_id")], "amt", "cum", "rank", "total", slices)
+    w = Window.orderBy(F.col("amt").desc(), F.col("sku_id").asc_nulls_last(), "product_id")
+    want = (
+        df.withColumn("cum", F.sum("amt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("rank", F.row_number().over(w).cast("long"))
+        .withColumn("total", F.sum("amt").over(Window.partitionBy()))
+    )
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[4]) == sorted(map(tuple, want.collect()), key=lambda r: r[4])
+
+
+def test_sliced_totals_of_nothing_and_of_one(frame):
+    ddl = "sku_id bigint, amt bigint"
+    assert sliced_totals(frame([], ddl), [F.col("sku_id")], "amt", "cum", "rank", "total").count() == 0
+    assert values(sliced_totals(frame([(1, None)], ddl), [F.col("sku_id")], "amt", "cum", "rank", "total"), "cum", "rank") == {(0, 1)}
+
+
 def test_running_totals_of_nothing(frame):
     df = frame([], "sku_id bigint, amt bigint")
     assert running_totals(df, [F.col("sku_id").asc()], "amt", "cum", "rank", "total").count() == 0
