@@ -121,6 +121,36 @@ def sales_daily(
     )
 
 
+def day_prints(
+    retail: DataFrame, item: DataFrame, store: DataFrame, product: DataFrame,
+    lo: date | str | int, hi: date | str | int, rules: RetailRules = RetailRules(),
+) -> DataFrame:
+    """What the source lines of each day in [lo, hi] are: (date_id, source_lines, print).
+
+    The print is the sum of a hash of everything that ``sales_daily`` takes from a line, its header and its store. It does
+    not depend on the order of rows, and a line that comes, goes or changes moves it. One row per day leaves each task.
+    """
+    stores = _scoped_stores(store, rules.sales_scope)
+    lines = item.filter(F.col("sku_id").isNotNull()).select(
+        "retail_id", "product_id", "sku_id", "qty", "tot_amt_actual", "tot_amt_list"
+    )
+    joined = (
+        lines.join(_main_products(product, rules), "product_id", "left_semi")
+        .join(_headers(retail, stores, lo, hi, rules), "retail_id")
+        .join(stores, "store_id")
+    )
+    taken = [
+        "retail_id", "store_id", "store_code", "is_cloud_store", "sign", "product_id", "sku_id", "qty", "tot_amt_actual",
+        "tot_amt_list",
+    ]
+    # NULL does not move xxhash64, so each column goes with its own sign of absence.
+    marked = [x for c in taken for x in (F.col(c), F.col(c).isNull())]
+    return joined.groupBy(F.col("date_id").cast("int").alias("date_id")).agg(
+        F.count(F.lit(1)).alias("source_lines"),
+        F.sum(F.xxhash64(*marked).cast("decimal(38,0)")).alias("print"),
+    )
+
+
 def with_net(sales: DataFrame) -> DataFrame:
     """Adds ``net_qty`` and ``net_amount`` (sales minus returns)."""
     return sales.withColumn("net_qty", F.col("sales_qty") - F.col("return_qty")).withColumn(

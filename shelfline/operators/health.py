@@ -64,6 +64,56 @@ def sales_totals(sales: DataFrame, store: DataFrame, as_of, rules: RetailRules =
     )
 
 
+def window_totals(sales: DataFrame, store: DataFrame, as_of, rules: RetailRules = RetailRules()) -> DataFrame:
+    """``sales_totals`` with the number of fact rows behind each SKU, in the form that ``moved_totals`` goes on from."""
+    day = as_date(as_of) - timedelta(days=rules.long_window_days + 1)
+    none = sales_totals(sales.limit(0), store, day, rules).withColumn("fact_rows", F.lit(0).cast("long"))
+    return moved_totals(none, sales, store, day, as_of, rules)
+
+
+def moved_totals(
+    stored: DataFrame, sales: DataFrame, store: DataFrame, before, as_of, rules: RetailRules = RetailRules(),
+    replaced: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """The stored ``window_totals`` of the day ``before``, moved to a later ``as_of``.
+
+    Only the days that enter or leave one of the windows are read and added or taken off; a window longer than the move
+    keeps the rest. ``replaced`` = (old rows, new rows) brings in facts up to ``before`` that were computed again since. A
+    SKU whose last fact row leaves is dropped.
+    """
+    old, new = as_date(before), as_date(as_of)
+    if new < old:
+        raise ValueError(f"as_of {new} lies before {old}")
+    scoped = store.filter(rules.sales_scope(F.col("store_code"), F.col("is_cloud_store"))).select("store_id")
+    date_id = F.col("date_id")
+
+    def inside(day: date, days: int) -> Column:
+        return date_id.between(date_key(day - timedelta(days=days)), date_key(day)).cast("int")
+
+    def signed(facts: DataFrame, long_sign: Column, short_sign: Column) -> DataFrame:
+        named = facts.filter(((long_sign != 0) | (short_sign != 0)) & F.col("m_productalias_id").isNotNull())
+        measures = {"sales_qty_30d": "sales_qty", "sales_amt_30d": "sales_amount", "return_qty_30d": "return_qty", "return_amount_30d": "return_amount"}
+        return named.join(scoped, "store_id", "left_semi").select(
+            "product_id", F.col("m_productalias_id").alias("sku_id"),
+            *[(F.col(c) * long_sign).alias(name) for name, c in measures.items()],
+            (F.col("sales_qty") * short_sign).alias("sales_qty_7d"),
+            long_sign.cast("long").alias("fact_rows"),
+        )
+
+    windows = rules.long_window_days, rules.short_window_days
+    moves = [inside(new, n) - inside(old, n) for n in windows]
+    first = date_key(old - timedelta(days=max(windows)))
+    parts = [stored, signed(sales.filter(date_id.between(first, date_key(new))), *moves)]
+    if replaced is not None:  # what the stored totals hold of these days, in the window of `before`
+        was, now = [inside(old, n) for n in windows], replaced
+        parts += [signed(now[0], *[-w for w in was]), signed(now[1], *was)]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    totals = ["sales_qty_30d", "sales_amt_30d", "sales_qty_7d", "return_qty_30d", "return_amount_30d", "fact_rows"]
+    return every.groupBy("product_id", "sku_id").agg(*[F.sum(c).alias(c) for c in totals]).filter(F.col("fact_rows") > 0)
+
+
 def turnover_metrics(df: DataFrame, rules: RetailRules = RetailRules()) -> DataFrame:
     """Daily averages, sales velocity (NULL without sales) and turnover days (sentinel without sales)."""
     long_days, short_days = rules.long_window_days, rules.short_window_days

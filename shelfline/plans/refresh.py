@@ -61,3 +61,32 @@ def days_to_load(stored: DataFrame | None, as_of, rules: RetailRules = RetailRul
     first, last = day - timedelta(days=rules.long_window_days), day - timedelta(days=1)
     complete = stored is not None and not sales_coverage(stored, first, last).first()["needs_backfill"]
     return (date_key(day), date_key(day)) if complete else (date_key(first), date_key(day))
+
+
+def changed_days(stored: DataFrame, current: DataFrame) -> DataFrame:
+    """Days whose source lines are not those of the stored prints: (date_id, lines_before, lines_now).
+
+    Both sides come from ``facts.day_prints``; a day that only one of them has counts as changed.
+    """
+
+    def side(df: DataFrame, lines: str, mark: str) -> DataFrame:
+        return df.select("date_id", F.col("source_lines").alias(lines), F.col("print").alias(mark))
+
+    both = side(stored, "lines_before", "_before").unionByName(side(current, "lines_now", "_now"), allowMissingColumns=True)
+    return (
+        both.groupBy("date_id")
+        .agg(*[F.max(c).alias(c) for c in ("lines_before", "lines_now", "_before", "_now")])
+        .filter(~(F.col("_before").eqNullSafe(F.col("_now")) & F.col("lines_before").eqNullSafe(F.col("lines_now"))))
+        .select("date_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("lines_before", "lines_now")])
+    )
+
+
+def day_runs(days: list[int]) -> list[tuple[int, int]]:
+    """Day keys as (first, last) of each run of consecutive days."""
+    runs: list[list[int]] = []
+    for day in sorted(set(days)):
+        if runs and as_date(day) - as_date(runs[-1][1]) == timedelta(days=1):
+            runs[-1][1] = day
+        else:
+            runs.append([day, day])
+    return [(first, last) for first, last in runs]

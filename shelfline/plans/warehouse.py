@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.functions import as_date, date_key
 from shelfline.operators.dims import calendar_days, dim_category, dim_channel, dim_date, dim_product, dim_product_attr, dim_sku, dim_store
-from shelfline.operators.facts import inventory_daily, sale_orders, sales_daily
+from shelfline.operators.facts import day_prints, inventory_daily, sale_orders, sales_daily
 from shelfline.operators.health import graded_health
 from shelfline.operators.reports import daily_report, sales_summary
-from shelfline.plans.refresh import days_to_load
+from shelfline.plans.refresh import changed_days, day_runs, days_to_load
 from shelfline.rules import RetailRules
 from shelfline.schema import align_schema, table_schema
 from shelfline.sources.sinks import overwrite_table, replace_days, replace_snapshot, stamp
@@ -30,7 +30,7 @@ def build_dims(t: Mapping[str, DataFrame], rules: RetailRules = RetailRules()) -
 def build_all(t: Mapping[str, DataFrame], as_of, rules: RetailRules = RetailRules()) -> dict[str, DataFrame]:
     """Every warehouse table from the source tables, without writing any.
 
-    Dimensions and facts stay lazy; grading checkpoints the mart rows once, so this call already runs that part.
+    All of them stay lazy; this call starts no job.
     """
     first = as_date(as_of) - timedelta(days=rules.long_window_days)
     out = build_dims(t, rules)
@@ -57,6 +57,30 @@ def backfill(
     return replace_days(aligned(fresh, "dws_sales_daily"), path, date_key(lo), date_key(hi))
 
 
+def reload_changed(
+    spark: SparkSession, t: Mapping[str, DataFrame], root: str, lo, hi, rules: RetailRules = RetailRules(),
+    loaded: tuple[int, int] | None = None,
+) -> list[int]:
+    """Compute the stored sales of those days in [lo, hi] again whose source lines changed since the last call; the days.
+
+    Late and corrected rows are found by the prints of the days, kept beside the facts in ``dws_sales_prints``. The prints
+    are read once, as one row per day; they are stored after the facts, so a run that breaks off is made up for by the
+    next. ``loaded`` names days that are fresh already.
+    """
+    path = f"{root.rstrip('/')}/dws_sales_prints"
+    rows = day_prints(t["retail"], t["item"], t["store"], t["product"], lo, hi, rules).collect()
+    current = spark.createDataFrame(rows, "date_id int, source_lines bigint, print decimal(38,0)")
+    known = spark.read.parquet(path) if _exists(spark, path) else current.limit(0)
+    between = known["date_id"].between(date_key(lo), date_key(hi))
+    moved = [r["date_id"] for r in changed_days(known.filter(between), current).collect()]
+    stale = [d for d in moved if loaded is None or not loaded[0] <= d <= loaded[1]]
+    for first, last in day_runs(stale):
+        backfill(t, root, first, last, rules)
+    if moved:
+        replace_days(current.coalesce(1), path, date_key(lo), date_key(hi), on_empty="clear")
+    return sorted(stale)
+
+
 def run_reports(
     spark: SparkSession, t: Mapping[str, DataFrame], root: str, lo, hi, rules: RetailRules = RetailRules()
 ) -> dict[str, DataFrame]:
@@ -87,8 +111,8 @@ def run_all(
 
     Tables are written layer by layer and read back, so the mart starts from pruned day partitions instead of the
     sources. Facts are partitioned by ``date_id``, the mart by ``snapshot_date``. ``days`` = (first, last) chooses the
-    sales days to load; without it they are the day itself, or the look-back window where stored days are missing. Every
-    table is brought to its published columns before it is written, and parts of different age are merged on reading.
+    sales days to load; without it they are the day itself, or the look-back window where stored days are missing, and
+    stored days of the window whose source lines have changed. Every table is brought to its published columns before it is written, and parts of different age are merged on reading.
     """
     root = root.rstrip("/")
 
@@ -107,6 +131,9 @@ def run_all(
     known = stored("dws_sales_daily") if _exists(spark, sales_path) else None
     lo, hi = days or days_to_load(known, as_of, rules)
     backfill(t, root, lo, hi, rules)
+    if days is None:
+        first = as_date(as_of) - timedelta(days=rules.long_window_days)
+        reload_changed(spark, t, root, first, as_of, rules, (date_key(lo), date_key(hi)))
 
     snapshot = inventory_daily(t["storage"], t["store"], t["product"], as_of, rules)
     replace_snapshot(aligned(snapshot, "dws_inventory_daily"), path("dws_inventory_daily"), date_key(as_of))

@@ -572,6 +572,15 @@ ORACLES: dict[str, str] = {
     "inventory_health": f"SELECT {MART_DOUBLES.replace('* REPLACE (', '* REPLACE (CAST(price_list AS DOUBLE) AS price_list, ')} FROM health",
     "stock_totals": "SELECT * FROM stock_side",
     "sales_totals": f"SELECT {MART_DOUBLES} FROM sales_side",
+    "sales_totals_moved": f"SELECT {MART_DOUBLES} FROM sales_side",
+    "sales_changed_days": f"""SELECT CAST(billdate AS INTEGER) AS date_id,
+        count(*) FILTER (WHERE NOT (qty = 37 AND product_id % 7 = 2)) AS lines_before, count(*) AS lines_now
+        FROM (SELECT id AS receipt, billdate, store_id FROM src_retail
+              WHERE isactive = 'Y' AND status = 2 AND billdate BETWEEN 19950101 AND {AS_OF_KEY})
+        JOIN (SELECT retail_id AS receipt, product_id, qty FROM src_item
+              WHERE sku_id IS NOT NULL AND product_id IN (SELECT id FROM src_product WHERE m_dim4_id IN {MAIN})) USING (receipt)
+        WHERE store_id IN (SELECT id FROM src_store WHERE {SALES_SCOPE})
+        GROUP BY 1 HAVING count(*) FILTER (WHERE qty = 37 AND product_id % 7 = 2) > 0""",
     "turnover": f"""SELECT *, {rnd("sales_qty_30d", "30", 2)} AS daily_avg_sales,
         {rnd("sales_qty_7d", "7", 2)} AS daily_avg_sales_7d,
         {rnd("30 * sales_qty_7d", "7 * sales_qty_30d", 2)} AS sales_velocity,

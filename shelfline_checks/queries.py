@@ -158,6 +158,23 @@ def _backfilled(w: Warehouse) -> DataFrame:
     )
 
 
+def _changed_days(w: Warehouse) -> DataFrame:
+    """Days whose sales have to be computed again after some lines came late."""
+    late = (F.col("qty") == 37) & (F.col("product_id") % 7 == 2)
+    prints = lambda item: facts.day_prints(w.retail(), item, w.store(), w.product(), FIRST_DAY, LAST_DAY)
+    return refresh.changed_days(prints(w.retail_item().filter(~late)), prints(w.retail_item()))
+
+
+def _moved_totals(w: Warehouse) -> DataFrame:
+    """The window totals of ten days ago, moved to the last day; one day in between is computed again in the meantime."""
+    before, day = AS_OF - timedelta(days=10), date_key(AS_OF - timedelta(days=20))
+    sales, store = w.sales(AS_OF - timedelta(days=41), AS_OF), w.dim_store()
+    stale = sales.withColumn("sales_qty", F.when(F.col("date_id") == day, F.col("sales_qty") + 5).otherwise(F.col("sales_qty")))
+    stored = health.window_totals(stale, store, before)
+    old, new = (x.filter(F.col("date_id") == day) for x in (stale, sales))
+    return health.moved_totals(stored, sales, store, before, AS_OF, replaced=(old, new)).drop("fact_rows")
+
+
 def _missing(w: Warehouse) -> DataFrame:
     """Days without sales over the whole history."""
     return facts.missing_dates(w.sales(), FIRST_DAY, LAST_DAY)
@@ -185,10 +202,12 @@ JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "sales_coverage": lambda w: facts.sales_coverage(w.sales(), *COVERAGE),
     "sales_missing_dates": _missing,
     "backfill_sales": _backfilled,
+    "sales_changed_days": _changed_days,
     # inventory-health mart
     "inventory_health": lambda w: w.health(),
     "stock_totals": lambda w: health.stock_totals(w.inventory(), w.dim_store(), AS_OF),
     "sales_totals": lambda w: health.sales_totals(w.recent_sales(), w.dim_store(), AS_OF),
+    "sales_totals_moved": _moved_totals,
     "turnover": lambda w: health.turnover_metrics(_sku_window(w)),
     "inventory_status": lambda w: health.stock_status(_sku_window(w)),
     "suggest_qty": lambda w: health.suggest_qty(_sku_window(w)),

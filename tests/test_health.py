@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
@@ -8,6 +8,7 @@ from conftest import values
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelfline.functions import as_date, date_key
 from shelfline.operators import health
 from shelfline.operators.prefix import exact_median, running_totals, sliced_totals
 
@@ -39,6 +40,28 @@ def test_windows_cover_31_and_8_days(frame, store):
     assert (row.sales_qty_30d, row.sales_qty_7d) == (4, 2)
 
 
+def test_moved_totals_equal_the_whole_window_for_ten_days(frame, store):
+    """Each day goes on from the one before; on the fifth, rows of an earlier day are computed again."""
+    days = [as_date(20260115) + timedelta(days=i) for i in range(60)]
+    rows = [(date_key(d), 2 + i % 3, 1, 10 + (i * j) % 7, j, D(j), i % 2, D(i)) for i, d in enumerate(days) for j in range(3)]
+    sales = frame(rows, SALES)
+    columns = ["product_id", "sku_id", "sales_qty_30d", "sales_amt_30d", "sales_qty_7d", "return_qty_30d", "return_amount_30d"]
+    stored = health.window_totals(sales, store, AS_OF)
+    assert values(stored, *columns) == values(health.sales_totals(sales, store, AS_OF), *columns)
+    for step in range(1, 11):
+        day, replaced = AS_OF + timedelta(days=step), None
+        if step == 5:
+            late = F.col("date_id") == 20260301
+            again = [*rows, (20260301, 3, 1, 99, 4, D(4), 0, D(0))]
+            fresh = frame(again, SALES)
+            replaced, sales = (sales.filter(late), fresh.filter(late)), fresh
+        moved = health.moved_totals(stored, sales, store, day - timedelta(days=1), day, replaced=replaced)
+        stored = frame([tuple(r) for r in moved.collect()], moved.schema)
+        assert values(stored, *columns) == values(health.sales_totals(sales, store, day), *columns), day
+    with pytest.raises(ValueError):
+        health.moved_totals(stored, sales, store, AS_OF, AS_OF - timedelta(days=1))
+
+
 def test_scopes_of_stock_and_sales_differ(frame, store):
     stock = frame([(20260305, s, 1, 10, 10 ** (s - 1), s) for s in range(1, 6)] + [(20260304, 1, 1, 10, 5, 5)], INVENTORY)
     row = health.stock_totals(stock, store, AS_OF).first()

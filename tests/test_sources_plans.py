@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from conftest import values
@@ -12,7 +13,8 @@ from shelfline_checks.queries import Warehouse
 from shelfline.operators.reports import daily_report, sales_summary
 from shelfline.plans.conf import recommended_conf
 from shelfline.operators.facts import sales_daily
-from shelfline.plans.warehouse import backfill, build_all, run_all, run_reports
+from shelfline.plans.refresh import changed_days, day_runs
+from shelfline.plans.warehouse import backfill, build_all, reload_changed, run_all, run_reports
 from shelfline.schema import align_schema, table_schema
 from shelfline.sources import readers, sinks
 
@@ -159,6 +161,44 @@ def test_late_rows_are_loaded_by_range(spark, tmp_path):
     assert {r for r in before if r[0] > 20010703} == {r for r in after if r[0] > 20010703}
 
 
+def test_one_changed_line_reloads_its_day_only(spark, tmp_path):
+    t = Sources(spark, FOLDER).all_sources()
+    root, lo, hi = str(tmp_path), 20010702, 20010801
+    first = reload_changed(spark, t, root, lo, hi)
+    facts = values(spark.read.parquet(f"{root}/dws_sales_daily").select("date_id", "m_productalias_id", "sales_amount"))
+    assert set(first) == {r[0] for r in facts} and reload_changed(spark, t, root, lo, hi) == []
+    headers = t["retail"].filter(F.col("billdate").between(lo, hi) & (F.col("status") == 2) & (F.col("isactive") == "Y"))
+    known = sales_daily(headers, t["item"], t["store"], t["product"], lo, hi).filter("sales_amount > 0").select("date_id", "m_productalias_id").first()
+    retail_id = headers.filter((F.col("billdate") == known.date_id) & (F.col("tot_amt_actual") > 0)).select("id")
+    line = (F.col("sku_id") == known.m_productalias_id) & F.col("retail_id").isin([r[0] for r in retail_id.collect()])
+    dearer = t["item"].withColumn("tot_amt_actual", F.when(line, F.col("tot_amt_actual") + 1).otherwise(F.col("tot_amt_actual")).cast("decimal(14,2)"))
+    changed = t | {"item": dearer}
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "dws_sales_daily").rglob("*.parquet")}
+    assert reload_changed(spark, changed, root, lo, hi) == [known.date_id]
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "dws_sales_daily").rglob("*.parquet")}
+    assert {f.parent.name for f in set(before.items()) ^ set(after.items()) for f in [f[0]]} == {f"date_id={known.date_id}"}
+    want = sales_daily(t["retail"], dearer, t["store"], t["product"], lo, hi)
+    got = spark.read.parquet(f"{root}/dws_sales_daily").select(*want.columns)
+    assert values(got) == values(want) and reload_changed(spark, changed, root, lo, hi) == []
+
+
+def test_changed_days(frame):
+    ddl = "date_id int, source_lines bigint, print decimal(38,0)"
+    seven, eight = Decimal(7), Decimal(8)
+    old = frame([(1, 3, seven), (2, 3, seven), (3, 3, seven), (4, 1, None)], ddl)
+    new = frame([(1, 3, seven), (2, 3, eight), (4, 1, None), (5, 2, eight)], ddl)
+    assert values(changed_days(old, new)) == {(2, 3, 3), (3, 3, 0), (5, 0, 2)}
+    assert values(changed_days(old.limit(0), new.limit(0))) == set()
+    assert day_runs([20260301, 20260228, 20260305, 20260227]) == [(20260227, 20260301), (20260305, 20260305)] and day_runs([]) == []
+
+
+def test_build_all_starts_no_job(spark):
+    t = Sources(spark, FOLDER).all_sources()
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    build_all(t, AS_OF)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
 def test_old_tables_gain_columns(spark, tmp_path):
     t = Sources(spark, FOLDER).all_sources()
     root = str(tmp_path)
