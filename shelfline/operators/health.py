@@ -68,7 +68,8 @@ def window_totals(sales: DataFrame, store: DataFrame, as_of, rules: RetailRules
     """``sales_totals`` with the number of fact rows behind each SKU, in the form that ``moved_totals`` goes on from."""
     day = as_date(as_of) - timedelta(days=rules.long_window_days + 1)
     none = sales_totals(sales.limit(0), store, day, rules).withColumn("fact_rows", F.lit(0).cast("long"))
-    return moved_totals(none, sales, store, day, as_of, rules)
+    inside = F.col("date_id").between(date_key(day + timedelta(days=1)), date_key(as_of))
+    return moved_totals(none, sales.filter(inside), store, day, as_of, rules)
 
 
 def moved_totals(
