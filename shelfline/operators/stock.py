@@ -18,12 +18,21 @@ def _on_order() -> Column:
     return F.col("qtypurchaserem")
 
 
-def stock_overview(report: DataFrame) -> DataFrame:
-    return report.agg(
+def _per_pair(df: DataFrame, *sums: str) -> DataFrame:
+    """Rows, active rows and sums of each product and store, so that distinct counts meet one row per pair."""
+    return df.groupBy("product_id", "store_id").agg(
         F.count(F.lit(1)).alias("total_rows"),
+        count_when(F.col("isactive") == "Y").alias("active_rows"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
+
+
+def stock_overview(report: DataFrame) -> DataFrame:
+    return _per_pair(report, "qty", "qtypurchaserem").agg(
+        F.coalesce(F.sum("total_rows"), F.lit(0)).alias("total_rows"),
         F.count_distinct("product_id").alias("products"),
         F.count_distinct("store_id").alias("stores"),
-        count_when(F.col("isactive") == "Y").alias("active_rows"),
+        F.coalesce(F.sum("active_rows"), F.lit(0)).alias("active_rows"),
         F.sum("qty").alias("total_qty"),
         F.sum(_on_order()).alias("total_on_order"),
     )
@@ -170,9 +179,9 @@ def stock_source_compare(sources: Mapping[str, DataFrame]) -> DataFrame:
     """One row per stock source: active rows, products, stores, stock."""
     return stack_rows(
         [
-            active(df)
+            _per_pair(active(df), "qty")
             .agg(
-                F.count(F.lit(1)).alias("total_rows"),
+                F.coalesce(F.sum("total_rows"), F.lit(0)).alias("total_rows"),
                 F.count_distinct("product_id").alias("products"),
                 F.count_distinct("store_id").alias("stores"),
                 F.sum("qty").cast("decimal(28,4)").alias("total_qty"),
