@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import ROW, checkpointed
+from shelfline.llm.common import checkpointed
 
 #: (verdict, host, path): a rule fits its host and all subdomains, where the path starts with its path; the longest fits best.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -50,11 +50,19 @@ def spelled(url: F.Column) -> F.Column:
     return F.regexp_replace(F.regexp_replace(rest, "[0-9]+", "0"), "[^a-z0/.-]", "?")
 
 
+def symbols(spelled: F.Column) -> F.Column:
+    """Numbers of the symbols of a spelled URL and a 0 for its end; one pass over its characters."""
+    return F.transform(F.split(F.concat(spelled, F.lit(" ")), ""), lambda c: F.instr(F.lit(LETTERS), c))
+
+
 def with_grams(urls: DataFrame) -> DataFrame:
-    """One row per symbol of the column `spelled` and one for its end: `gram` holds the symbol and its ORDER predecessors."""
-    code = " + ".join(f"{SYMBOLS**j} * instr('{LETTERS}', substring(padded, i - {j}, 1))" for j in range(ORDER, -1, -1))
-    rows = urls.withColumn("padded", F.concat(F.lit(" " * ORDER), F.col("spelled"), F.lit(" ")))
-    return rows.withColumn("gram", F.explode(F.expr(f"transform(sequence({ORDER + 1}, length(padded)), i -> {code})"))).drop("padded", "spelled")
+    """One row per symbol of the column `spelled` and one for its end: `gram` holds the symbol and its ORDER predecessors.
+
+    The predecessors are read from an array by position, so a URL of any length takes time in proportion to it.
+    """
+    rows = urls.withColumn("padded", F.concat(F.array_repeat(F.lit(0), ORDER), symbols(F.col("spelled"))))
+    code = lambda i: reduce(lambda high, j: high * SYMBOLS + F.get("padded", i - j), range(ORDER - 1, -1, -1), F.get("padded", i - ORDER))
+    return rows.select(*(c for c in urls.columns if c != "spelled"), F.explode(F.transform(F.sequence(F.lit(ORDER), F.size("padded") - 1), code)).alias("gram"))
 
 
 def gram_weights(counts: DataFrame) -> DataFrame:
@@ -80,6 +88,27 @@ def gram_weights(counts: DataFrame) -> DataFrame:
     return lower.select(F.col("g").alias("gram"), weight.alias("weight"))
 
 
+def weight_table(weights: DataFrame) -> DataFrame:
+    """One row, `weights`: the weight of every gram at the place of its number, 0 where it was not seen. SYMBOLS^(ORDER+1) entries."""
+    every = weights.sparkSession.range(SYMBOLS ** (ORDER + 1)).withColumnRenamed("id", "gram").join(weights, "gram", "left")
+    rows = F.array_sort(F.collect_list(F.struct("gram", F.coalesce(F.col("weight").cast("int"), F.lit(0)).alias("weight"))))
+    return every.agg(F.transform(rows, lambda x: x["weight"]).alias("weights"))
+
+
+def mean_weight() -> F.Column:
+    """Mean weight of all grams of the column `spelled`, rounded down, by one pass that keeps the last gram; reads the column `weights`.
+
+    Both columns are named once, so Spark folds them into this expression and copies the table into no row.
+    """
+    start = F.struct(F.lit(0).alias("gram"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"))
+
+    def step(seen: F.Column, symbol: F.Column) -> F.Column:
+        gram = seen["gram"] % SYMBOLS**ORDER * SYMBOLS + symbol
+        return F.struct(gram.alias("gram"), (seen["n"] + 1).alias("n"), (seen["total"] + F.get("weights", gram)).alias("total"))
+
+    return F.aggregate(symbols(F.col("spelled")), start, step, lambda seen: F.floor(seen["total"] / seen["n"]))
+
+
 def threshold(scored: DataFrame) -> DataFrame:
     """One row: the score as many deviations below the mean of accepted as above that of rejected held-out URLs; 0 lacking either."""
     square = F.sum((F.col("score") * F.col("score")).cast("decimal(38,0)")).cast("double")
@@ -93,19 +122,19 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """One row per input row: page_id, host, path, rule, verdict, score (millionths of a nat per symbol), threshold.
 
     Where no rule fits, the verdict is allow from the threshold on. NULL or a URL without :// has empty host and path and is
-    judged by its characters; repeated rows stay; an empty table gives no rows. Only the weights are broadcast: at most
-    SYMBOLS^(ORDER+1) entries of 16 bytes, however many URLs there are.
+    judged by its characters; repeated rows stay; an empty table gives no rows. Each URL is scored in its own row, without a
+    shuffle, in time that grows with its length. Only the weights are sent to the tasks: SYMBOLS^(ORDER+1) whole numbers,
+    however many URLs there are.
     """
     rule, verdict = best_rule(rules)
     url = F.col(url_col)
-    urls = pages.select(F.monotonically_increasing_id().alias(ROW), F.col(id_col).alias("page_id"), host(url).alias("host"), path(url).alias("path"), spelled(url).alias("spelled"))
+    urls = pages.select(F.col(id_col).alias("page_id"), host(url).alias("host"), path(url).alias("path"), spelled(url).alias("spelled"))
     urls = urls.withColumn("rule", rule).withColumn("by_rule", verdict)
     urls = urls.withColumn("held", F.col("by_rule").isNotNull() & (F.md5(F.col("spelled").cast("binary")) < HELD))
     seen = with_grams(urls.select("spelled", F.when(~F.col("held"), F.col("by_rule")).alias("label")))
     counts = seen.groupBy("gram").agg(F.count_if(F.col("label") == "allow").alias("allow"), F.count_if(F.col("label") == "block").alias("block"))
-    weights = gram_weights(checkpointed(counts))
-    scored = with_grams(urls).join(F.broadcast(weights), "gram").groupBy(ROW, "page_id", "host", "path", "rule", "by_rule", "held")
-    scored = scored.agg(F.floor(F.sum("weight") / F.count("weight")).alias("score"))
+    table = weight_table(gram_weights(checkpointed(counts))).scalar()
+    scored = urls.withColumn("weights", table).select("page_id", "host", "path", "rule", "by_rule", "held", mean_weight().alias("score"))
     limit = threshold(scored).scalar()
     by_score = F.when(F.col("score") >= F.col("threshold"), "allow").otherwise("block")
     return scored.withColumn("threshold", limit).select("page_id", "host", "path", "rule", F.coalesce("by_rule", by_score).alias("verdict"), "score", "threshold")

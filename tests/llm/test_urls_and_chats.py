@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import math
+import random
+import re
+import time
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 from shelfline.llm import chat_format, url_filter
 
 
@@ -30,6 +38,36 @@ def test_models_tell_accepted_from_rejected(spark):
     assert got[1000] == "allow" and got[1001] == "block"
 
 
+def test_grams_and_scores_equal_brute_force(spark):
+    rnd = random.Random(5)
+    urls = ["", "a", *("".join(rnd.choice("ab./-09?Zé") for _ in range(rnd.randint(1, 40))) for _ in range(60))]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").select("url", url_filter.spelled(F.col("url")).alias("spelled"))
+    size, order = url_filter.SYMBOLS, url_filter.ORDER
+
+    def grams(text):
+        numbers = [0] * order + [url_filter.LETTERS.find(c) + 1 for c in text] + [0]
+        return [sum(numbers[i - j] * size**j for j in range(order + 1)) for i in range(order, len(numbers))]
+
+    spelled = [r["spelled"] for r in rows.collect()]
+    assert Counter(r["gram"] for r in url_filter.with_grams(rows).collect()) == Counter(g for t in spelled for g in grams(t))
+    weights = {g: rnd.randint(-5_000_000, 5_000_000) for t in spelled for g in grams(t) if g % 3}
+    table = url_filter.weight_table(spark.createDataFrame(list(weights.items()), "gram long, weight long")).scalar()
+    got = rows.withColumn("weights", table).select(url_filter.mean_weight().alias("score"))
+    assert [r["score"] for r in got.collect()] == [math.floor(sum(weights.get(g, 0) for g in grams(t)) / len(grams(t))) for t in spelled]
+
+
+def test_very_long_urls_take_linear_time_and_the_table_stays_out_of_the_rows(spark):
+    rows = [(i, f"http://site{i}.org/fr/article-{i}/read") for i in range(20)] + [(20 + i, f"http://x{i}.net/win-cash-{i}.exe") for i in range(20)]
+    rows += [(100, "http://site.com/" + "article/read-" * 80_000), (101, "http://site.com/" + "win.cash.exe" * 80_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    began = time.perf_counter()
+    judged = url_filter.judge_urls(pages)
+    got = {r["page_id"]: r["verdict"] for r in judged.collect()}
+    assert got[100] == "allow" and got[101] == "block" and time.perf_counter() - began < 60
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Project \[[^\n]*scalar-subquery#\d+ \[[^\n]*\] AS weights", plan)
+
+
 def test_preferences(spark):
     ddl = "conv_id long, turn long, role string, text string, prompt string"
     good = [(1, 0, "user", "hi", ""), (1, 1, "assistant", "yes", ""), (2, 0, "user", "a", ""), (3, 0, "user", None, ""), (3, 1, None, "x", ""), (4, 0, "user", "q", ""), (None, 0, "user", "lost", ""), (5, 0, "user", "only", "")]
