@@ -13,9 +13,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm.common import checkpointed
+
 TOKEN = re.compile(r"\w+")
-#: Bounds of what the model is fitted on and of its size; both are broadcast.
-MAX_LABELS, MAX_TOKENS = 1 << 17, 1 << 16
+#: Bound of the labelled rows that the model is fitted on; they are broadcast, and so are its tokens, each seen in several of them.
+MAX_LABELS = 1 << 17
 #: Weight of the Dirichlet prior as a share of all observations, and the least |z| of a token that the model keeps.
 PRIOR, LEAST_Z = 0.1, 2.5
 THRESHOLD = 0.7
@@ -34,7 +36,8 @@ class Model:
     def segments(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of tokens, and all maximal scoring segments (first token, end token, score) by one pass of Ruzzo and Tompa.
 
-        Tokens outside the model share one negative score, so runs of them only move the running sum.
+        Tokens outside the model share one negative score, so runs of them only move the running sum. Each segment points to
+        the nearest earlier one that begins at a lower sum, so the search skips what it has passed and the scan stays linear.
         """
         tokens = TOKEN.findall(text.lower())
         weights, found = self.weights, []
@@ -45,17 +48,15 @@ class Model:
             left, total = total, total + w
             if w <= 0:
                 continue
-            first = i
-            while True:
-                j = len(found) - 1
-                while j >= 0 and found[j][2] >= left:
-                    j -= 1
-                if j < 0 or found[j][3] >= total:
-                    found.append((first, i + 1, left, total))
-                    break
-                first, left = found[j][0], found[j][2]
-                del found[j:]
-        return len(tokens), [(a, b, right - left) for a, b, left, right in found]
+            first, lower = i, len(found) - 1
+            while lower >= 0 and found[lower][2] >= left:
+                lower = found[lower][4]
+            while lower >= 0 and found[lower][3] < total:
+                first, left, below = found[lower][0], found[lower][2], found[lower][4]
+                del found[lower:]
+                lower = below
+            found.append((first, i + 1, left, total, lower))
+        return len(tokens), [(a, b, right - left) for a, b, left, right, _ in found]
 
     def evidence(self, n: int, scores: list[float]) -> float:
         """-ln of the p-value that a clean text of n tokens holds such segments: the least over the r best of the sum statistic."""
@@ -120,21 +121,20 @@ def log_odds(counts: DataFrame) -> Model:
     z = delta / F.sqrt(1 / a + 1 / b)
     kept = counts.select("token", (a / (n1 + prior)).alias("p1"), (b / (n0 + prior)).alias("p0"), z.alias("z")).filter(F.abs("z") >= LEAST_Z)
     kept = kept.withColumn("weight", F.log(F.col("p1") / F.col("p0")) * (1 - 1 / F.abs("z")))
-    rows = kept.orderBy(F.abs("z").desc(), "token").limit(MAX_TOKENS).collect()
+    rows = kept.orderBy("token").collect()
     p1, p0 = sum(r["p1"] for r in rows), sum(r["p0"] for r in rows)
     other = math.log(max(1 - p1, 1e-9) / max(1 - p0, 1e-9))
     return Model({r["token"]: r["weight"] for r in rows}, min(other, -1e-4))
 
 
-def calibrated(model: Model, n: np.ndarray, scores: list[list[float]], toxic: np.ndarray) -> Model:
-    """Fits K of the extreme-value distribution on clean texts, then label odds as a logistic function of log(1 + evidence)."""
-    top = np.array([max(s, default=0.0) for s in scores])
-    clean = toxic == 0
-    if not clean.any() or clean.all():
-        return model
-    model.k = float(clean.sum() / max((n * np.exp(-top))[clean].sum(), 1e-9))
-    t = np.array([model.evidence(int(a), s) for a, s in zip(n, scores, strict=True)])
-    x = np.stack([np.ones_like(t), np.log1p(t)], 1)
+def extreme_value_rate(n: np.ndarray, top: np.ndarray, clean: np.ndarray) -> float:
+    """K of the extreme-value distribution, from token counts and best segment scores of the clean texts."""
+    return float(clean.sum() / max((n * np.exp(-top))[clean].sum(), 1e-9))
+
+
+def logistic(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+    """Bias and slope (at least 0) of the label odds as a logistic function of log(1 + evidence)."""
+    x = np.stack([np.ones_like(evidence), np.log1p(evidence)], 1)
     w, ridge = np.zeros(2), np.array([1e-3, 1e-2])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -142,14 +142,14 @@ def calibrated(model: Model, n: np.ndarray, scores: list[list[float]], toxic: np
         w = w + np.clip(step, -2, 2)
         if abs(step).max() < 1e-9:
             break
-    model.bias, model.slope = float(w[0]), float(max(w[1], 0.0))
-    return model
+    return float(w[0]), float(max(w[1], 0.0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Log-odds from one half of the training rows, calibration from the other; starts Spark jobs.
 
-    Without labels of both kinds every text gets the score 0.5.
+    Without labels of both kinds every text gets the score 0.5. The segment scores of the calibration texts stay in the
+    checkpoint folder; the driver takes two numbers of each text, of at most MAX_LABELS.
     """
     rows = training_rows(docs, labels, id_col, text_col, label_col)
     model = log_odds(token_counts(rows.filter("fold = 0")))
@@ -161,8 +161,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             found = [model.segments(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([n for n, _ in found], pa.int64()), pa.array([[s for *_, s in x] for _, x in found], pa.list_(pa.float64()))], ["toxic", "n", "scores"])
 
-    seen = rows.filter("fold = 2").select("toxic", "text").mapInArrow(scan, "toxic int, n long, scores array<double>").toPandas()
-    return calibrated(model, seen["n"].to_numpy(), [list(s) for s in seen["scores"]], (seen["toxic"].to_numpy() > 0).astype(float))
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            evidence = [model.evidence(n, s) for n, s in zip(batch.column("n").to_pylist(), batch.column("scores").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(evidence, pa.float64())], ["toxic", "evidence"])
+
+    seen = checkpointed(rows.filter("fold = 2").select("toxic", "text").mapInArrow(scan, "toxic int, n long, scores array<double>"))
+    best = seen.select("toxic", "n", F.coalesce(F.array_max("scores"), F.lit(0.0)).alias("top")).toPandas()
+    clean = best["toxic"].to_numpy() == 0
+    if clean.any() and not clean.all():
+        model.k = extreme_value_rate(best["n"].to_numpy(), best["top"].to_numpy(), clean)
+        judged = seen.mapInArrow(weigh, "toxic int, evidence double").toPandas()
+        model.bias, model.slope = logistic(judged["evidence"].to_numpy(), (judged["toxic"].to_numpy() > 0).astype(float))
+    return model
 
 
 def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

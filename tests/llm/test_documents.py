@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import time
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -369,6 +372,34 @@ def test_segments_are_all_maximal():
         assert [(a, b) for a, b, _ in found] == best_segments([weights.get(t, model.other) for t in tokens])
 
 
+def test_segments_of_very_long_texts_take_linear_time():
+    """Rising sums that never merge, and one listed token among many others, keep every segment; 10^6 tokens take seconds."""
+    model = toxicity.Model({"bad": 1.0, "good": -0.9}, -0.02)
+
+    def seconds(text):
+        began = time.perf_counter()
+        n, found = model.segments(text)
+        assert n == len(text.split()) and found
+        return time.perf_counter() - began
+
+    for phrase in ("bad good ", "bad " + "word " * 60, "bad good good "):
+        repeats = 500_000 // len(phrase.split())
+        short = min(seconds(phrase * repeats) for _ in range(2))
+        assert seconds(phrase * repeats * 2) < 4 * short + 0.5 and short < 10
+
+
+def test_evidence_follows_the_extreme_value_distribution():
+    model = toxicity.Model({"bad": 1.0}, k=0.5)
+    for n, s in ((10, 4.0), (1000, 9.0), (50, 3.0)):
+        assert math.isclose(model.evidence(n, [s]), -math.log(1 - math.exp(-0.5 * n * math.exp(-s))), rel_tol=1e-9)
+    assert model.evidence(0, []) == 0.0 and model.evidence(100, [8.0, 7.0]) > model.evidence(100, [8.0]) > model.evidence(10_000, [8.0])
+    top, n, clean = np.array([1.0, 2.0, 9.0]), np.array([10, 20, 30]), np.array([True, True, False])
+    assert math.isclose(toxicity.extreme_value_rate(n, top, clean), 2 / (10 * math.exp(-1) + 20 * math.exp(-2)))
+    evidence, label = np.array([0.0] * 50 + [20.0] * 50), np.array([0.0] * 49 + [1.0] * 51)
+    bias, slope = toxicity.logistic(evidence, label)
+    assert slope > 0 and 1 / (1 + math.exp(-bias)) < 0.1 < 0.9 < 1 / (1 + math.exp(-bias - slope * math.log1p(20)))
+
+
 def test_toxicity_finds_held_out_texts(spark, docs, empty):
     rnd = random.Random(6)
     rows, labels = [], []
