@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +50,20 @@ def read_parquet(spark: SparkSession, root: str, tables: Iterable[str]) -> dict[
     return {name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in tables}
 
 
+def read_bucketed(spark: SparkSession, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The table that ``write_bucketed`` left at ``path``; a session whose catalog does not know it declares it again.
+
+    A bucket is read by one task. Where one key holds a large share of the rows, read the same files with
+    ``read_parquet`` instead: they are then split by size, and the join shuffles and splits the hot key.
+    """
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        by = ", ".join(f"`{k}`" for k in keys)
+        order = f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {int(buckets)} BUCKETS"
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {order} LOCATION '{path}'")
+    return spark.table(table)
+
+
 def jdbc_options(
     url: str, table: str, *, user: str | None = None, password: str | None = None, driver: str | None = None,
     partition_column: str | None = None, lower: object = None, upper: object = None, partitions: int | None = None,

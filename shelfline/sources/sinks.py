@@ -1,7 +1,9 @@
-"""Writers of the warehouse tables: full overwrite, replacement of a range of days, CSV export."""
+"""Writers of the warehouse tables: full overwrite, replacement of a range of days, buckets, CSV export."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +85,17 @@ def replace_snapshot(df: DataFrame, path: str, day, column: str = "date_id", on_
     return replace_days(df, path, day, day, column, on_empty)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Replace the table at ``path`` by files dealt out to ``buckets`` by the hash of ``keys``.
+
+    Two tables with equal keys and numbers of buckets join or group on the keys without an exchange (``read_bucketed``).
+    One exchange here places each bucket in one file; the keys are laid down sorted, so a merge join may skip its sort.
+    """
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+
+
 def export_csv(df: DataFrame, path: str, bom: bool = True, files: int | None = None) -> None:
     """CSV with header. With ``bom`` the header starts with U+FEFF in every part file, which spreadsheet programs expect;
     ``files`` sets the number of part files (by default one per partition)."""

@@ -934,6 +934,19 @@ CTES["order_lines"] = f"""
           WHERE sku_id IS NOT NULL AND product_id IN (SELECT id FROM src_product WHERE m_dim4_id IN {MAIN})) USING (receipt)
     JOIN (SELECT id AS store_id, code FROM src_store WHERE {SALES_SCOPE}) USING (store_id)"""
 
+# The stored forms give the rows of the jobs that they store.
+ORACLES |= {
+    "stored_overwrite": ORACLES["dim_store"],
+    "stored_replace_days": ORACLES["replace_date_range"],
+    "stored_snapshot": ORACLES["replace_snapshot"],
+    "stored_csv": ORACLES["dim_sku"],
+    "stored_migration": f"""SELECT * REPLACE (CASE WHEN date_id >= {LO} THEN return_qty END AS return_qty,
+        CASE WHEN date_id >= {LO} THEN return_amount END AS return_amount) FROM ({ORACLES["sales_daily"]})""",
+    "stored_backfill": f"SELECT {FACT_DOUBLES} FROM dws_sales_range",
+    "stored_run_all": ORACLES["sabc_grade"],
+    "bucketed_sales": ORACLES["sales_daily"],
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in ORACLES.items()}

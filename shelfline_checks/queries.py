@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,9 @@ from pyspark.sql import types as T
 from shelfline_checks.adapter import AS_OF, Sources, view
 from shelfline.functions import date_key
 from shelfline.operators import dims, facts, health, purchase, quality, reports, stock, transfer
-from shelfline.plans import refresh
+from shelfline.plans import refresh, warehouse
+from shelfline.schema import align_schema
+from shelfline.sources import readers, sinks
 
 FIRST_DAY, LAST_DAY = date(1995, 1, 1), AS_OF
 WINDOW_START = AS_OF - timedelta(days=30)
@@ -175,6 +178,86 @@ def _moved_totals(w: Warehouse) -> DataFrame:
     return health.moved_totals(stored, sales, store, before, AS_OF, replaced=(old, new)).drop("fact_rows")
 
 
+def _folder(w: Warehouse) -> str:
+    """A new folder for a stored table: below spark.checkpoint.dir, or in the session's warehouse where that is unset."""
+    shared = w.spark.conf.get("spark.checkpoint.dir", None) or f"{w.spark.conf.get('spark.sql.warehouse.dir')}/_stored"
+    return f"{shared}/stored-{uuid4().hex}"
+
+
+def _stored_store(w: Warehouse) -> DataFrame:
+    """An older store table of other columns is overwritten; an empty extract that comes later leaves it as it is."""
+    path = f"{_folder(w)}/dim_store"
+    sinks.overwrite_table(w.dim_store().select("store_id", F.lit(0).alias("old_flag")), path)
+    sinks.overwrite_table(w.dim_store(), path)
+    sinks.overwrite_table(w.dim_store().limit(0), path, "keep")
+    return w.spark.read.parquet(path)
+
+
+def _stored_range(w: Warehouse) -> DataFrame:
+    """The stored form of ``_replaced_range``: the facts by day, then the days of one range replaced."""
+    lo, hi = REFRESH
+    path = f"{_folder(w)}/dws_sales_daily"
+    sinks.replace_days(w.sales(), path, date_key(FIRST_DAY), date_key(LAST_DAY))
+    fresh = w.sales(lo, hi).withColumn("sales_qty", F.col("sales_qty") + 1)
+    sinks.replace_days(fresh, path, date_key(lo), date_key(hi))
+    sinks.replace_days(fresh.limit(0), path, date_key(FIRST_DAY), date_key(LAST_DAY))
+    return w.spark.read.parquet(path)
+
+
+def _stored_snapshot(w: Warehouse) -> DataFrame:
+    """The stored form of ``_replaced_snapshot``; the first day is appended to the table."""
+    path, today = f"{_folder(w)}/dws_inventory_daily", w.inventory()
+    sinks.replace_snapshot(today, path, date_key(AS_OF))
+    before = today.withColumn("date_id", F.lit(date_key(AS_OF - timedelta(days=1))))
+    before.write.mode("append").partitionBy("date_id").parquet(path)
+    sinks.replace_snapshot(today.withColumn("qty", F.col("qty") + F.col("qtypurchaserem")), path, date_key(AS_OF))
+    return w.spark.read.parquet(path)
+
+
+def _stored_csv(w: Warehouse) -> DataFrame:
+    """SKUs exported as CSV with a byte order mark and read again; their texts are never NULL, so empty ones are read as such."""
+    path, sku = f"{_folder(w)}/dim_sku", w.dim_sku()
+    sinks.export_csv(sku, path)
+    text = w.spark.read.option("header", True).option("encoding", "UTF-8").option("nullValue", "\\N").csv(path)
+    return text.toDF(*(c.lstrip(sinks.BYTE_ORDER_MARK) for c in text.columns)).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in sku.schema.fields]
+    )
+
+
+def _stored_migration(w: Warehouse) -> DataFrame:
+    """Days stored before the table had return columns, and later days with them, read as one table."""
+    path, late = f"{_folder(w)}/dws_sales_daily", F.col("date_id") >= date_key(REFRESH[0])
+    old = w.sales().filter(~late).drop("return_qty", "return_amount")
+    old.write.partitionBy("date_id").parquet(path)
+    w.sales().filter(late).write.mode("append").partitionBy("date_id").parquet(path)
+    return align_schema(w.spark.read.option("mergeSchema", "true").parquet(path), w.sales().schema)
+
+
+def _stored_backfill(w: Warehouse) -> DataFrame:
+    """Days stored before half of their documents had come, then computed again from the stored job's sources."""
+    lo, hi, root, t = *REFRESH, _folder(w), w.all_sources()
+    partly = t | {"retail": t["retail"].filter(F.col("id") % 2 == 0)}
+    warehouse.backfill(partly, root, lo, hi)
+    warehouse.backfill(t, root, lo, hi)
+    return w.spark.read.parquet(f"{root}/dws_sales_daily").select(*w.sales().columns)
+
+
+def _run_all(w: Warehouse) -> DataFrame:
+    """The mart of the stored pipeline, every table written and read again, without its load stamps."""
+    stored = warehouse.run_all(w.spark, w.all_sources(), _folder(w), AS_OF)["ads_inventory_health"]
+    return stored.select(*w.graded().columns)
+
+
+def _bucketed_sales(w: Warehouse) -> DataFrame:
+    """Sales from headers and lines that are stored in buckets of the header id, so that their join moves no row."""
+    buckets, made = max(w.spark.sparkContext.defaultParallelism, 8), {}
+    for name, df, key in (("header", w.retail(), "id"), ("line", w.retail_item(), "retail_id")):
+        place = (f"bucketed_{name}_{uuid4().hex}", f"{_folder(w)}/{name}", [key], buckets)
+        sinks.write_bucketed(df, *place)
+        made[name] = readers.read_bucketed(w.spark, *place)
+    return facts.sales_daily(made["header"], made["line"], w.store(), w.product(), FIRST_DAY, LAST_DAY)
+
+
 def _missing(w: Warehouse) -> DataFrame:
     """Days without sales over the whole history."""
     return facts.missing_dates(w.sales(), FIRST_DAY, LAST_DAY)
@@ -198,6 +281,14 @@ JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "inventory_daily": lambda w: w.inventory(),
     "sales_daily_net": lambda w: facts.with_net(w.sales()),
     "replace_date_range": _replaced_range,
+    "stored_overwrite": _stored_store,
+    "stored_replace_days": _stored_range,
+    "stored_snapshot": _stored_snapshot,
+    "stored_csv": _stored_csv,
+    "stored_migration": _stored_migration,
+    "stored_backfill": _stored_backfill,
+    "stored_run_all": _run_all,
+    "bucketed_sales": _bucketed_sales,
     "replace_snapshot": _replaced_snapshot,
     "sales_coverage": lambda w: facts.sales_coverage(w.sales(), *COVERAGE),
     "sales_missing_dates": _missing,

@@ -91,6 +91,34 @@ def test_stamps_only_in_sinks(frame):
     assert sinks.stamp(out, "dim_product").columns == out.columns
 
 
+def test_bucketed_tables_join_without_an_exchange(spark, frame, tmp_path):
+    """Headers and lines in equal buckets: no exchange below the join, in this session or one that has to declare them again."""
+    sources = Sources(spark, FOLDER)
+    want = sales_daily(sources.retail(), sources.retail_item(), sources.store(), sources.product(), 19950101, 20010801)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        places = [(f"b_{n}", str(tmp_path / n), [k], 6) for n, k in (("header", "id"), ("line", "retail_id"))]
+        for df, place in zip((sources.retail(), sources.retail_item()), places, strict=True):
+            sinks.write_bucketed(df, *place)
+            sinks.write_bucketed(df, *place)  # replaces, does not add
+        for declared in (True, False):
+            if not declared:
+                for table, *_ in places:
+                    spark.sql(f"DROP TABLE {table}")
+            header, line = (readers.read_bucketed(spark, *place) for place in places)
+            got = sales_daily(header, line, sources.store(), sources.product(), 19950101, 20010801)
+            assert values(got) == values(want) and got.count() == want.count()
+            joined = line.join(header.withColumnRenamed("id", "retail_id"), "retail_id")
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            # Lines stay where they are. Headers move, as without broadcasts their store filter has dealt them out by store.
+            moved = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(retail_id#") for df in (got, want)]
+            assert moved[0] < moved[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_export_csv(spark, frame, tmp_path):
     path = str(tmp_path / "out")
     df = frame([(1, "滞销"), (2, "a,b")], "id int, label string")
