@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows from a table in the shared folder: no lineage, and a size that Spark knows when it picks a join."""
+    path = f"{shared_folder(df.sparkSession)}/written-{uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import ROW, keyed
+from shelfline.llm.common import ROW, keyed, written
 
 #: Quotients of one slice: a slice holds the runs of this many neighbouring quotients.
 SLICE = 8
@@ -78,16 +78,18 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Texts are equal when their bytes are. Of equal texts the row with the largest doc_id stays; a NULL doc_id is the smallest,
     and of rows that repeat doc_id and text exactly one stays. NULL text is empty. An empty table gives no rows.
     Each partition's filter holds one counter per distinct fingerprint, so a group of copies of any size is one entry of it, and
-    its texts meet in a grouping that combines before the shuffle.
+    its texts meet in a grouping that combines before the shuffle. The repeated fingerprints are written, so their size is
+    known: while Spark may broadcast them, the filter goes below the grouping and no other text moves; beyond that size it
+    meets grouped rows, in which a group of copies is one.
     """
     base = keyed(docs, id_col, text_col).withColumn("fp", F.xxhash64("text")).withColumn("text_sha256", F.sha2("text", 256))
     bits = filter_bits(docs.count())
-    repeated = repeated_fingerprints(quotient_filters(base.select("fp"), bits), bits)
+    repeated = written(repeated_fingerprints(quotient_filters(base.select("fp"), bits), bits))
     order = F.coalesce("doc_id", F.lit(-(1 << 63)))
     classes = (
-        base.join(repeated, "fp", "left_semi")
-        .groupBy("fp", "text")
+        base.groupBy("fp", "text")
         .agg(F.max("doc_id").alias("keep_id"), F.max_by(ROW, order).alias("keep_row"), F.count(F.lit(1)).alias("group_size"))
+        .join(repeated, "fp", "left_semi")
         .select(F.sha2("text", 256).alias("text_sha256"), "keep_id", "keep_row", "group_size")
     )
     return base.drop("text", "fp").join(classes, "text_sha256", "left").select(
