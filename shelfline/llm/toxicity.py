@@ -196,3 +196,10 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(scores, pa.float64()), pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()), pa.array(passages, kind)], [*names, "score", "predicted", "passages"])
 
     return docs.select(*(F.col(f"`{c}`") for c in names)).mapInArrow(scan, f"{kinds}, score double, predicted int, passages array<struct<first: bigint, end: bigint, score: double>>")
+
+
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that are not predicted toxic, with all their columns, those named like a score's too."""
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    kept = score_texts(plain, model, f"c{docs.columns.index(text_col)}").filter("predicted = 0")
+    return kept.drop("score", "predicted", "passages").toDF(*docs.columns)

@@ -7,7 +7,7 @@ import math
 import random
 import re
 import time
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -494,3 +494,69 @@ def test_pipeline_stages(spark, tmp_path):
     assert seen[2] == clean - {3, 101}
     assert seen[3] == clean - {3, 101, 102} == seen[4]
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()} == seen[4]
+
+
+CLASHING = ["score", "predicted", "passages", "fp", "key", "root", "component_id", "kept", "item_id", "seeds"]
+
+
+def edge_corpus(spark, folder: str, rows: list[tuple], labels: list[tuple], items: list[tuple]):
+    """The pipeline's tables from (doc_id, text) rows; documents carry columns named like those the operators make."""
+    ddl = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
+    full = [(i, t, "en", None if n % 5 == 0 else f"s{n % 4}", len(t or ""), *(f"{c}{i}" for c in CLASHING)) for n, (i, t) in enumerate(rows)]
+    spark.createDataFrame(full, ddl).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def stage_tables(spark, folder: str) -> dict[str, Counter]:
+    """The rows (doc_id, text) that each stage leaves; the columns of documents have to come through it unchanged."""
+    kept, seen = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, kept, folder)
+        out.write.parquet(f"{folder}/{name}")
+        if name == "best_fit_packing":
+            seen[name] = Counter((r["doc_id"], r["length"]) for r in spark.read.parquet(f"{folder}/{name}").collect())
+            break
+        assert out.schema == kept.schema
+        kept = spark.read.parquet(f"{folder}/{name}")
+        found = kept.collect()
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in found for c in CLASHING)
+        seen[name] = Counter((r["doc_id"], r["text"]) for r in found)
+    return seen
+
+
+def test_pipeline_edge_rows(spark, tmp_path):
+    """NULL ids and texts, empty texts, repeated rows and clashing columns pass all stages with the results their docstrings state."""
+    folder = str(tmp_path)
+    clean = [(i, prose(4000 + i, 60)) for i in range(60)]
+    toxic = [(200 + i, prose(5000 + i, 40) + " vile nasty vile") for i in range(60)]
+    nameless, twice, item = prose(6000, 50), prose(6001, 50), prose(6002, 25)
+    near = edited(nameless, 7, 0.01) + " end"
+    odd = [(None, nameless), (None, twice), (None, twice), (50, clean[50][1]), (51, clean[50][1]), (90, None), (91, ""), (92, None), (None, None)]
+    odd += [(None, near), (93, f"{prose(6003, 20)} {item}"), (None, f"{item} {prose(6004, 20)}"), (94, "...")]
+    labels = [(i, 1, int(i >= 200)) for i, _ in [*clean, *toxic]] + [(3, 1, 0), (90, 1, None), (None, 1, 1), (91, None, 0), (999, 1, 1)]
+    edge_corpus(spark, folder, [*clean, *toxic, *odd], labels, [(1, item), (1, item), (2, None), (3, ""), (None, "two words")])
+    seen = stage_tables(spark, folder)
+
+    assert seen["toxicity"] == Counter([*clean, *odd])
+    unequal = {(i, t) for i, t in clean if i != 50} | {(51, clean[50][1]), (94, "..."), (None, nameless), (None, near), (None, twice), odd[10], odd[11]}
+    exact = seen["exact_dedup"]
+    assert set(exact.values()) == {1} and {x for x in exact if x[1]} == unequal
+    assert [i for i, t in exact if not t] == [92]
+    left = set(seen["ngram_jaccard_join"])
+    assert len(left & {(None, nameless), (None, near)}) == 1
+    assert left | {(None, nameless), (None, near)} == set(exact)
+    assert set(seen["benchmark_decontamination"]) == left - {odd[10], odd[11]}
+    assert seen["best_fit_packing"] == Counter((i, len(t or "")) for i, t in left - {odd[10], odd[11]})
+
+
+def test_pipeline_empty_tables(spark, tmp_path):
+    """Without documents every stage is empty; without labels and items nothing goes for their sake."""
+    (tmp_path / "none").mkdir()
+    edge_corpus(spark, f"{tmp_path}/none", [], [], [])
+    assert all(not rows for rows in stage_tables(spark, f"{tmp_path}/none").values())
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    (tmp_path / "some").mkdir()
+    rows = [(i, prose(7000 + i, 40) + " vile") for i in range(8)]
+    edge_corpus(spark, f"{tmp_path}/some", rows, [], [])
+    assert all(found == Counter(rows) for name, found in stage_tables(spark, f"{tmp_path}/some").items() if name != "best_fit_packing")
