@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline import rules as L
 from shelfline.functions import count_when, percent, ratio
-from shelfline.operators.prefix import median_of_counts, ranked_counts
+from shelfline.operators.prefix import median_of_counts, quantile_sketches, ranked_counts, sketched_median
 from shelfline.operators.profile import active, rate, scorecard, stack_rows, with_share
 from shelfline.rules import RetailRules
 
@@ -65,6 +65,32 @@ def onorder_distribution(report: DataFrame) -> DataFrame:
     )
 
 
+def onorder_sketches(report: DataFrame) -> DataFrame:
+    """Per store the number and a mergeable quantile sketch of its positive on-order quantities."""
+    return quantile_sketches(active(report).filter(_on_order() > 0), ["store_id"], "qtypurchaserem")
+
+
+def onorder_median_check(report: DataFrame, sketches: DataFrame, bound: float = 0.02) -> DataFrame:
+    """Per store, and for all (store_id NULL), whether the median of the sketches lies within ``bound`` of the middle rank.
+
+    The approximate medians come from the sketches alone; the report is read once to count the rows below and up to them.
+    """
+    whole = sketched_median(sketches, []).select(F.lit(None).cast("long").alias("store_id"), "n", "median")
+    stores = sketched_median(sketches, ["store_id"]).select(F.col("store_id").cast("long").alias("store_id"), "n", "median")
+    rows = active(report).filter(_on_order() > 0).groupBy("store_id", "qtypurchaserem").agg(F.count(F.lit(1)).alias("rows"))
+    both = F.array(F.col("store_id").cast("long"), F.lit(None).cast("long"))
+    counted = rows.select(F.explode(both).alias("of"), "qtypurchaserem", "rows").groupBy("of", "qtypurchaserem").agg(F.sum("rows").alias("rows"))
+    medians = stores.unionByName(whole)
+    at = F.col("qtypurchaserem").cast("double")
+    below, upto = (F.coalesce(F.sum(F.when(c, F.col("rows"))), F.lit(0)) / F.col("n") for c in (at < F.col("median"), at <= F.col("median")))
+    return (
+        medians.join(counted, F.col("store_id").eqNullSafe(F.col("of")))
+        .groupBy("store_id", "n", "median")
+        .agg(((below <= 0.5 + bound) & (upto >= 0.5 - bound)).alias("within"))
+        .select("store_id", "n", "within")
+    )
+
+
 def onorder_bucket() -> tuple[Column, Column]:
     """Label and position of the on-order range.
 

@@ -858,6 +858,8 @@ ORACLES: dict[str, str] = {
     "onorder_distribution": f"""SELECT min(qtypurchaserem) AS min_qty, max(qtypurchaserem) AS max_qty,
         {rnd("sum(qtypurchaserem)", "count(*)", 2)} AS avg_qty, {dbl("median(qtypurchaserem)")} AS median_qty,
         {big("sum(qtypurchaserem)")} AS total_qty FROM src_report WHERE isactive = 'Y' AND qtypurchaserem > 0""",
+    "onorder_median_sketch": """SELECT CAST(store_id AS BIGINT) AS store_id, count(*) AS n, TRUE AS "within" FROM src_report
+        WHERE isactive = 'Y' AND qtypurchaserem > 0 GROUP BY GROUPING SETS ((store_id), ()) HAVING count(*) > 0""",
     "onorder_segments": f"SELECT *, {SEGMENT_NAMES}[segment_no + 1] AS segment FROM ("
     + share(
         "src_report WHERE isactive = 'Y'", "ALL",

@@ -258,6 +258,13 @@ def _bucketed_sales(w: Warehouse) -> DataFrame:
     return facts.sales_daily(made["header"], made["line"], w.store(), w.product(), FIRST_DAY, LAST_DAY)
 
 
+def _median_sketch(w: Warehouse) -> DataFrame:
+    """Medians of the on-order quantities from sketches that are stored per store, held against the rows they stand for."""
+    path = f"{_folder(w)}/onorder_sketches"
+    sinks.overwrite_table(stock.onorder_sketches(w.stock_report()), path)
+    return stock.onorder_median_check(w.stock_report(), w.spark.read.parquet(path))
+
+
 def _missing(w: Warehouse) -> DataFrame:
     """Days without sales over the whole history."""
     return facts.missing_dates(w.sales(), FIRST_DAY, LAST_DAY)
@@ -370,6 +377,7 @@ JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "stock_overview": lambda w: stock.stock_overview(w.stock_report()),
     "onorder_fill": lambda w: stock.onorder_fill(w.stock_report()),
     "onorder_distribution": lambda w: stock.onorder_distribution(w.stock_report()),
+    "onorder_median_sketch": _median_sketch,
     "onorder_segments": lambda w: stock.onorder_segments(w.stock_report()),
     "onorder_by_store": lambda w: stock.onorder_by_store(w.stock_report(), w.store()),
     "onorder_top_products": lambda w: stock.onorder_top_products(w.stock_report(), w.product(), w.store()),

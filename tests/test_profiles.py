@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from conftest import values
 
-from shelfline.operators import purchase, stock, transfer
+from shelfline.operators import prefix, purchase, stock, transfer
 from shelfline.operators.profile import header_item_consistency
 
 D = Decimal
@@ -201,3 +201,31 @@ def test_candidates_and_scorecard_without_the_column(frame):
 def test_distribution_of_onorder(frame):
     df = frame([(1, 1, 1, D(n), "Y") for n in ("1", "2", "10", "0", "-5")] + [(1, 1, 1, D("99"), "N")], REPORT)
     assert tuple(stock.onorder_distribution(df).first()) == (D("1"), D("10"), D("4.33"), D("2"), D("13"))
+
+
+def test_quantile_sketches(spark, frame):
+    """Merged sketches give a median near the exact one, also with a hot key; NULLs and empty tables count for nothing."""
+    rows = [(i % 7 if i % 3 else 0, (i * 7919 % 40009) ** 2) for i in range(40009)] + [(1, None), (9, None)]
+    df = frame(rows, "day int, v long").repartition(5)
+    sketches = prefix.quantile_sketches(df, ["day"], "v")
+    assert {r["day"] for r in sketches.collect()} == set(range(7))
+    values = sorted(v for _, v in rows if v is not None)
+    whole = prefix.sketched_median(sketches, []).first()
+    assert whole["n"] == len(values)
+    assert abs(values.index(whole["median"]) / len(values) - 0.5) < 0.02
+    assert prefix.exact_median(df, "v").first()[0] == values[len(values) // 2]
+    for row in prefix.sketched_median(sketches, ["day"]).collect():
+        own = sorted(v for d, v in rows if d == row["day"] and v is not None)
+        assert row["n"] == len(own) and abs(own.index(row["median"]) / len(own) - 0.5) < 0.02
+    few = prefix.quantile_sketches(frame([(1, 5), (1, 5), (1, 9)], "day int, v long"), ["day"], "v")
+    assert prefix.sketched_median(few, ["day"]).first()["median"] == 5
+    none = prefix.quantile_sketches(df.limit(0), ["day"], "v")
+    assert none.isEmpty() and prefix.sketched_median(none, []).isEmpty()
+
+
+def test_median_check_tells_a_wrong_sketch(frame):
+    report = frame([(1, s, v, "Y") for s in (1, 2) for v in range(1, 40)], "product_id int, store_id int, qtypurchaserem int, isactive string")
+    sketches = stock.onorder_sketches(report)
+    assert {(r["store_id"], r["n"], r["within"]) for r in stock.onorder_median_check(report, sketches).collect()} == {(1, 39, True), (2, 39, True), (None, 78, True)}
+    low = stock.onorder_sketches(report.filter("qtypurchaserem < 10"))
+    assert not any(r["within"] for r in stock.onorder_median_check(report, low.withColumn("n", low["n"] * 0 + 39)).collect())
