@@ -74,24 +74,36 @@ def sliced_totals(
 ) -> DataFrame:
     """As ``running_totals``, for rows in ascending order of NULL-free columns; lazy, and without a checkpoint.
 
-    The slice bounds are quantiles of a sample that depends on the rows alone: those of the smallest hashes. The rows are
-    computed once and shared by three readers (bounds, slice totals, windows), and move once more to the task of their
-    slice. As the bounds are one value of the plan, a recomputed task cuts its rows as the first one did. ``slices`` is
-    the number of shuffle partitions by default; per slice one row leaves, so the offsets are broadcast.
+    The slice bounds are quantiles of a sample that depends on the rows alone: that of the smallest hash in each of a fixed
+    number of hash buckets, found by an aggregation, so one task sees no more than the sample. The rows are computed once
+    and shared by three readers (bounds, slice totals, windows), and move once more to the task of their slice. As the
+    bounds are one value of the plan, a recomputed task cuts its rows as the first one did. ``slices`` is the number of
+    shuffle partitions by default; per slice one row leaves, so the offsets are broadcast.
+
+    A row finds its slice by halving the sorted bounds: as the slices grow with the rows, trying every bound would be
+    quadratic. ``_slice`` is never NULL, or the join on it would search a second time to filter by.
     """
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = ", ".join(str(1 << i) for i in reversed(range(n.bit_length())))
     keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(ascending)]))
     names = ", ".join(f"s.`{c}`" for c in df.columns)
     return over_shared(
         keyed,
         f"""
         , sampled AS (
-            SELECT sort_array(collect_list(_key)) AS keys
-            FROM (SELECT _key FROM shared ORDER BY xxhash64(_key), _key LIMIT {SAMPLED * n})
+            SELECT sort_array(collect_list(_least._key)) AS keys
+            FROM (
+                SELECT min(struct(_hash, _key)) AS _least FROM (SELECT xxhash64(_key) AS _hash, _key FROM shared)
+                GROUP BY pmod(_hash, {SAMPLED * n})
+            )
         ), cuts AS (
-            SELECT transform(sequence(1, {n}), i -> get(keys, cast(size(keys) * i div {n} AS int) - 1)) AS bounds FROM sampled
+            SELECT array_compact(transform(sequence(1, {n}), i -> get(keys, cast(size(keys) * i div {n} AS int) - 1))) AS bounds
+            FROM sampled
         ), sliced AS (
-            SELECT *, size(filter(_bounds, b -> b < _key)) AS _slice FROM (SELECT *, (SELECT bounds FROM cuts) AS _bounds FROM shared)
+            SELECT *, coalesce(
+                aggregate(array({steps}), 0, (low, step) -> if(get(_bounds, low + step - 1) < _key, low + step, low)), 0
+            ) AS _slice
+            FROM (SELECT *, (SELECT bounds FROM cuts) AS _bounds FROM shared)
         ), parts AS (
             SELECT _slice, sum(`{value}`) AS _sum, count(*) AS _rows FROM sliced GROUP BY _slice
         ), offsets AS (

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfline.functions import as_date, date_key
 from shelfline.operators.dims import calendar_days, dim_category, dim_channel, dim_date, dim_product, dim_product_attr, dim_sku, dim_store
@@ -17,6 +18,9 @@ from shelfline.rules import RetailRules
 from shelfline.schema import align_schema, table_schema
 from shelfline.sources.sinks import overwrite_table, replace_days, replace_snapshot, stamp
 
+#: Folders for the receipts and lines of the look-back window while a refresh runs; readers of folders skip such names.
+WINDOW_TABLES = ("_window_retail", "_window_item")
+
 
 def build_dims(t: Mapping[str, DataFrame], rules: RetailRules = RetailRules()) -> dict[str, DataFrame]:
     return {
@@ -57,6 +61,29 @@ def backfill(
     return replace_days(aligned(fresh, "dws_sales_daily"), path, date_key(lo), date_key(hi))
 
 
+def store_window(
+    spark: SparkSession, t: Mapping[str, DataFrame], root: str, lo, hi
+) -> dict[str, DataFrame]:
+    """The source tables with the receipts of the bill dates [lo, hi] and their lines in place of all.
+
+    Both are written below ``root`` and read back, so all jobs over these days read the whole tables once, and see the
+    same rows. ``drop_window`` removes them.
+    """
+    headers, lines = (f"{root.rstrip('/')}/{name}" for name in WINDOW_TABLES)
+    inside = F.col("billdate").between(date_key(lo), date_key(hi))
+    t["retail"].filter(inside).write.mode("overwrite").parquet(headers)
+    retail = spark.read.schema(t["retail"].schema).parquet(headers)
+    wanted = retail.select(F.col("id").alias("retail_id"))
+    t["item"].join(wanted, "retail_id", "left_semi").select(*t["item"].columns).write.mode("overwrite").parquet(lines)
+    return {**t, "retail": retail, "item": spark.read.schema(t["item"].schema).parquet(lines)}
+
+
+def drop_window(spark: SparkSession, root: str) -> None:
+    for name in WINDOW_TABLES:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def reload_changed(
     spark: SparkSession, t: Mapping[str, DataFrame], root: str, lo, hi, rules: RetailRules = RetailRules(),
     loaded: tuple[int, int] | None = None,
@@ -112,7 +139,8 @@ def run_all(
     Tables are written layer by layer and read back, so the mart starts from pruned day partitions instead of the
     sources. Facts are partitioned by ``date_id``, the mart by ``snapshot_date``. ``days`` = (first, last) chooses the
     sales days to load; without it they are the day itself, or the look-back window where stored days are missing, and
-    stored days of the window whose source lines have changed. Every table is brought to its published columns before it is written, and parts of different age are merged on reading.
+    stored days of the window whose source lines have changed; both are computed from the receipts and lines of the window,
+    which are taken from the whole tables once. Every table is brought to its published columns before it is written, and parts of different age are merged on reading.
     """
     root = root.rstrip("/")
 
@@ -130,10 +158,14 @@ def run_all(
     sales_path = path("dws_sales_daily")
     known = stored("dws_sales_daily") if _exists(spark, sales_path) else None
     lo, hi = days or days_to_load(known, as_of, rules)
-    backfill(t, root, lo, hi, rules)
     if days is None:
         first = as_date(as_of) - timedelta(days=rules.long_window_days)
-        reload_changed(spark, t, root, first, as_of, rules, (date_key(lo), date_key(hi)))
+        window = store_window(spark, t, root, first, as_of)
+        backfill(window, root, lo, hi, rules)
+        reload_changed(spark, window, root, first, as_of, rules, (date_key(lo), date_key(hi)))
+        drop_window(spark, root)
+    else:
+        backfill(t, root, lo, hi, rules)
 
     snapshot = inventory_daily(t["storage"], t["store"], t["product"], as_of, rules)
     replace_snapshot(aligned(snapshot, "dws_inventory_daily"), path("dws_inventory_daily"), date_key(as_of))

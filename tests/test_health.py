@@ -173,6 +173,20 @@ def test_sliced_totals_equal_the_plain_window(frame, slices):
     assert sorted(map(tuple, got.collect()), key=lambda r: r[4]) == sorted(map(tuple, want.collect()), key=lambda r: r[4])
 
 
+def test_many_slices_are_searched_by_halving(frame):
+    """A row meets as many bounds as it takes to halve them away, once per reader; the sample passes no single task's limit."""
+    rows = [(None if i % 10 == 9 else i, i, D(i // 40)) for i in range(120)]
+    df = frame(rows, "sku_id bigint, product_id bigint, amt decimal(18,2)").repartition(3)
+    order = [-F.col("amt"), F.col("sku_id").isNull(), F.col("sku_id"), F.col("product_id")]
+    got = sliced_totals(df, order, "amt", "cum", "rank", "total", 600)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(filter(" not in plan and "GlobalLimit" not in plan
+    assert plan.count("aggregate([512,256,128,64,32,16,8,4,2,1]") == 2
+    w = Window.orderBy(F.col("amt").desc(), F.col("sku_id").asc_nulls_last(), "product_id")
+    want = df.withColumn("cum", F.sum("amt").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("rank", F.row_number().over(w))
+    assert values(got, "product_id", "cum", "rank") == values(want, "product_id", "cum", "rank") and got.count() == 120
+
+
 def test_sliced_totals_of_nothing_and_of_one(frame):
     ddl = "sku_id bigint, amt bigint"
     assert sliced_totals(frame([], ddl), [F.col("sku_id")], "amt", "cum", "rank", "total").count() == 0

@@ -12,7 +12,8 @@ from shelfline_checks.adapter import AS_OF, Sources
 from shelfline_checks.queries import Warehouse
 from shelfline.operators.reports import daily_report, sales_summary
 from shelfline.plans.conf import recommended_conf
-from shelfline.operators.facts import sales_daily
+from shelfline.operators.facts import day_prints, sales_daily
+from shelfline.plans import warehouse
 from shelfline.plans.refresh import changed_days, day_runs
 from shelfline.plans.warehouse import backfill, build_all, reload_changed, run_all, run_reports
 from shelfline.schema import align_schema, table_schema
@@ -175,6 +176,30 @@ def test_run_all_equals_build_all(spark, tmp_path):
     assert values(earlier["ads_inventory_health"], "snapshot_date") == {(AS_OF,), (date(2001, 7, 31),)}
 
 
+def test_refresh_takes_the_window_from_the_sources_once(spark, tmp_path, monkeypatch):
+    """Sales and prints read the stored lines of the window; repeated, absent and unknown keys count as in the whole tables."""
+    t = Sources(spark, FOLDER).all_sources()
+    again = F.col("id") % 5 == 0
+    odd = t["item"].limit(50).withColumn("retail_id", F.when(F.col("product_id") % 2 == 0, -1).cast("bigint"))
+    t["retail"] = t["retail"].unionByName(t["retail"].filter(again))
+    t["item"] = t["item"].unionByName(t["item"].filter(F.col("retail_id") % 3 == 0)).unionByName(odd)
+    read = []
+    for job in ("sales_daily", "day_prints"):
+        real = getattr(warehouse, job)
+        monkeypatch.setattr(
+            warehouse, job, lambda retail, item, *rest, real=real: read.append(item.inputFiles()) or real(retail, item, *rest)
+        )
+    stored = run_all(spark, t, str(tmp_path), AS_OF)
+    assert len(read) == 2 and all(files and all("/_window_item/" in f for f in files) for files in read)
+    assert not [p.name for p in tmp_path.iterdir() if p.name.startswith("_")]
+    want = sales_daily(t["retail"], t["item"], t["store"], t["product"], 20010702, AS_OF)
+    got = stored["dws_sales_daily"].select(*want.columns)
+    assert values(got) == values(want) and got.count() == want.count() > 0
+    prints = spark.read.parquet(str(tmp_path / "dws_sales_prints"))
+    now = day_prints(t["retail"], t["item"], t["store"], t["product"], 20010702, AS_OF)
+    assert values(prints, *now.columns) == values(now)
+
+
 def test_late_rows_are_loaded_by_range(spark, tmp_path):
     t = Sources(spark, FOLDER).all_sources()
     late = F.col("billdate").between(20010701, 20010703) & (F.col("id") % 2 == 0)
